@@ -1,117 +1,128 @@
 """Text-to-type coercions that turn anything unparsable into NULL, and rounding.
 
-All of them are built-in expressions that stay inside whole-stage code generation.
+Functions named after a value take and return SQL text, for ``selectExpr`` and ``F.expr``: a
+frame of many columns is then built in one call. All of it is built-in expressions inside
+whole-stage code generation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripstar.schemas import MAX_TIMESTAMP, MIN_TIMESTAMP, NA_TOKENS
+from tripstar.schemas import (
+    DROPOFF,
+    MAX_TIMESTAMP,
+    MIN_TIMESTAMP,
+    NA_TOKENS,
+    NUMERIC_COLUMNS,
+    PICKUP,
+)
 
 # Full date and time to the second; one or two digits per part except the year.
 _TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
-_INFINITY_WORDS = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+_INFINITY_SHAPE = r"^[+-]?(?i)inf(inity)?$"
+_NUMBER_ENDS = "'0', '1', '2', '3', '4', '5', '6', '7', '8', '9', '.'"
+_NA_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
 
 
-def quoted(name: str) -> Column:
-    """Column by exact name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def ident(name: str) -> str:
+    """Column reference by exact name, whatever characters the name holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def parse_timestamp(text: Column) -> Column:
+def parse_timestamp(text: str, cast: str | None = None) -> str:
     """``yyyy-M-d H:m:s`` text -> TIMESTAMP_NTZ, else NULL.
 
-    The shape test comes first because the cast alone also takes ``2019``, a bare date, a
-    fraction or a zone. Independent of the session's time zone and timestamp type.
+    The shape test is needed because the cast alone also takes ``2019``, a bare date, a fraction
+    or a zone. Independent of the session's time zone and timestamp type. ``cast`` is the column
+    that already holds ``try_cast(text AS TIMESTAMP_NTZ)``.
     """
-    stamp = F.when(text.rlike(_TIMESTAMP_SHAPE), text.try_cast("timestamp_ntz"))
-    low = F.lit(MIN_TIMESTAMP).cast("timestamp_ntz")
-    high = F.lit(MAX_TIMESTAMP).cast("timestamp_ntz")
-    return F.when((stamp >= low) & (stamp <= high), stamp)
+    cast = cast or f"try_cast({text} AS TIMESTAMP_NTZ)"
+    return (
+        f"CASE WHEN {text} RLIKE r'{_TIMESTAMP_SHAPE}'"
+        f" AND {cast} >= TIMESTAMP_NTZ'{MIN_TIMESTAMP}' AND {cast} <= TIMESTAMP_NTZ'{MAX_TIMESTAMP}'"
+        f" THEN {cast} END"
+    )
 
 
-def parse_number(text: Column) -> Column:
+def parse_number(text: str, cast: str | None = None) -> str:
     """Decimal text -> DOUBLE, else NULL.
 
     ``try_cast`` also takes ``NaN``, Java's ``5d`` / ``5f`` suffixes, hex floats and values that
-    overflow to infinity; those count as missing. Infinity itself must be spelled out.
+    overflow to infinity; those count as missing. Infinity itself must be spelled out. ``cast``
+    is the column that already holds ``try_cast(text AS DOUBLE)``.
     """
-    value = text.try_cast("double")
-    tail = F.rtrim(text)
-    java_only = (
-        tail.endswith("d")
-        | tail.endswith("D")
-        | tail.endswith("f")
-        | tail.endswith("F")
-        | text.contains("x")
-        | text.contains("X")
-    )
-    infinite = F.abs(value) == F.lit(float("inf"))
+    cast = cast or f"try_cast({text} AS DOUBLE)"
     return (
-        F.when(F.isnan(value), None)
-        .when(infinite, F.when(F.lower(text).isin(_INFINITY_WORDS), value))
-        .when(~java_only, value)
+        f"CASE WHEN abs({cast}) < double('inf')"
+        f" AND substring(rtrim(' \\t\\r\\n', {text}), -1) IN ({_NUMBER_ENDS})"
+        f" AND NOT contains({text}, 'x') AND NOT contains({text}, 'X') THEN {cast}"
+        f" WHEN {text} RLIKE r'{_INFINITY_SHAPE}' THEN {cast} END"
     )
 
 
-def null_if_na(text: Column) -> Column:
-    """Text column with the usual missing-value tokens turned into NULL."""
-    return F.when(~text.isin(NA_TOKENS), text)
+def null_if_na(text: str) -> str:
+    """Text with the usual missing-value tokens turned into NULL."""
+    return f"CASE WHEN NOT {text} IN ({_NA_LIST}) THEN {text} END"
+
 
+def typed(df: DataFrame) -> DataFrame:
+    """``df`` with its known columns typed where they are still text; others are unchanged.
 
-def number(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as DOUBLE with NaN and junk as NULL; NULL if the column is absent."""
+    Two steps: cast every column once, then keep the casts whose text has the right form. One
+    step would repeat each cast, and make generated methods too long for the JIT compiler.
+    """
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    times = [c for c in df.columns if c in texts and c in (PICKUP, DROPOFF)]
+    numbers = [c for c in df.columns if c in texts and c in NUMERIC_COLUMNS]
+    if not times and not numbers:
+        return df
+    casts = [f"try_cast({c} AS TIMESTAMP_NTZ) AS _cast_{c}" for c in times]
+    casts += [f"try_cast({c} AS DOUBLE) AS _cast_{c}" for c in numbers]
+
+    def final(name: str) -> str:
+        if name in times:
+            return f"{parse_timestamp(name, f'_cast_{name}')} AS {name}"
+        if name in numbers:
+            return f"{parse_number(name, f'_cast_{name}')} AS {name}"
+        return ident(name)
+
+    return df.selectExpr("*", *casts).selectExpr(*map(final, df.columns))
+
+
+def number(df: DataFrame, name: str) -> str:
+    """Typed column ``name`` as DOUBLE with NaN as NULL; NULL if the column is absent."""
     if name not in df.columns:
-        return F.lit(None).cast("double")
-    dtype = df.schema[name].dataType
-    column = quoted(name)
-    if isinstance(dtype, T.StringType):
-        return parse_number(column)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
-    return column.cast("double")
-
-
-def whole_number(df: DataFrame, name: str) -> Column:
-    """Column ``name`` truncated to BIGINT; NULL, junk, infinity or absence become 0."""
-    if name in df.columns and isinstance(df.schema[name].dataType, T.IntegralType):
-        value = quoted(name).cast("bigint")
-    else:
-        value = number(df, name).try_cast("bigint")
-    return F.coalesce(value, F.lit(0).cast("bigint"))
-
-
-def timestamp(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as TIMESTAMP_NTZ; text is parsed, typed values are kept."""
+        return "CAST(NULL AS DOUBLE)"
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return f"nanvl(CAST({ident(name)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+    return f"CAST({ident(name)} AS DOUBLE)"
+
+
+def whole_number(df: DataFrame, name: str) -> str:
+    """Typed column ``name`` truncated to BIGINT; NULL, NaN, infinity or absence become 0."""
     if name not in df.columns:
-        return F.lit(None).cast("timestamp_ntz")
-    column = quoted(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return parse_timestamp(column)
-    return column.cast("timestamp_ntz")
+        return "0L"
+    return f"coalesce(try_cast({ident(name)} AS BIGINT), 0L)"
 
 
-def year_in_name(name: Column) -> Column:
+def year_in_name(name: str) -> str:
     """First ``YYYY`` of a ``YYYY-MM`` in a file name as INT; NULL if there is none."""
-    return F.regexp_extract(name, r"(\d{4})-\d{2}", 1).try_cast("int")
+    return rf"try_cast(regexp_extract({name}, r'(\d{{4}})-\d{{2}}', 1) AS INT)"
 
 
-def round2(value: Column) -> Column:
+def round2(value: str) -> str:
     """Round to two decimals, ties to even (scale, round to integer, scale back)."""
-    return F.rint(value * 100) / 100
+    return f"rint(({value}) * 100) / 100"
 
 
-def percent(part: Column, whole: Column) -> Column:
+def percent(part: str, whole: str) -> str:
     """Share in percent, unrounded; 0.0 when ``whole`` is 0."""
-    share = part.cast("double") / F.nullif(whole, F.lit(0)).cast("double") * 100
-    return F.coalesce(share, F.lit(0.0))
+    return f"coalesce(CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100, 0D)"
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Minutes from ``start`` to ``end`` (TIMESTAMP_NTZ), floored at 0, two decimals, NULL -> 0."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    minutes = F.greatest(micros / F.lit(60_000_000.0), F.lit(0.0))
-    return F.coalesce(round2(minutes), F.lit(0.0))
+    minutes = f"greatest(timestampdiff(MICROSECOND, {start}, {end}) / 6e7D, 0D)"
+    return f"coalesce({round2(minutes)}, 0D)"

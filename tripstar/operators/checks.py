@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.functions.coerce import quoted, round2, year_in_name
+from tripstar.functions.coerce import ident, round2, year_in_name
 from tripstar.operators.dimensions import DATE_KEY_YEAR
 from tripstar.schemas import FACT_KEYS, SOURCE_FILE
 
@@ -15,13 +15,11 @@ OK, WARN = "OK", "WARN"
 SUMMARY_COLUMNS = ["fare_amount", "trip_distance", "passenger_count", "trip_duration_minutes"]
 
 
-def _rows_from(one_row: DataFrame, label: str, items: Mapping[str, dict[str, Column]]) -> DataFrame:
+def _rows_from(one_row: DataFrame, label: str, items: Mapping[str, dict[str, str]]) -> DataFrame:
     """Turn a one-row aggregate into one row per item: ``(label, *values)``."""
-    structs = [
-        F.struct(F.lit(item).alias(label), *[v.alias(n) for n, v in values.items()])
-        for item, values in items.items()
-    ]
-    return one_row.select(F.inline(F.array(*structs)))
+    names = [label, *next(iter(items.values()))]
+    values = ", ".join(f"'{item}', {', '.join(v.values())}" for item, v in items.items())
+    return one_row.selectExpr(f"stack({len(items)}, {values}) AS ({', '.join(map(ident, names))})")
 
 
 def overview(fact: DataFrame) -> DataFrame:
@@ -36,14 +34,14 @@ def overview(fact: DataFrame) -> DataFrame:
 def null_counts(df: DataFrame) -> DataFrame:
     """NULLs (and NaNs) per column in one pass; only columns that have any."""
 
-    def missing(name: str, dtype: str) -> Column:
-        column = quoted(name)
-        return column.isNull() | F.isnan(column) if dtype in ("double", "float") else column.isNull()
+    def missing(name: str, dtype: str) -> str:
+        column = ident(name)
+        nan = f" OR isnan({column})" if dtype in ("double", "float") else ""
+        return f"count_if({column} IS NULL{nan})"
 
-    types = dict(df.dtypes)
-    counted = df.agg(*[F.count_if(missing(c, types[c])).alias(f"n{i}") for i, c in enumerate(df.columns)])
-    items = {c: {"null_count": F.col(f"n{i}")} for i, c in enumerate(df.columns)}
-    return _rows_from(counted, "column_name", items).where(F.col("null_count") > 0)
+    counts = [F.expr(f"{missing(c, t)} AS n{i}") for i, (c, t) in enumerate(df.dtypes)]
+    items = {c: {"null_count": f"n{i}"} for i, c in enumerate(df.columns)}
+    return _rows_from(df.agg(*counts), "column_name", items).where("null_count > 0")
 
 
 def fk_orphans(
@@ -55,37 +53,34 @@ def fk_orphans(
     or joined, so neither a hot key nor a large dimension hurts.
     """
     spark = fact.sparkSession
-    pairs = F.array(
-        *[F.struct(F.lit(k).alias("fk"), quoted(k).cast("bigint").alias("key")) for k in keys]
+    pairs = ", ".join(f"'{k}', CAST({ident(k)} AS BIGINT)" for k in keys)
+    used = (
+        fact.selectExpr(f"stack({len(keys)}, {pairs}) AS (fk, key)")
+        .groupBy("fk", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    used = fact.select(F.inline(pairs)).groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n"))
     known = None
     for key in keys:
-        one = dims[key].select(F.lit(key).alias("fk"), quoted(key).cast("bigint").alias("key"))
+        one = dims[key].selectExpr(f"'{key}' AS fk", f"CAST({ident(key)} AS BIGINT) AS key")
         known = one if known is None else known.unionByName(one)
     missing = used.join(known, ["fk", "key"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n"))
-    names = spark.range(0, 1, 1, 1).select(F.explode(F.array(*map(F.lit, keys))).alias("fk"))
-    orphans = F.coalesce("n", F.lit(0).cast("bigint"))
-    return names.join(missing, "fk", "left").select(
-        "fk",
-        orphans.alias("orphans"),
-        F.when(orphans == 0, OK).otherwise(WARN).alias("status"),
+    names = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{k}')" for k in keys) + " AS t(fk)")
+    return names.join(missing, "fk", "left").selectExpr(
+        "fk", "coalesce(n, 0L) AS orphans", f"if(n IS NULL, '{OK}', '{WARN}') AS status"
     )
 
 
 def measure_sanity(fact: DataFrame) -> DataFrame:
     """Counts of values a clean fact should not hold, in one pass."""
-    checks = {
-        "fare_amount < 0": F.col("fare_amount") < 0,
-        "trip_distance < 0": F.col("trip_distance") < 0,
-        "trip_distance = 0": F.col("trip_distance") == 0,
-        "total_amount < 0": F.col("total_amount") < 0,
-        "trip_duration_minutes < 0": F.col("trip_duration_minutes") < 0,
-    }
-    counted = fact.agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(checks.values())])
-    return _rows_from(
-        counted, "check", {name: {"trips": F.col(f"n{i}")} for i, name in enumerate(checks)}
-    )
+    checks = [
+        "fare_amount < 0",
+        "trip_distance < 0",
+        "trip_distance = 0",
+        "total_amount < 0",
+        "trip_duration_minutes < 0",
+    ]
+    counted = fact.agg(*[F.expr(f"count_if({c}) AS n{i}") for i, c in enumerate(checks)])
+    return _rows_from(counted, "check", {c: {"trips": f"n{i}"} for i, c in enumerate(checks)})
 
 
 def valid_years(files: DataFrame) -> DataFrame:
@@ -93,19 +88,19 @@ def valid_years(files: DataFrame) -> DataFrame:
     return (
         files.select(SOURCE_FILE)
         .distinct()
-        .select(year_in_name(F.col(SOURCE_FILE)).cast("bigint").alias("year"))
+        .selectExpr(f"CAST({year_in_name(SOURCE_FILE)} AS BIGINT) AS year")
         .where(F.col("year").isNotNull())
         .distinct()
     )
 
 
-def trip_year(column: str = "date_key") -> Column:
-    return F.expr(f"`{column}` div {DATE_KEY_YEAR}")
+def trip_year(column: str = "date_key") -> str:
+    return f"{ident(column)} div {DATE_KEY_YEAR}"
 
 
 def trips_per_year(fact: DataFrame, years: DataFrame) -> DataFrame:
     """Trips per year in year order, tagged WARN where no source file covers the year."""
-    counted = fact.groupBy(trip_year().alias("year")).agg(F.count(F.lit(1)).alias("trips"))
+    counted = fact.groupBy(F.expr(f"{trip_year()} AS year")).agg(F.count(F.lit(1)).alias("trips"))
     known = F.broadcast(years.select("year", F.lit(OK).alias("status")))
     return (
         counted.join(known, "year", "left")
@@ -116,7 +111,7 @@ def trips_per_year(fact: DataFrame, years: DataFrame) -> DataFrame:
 
 def bad_year_trips(fact: DataFrame, years: DataFrame) -> DataFrame:
     """Fact rows whose year no source file covers."""
-    with_year = fact.withColumn("_year", trip_year())
+    with_year = fact.withColumn("_year", F.expr(trip_year()))
     known = F.broadcast(years.select(F.col("year").alias("_year")))
     return with_year.join(known, "_year", "left_anti").drop("_year")
 
@@ -133,11 +128,15 @@ def bad_year_sample(
 
 def summary_stats(fact: DataFrame, columns: Sequence[str] = tuple(SUMMARY_COLUMNS)) -> DataFrame:
     """Mean, sample standard deviation, min and max, to two decimals, in one pass."""
-    stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    stats = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
     one_row = fact.agg(
-        *[fn(quoted(c)).alias(f"{s}{i}") for i, c in enumerate(columns) for s, fn in stats.items()]
+        *[
+            F.expr(f"{fn}({ident(c)}) AS {s}{i}")
+            for i, c in enumerate(columns)
+            for s, fn in stats.items()
+        ]
     )
-    items = {c: {s: round2(F.col(f"{s}{i}")) for s in stats} for i, c in enumerate(columns)}
+    items = {c: {s: round2(f"{s}{i}") for s in stats} for i, c in enumerate(columns)}
     return _rows_from(one_row, "column_name", items)
 
 
@@ -151,7 +150,7 @@ def top_dates(fact: DataFrame, dim_date: DataFrame, n: int = 5) -> DataFrame:
         per_date.join(F.broadcast(names), "date_key")
         .orderBy(F.desc("trips"), "full_date")
         .limit(n)
-        .select("full_date", "day_name", "trips", round2(F.col("revenue")).alias("revenue"))
+        .selectExpr("full_date", "day_name", "trips", f"{round2('revenue')} AS revenue")
     )
 
 
@@ -163,7 +162,7 @@ def trips_by_vendor(fact: DataFrame, dim_vendor: DataFrame) -> DataFrame:
     return (
         per_vendor.join(F.broadcast(dim_vendor), "vendor_key")
         .orderBy("vendor_key")
-        .select("vendor_name", "trips", round2(F.col("avg_fare")).alias("avg_fare"))
+        .selectExpr("vendor_name", "trips", f"{round2('avg_fare')} AS avg_fare")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +19,9 @@ from tripstar.schemas import (
 DATE_KEY_YEAR = 10_000  # date_key is YYYYMMDD
 
 
-def date_key(day: Column) -> Column:
-    """YYYYMMDD of a date or timestamp as BIGINT; NULL stays NULL."""
-    return (
-        F.year(day).cast("bigint") * DATE_KEY_YEAR + F.month(day) * 100 + F.dayofmonth(day)
-    ).cast("bigint")
+def date_key(day: str) -> str:
+    """YYYYMMDD of a date as BIGINT; NULL stays NULL."""
+    return f"CAST(year({day}) * {DATE_KEY_YEAR} + month({day}) * 100 + day({day}) AS BIGINT)"
 
 
 def dim_date(df: DataFrame, timestamp_column: str = PICKUP) -> DataFrame:
@@ -37,43 +35,36 @@ def dim_date(df: DataFrame, timestamp_column: str = PICKUP) -> DataFrame:
         .where(F.col("full_date").isNotNull())
         .distinct()
     )
-    day = F.col("full_date")
-    return days.select(
-        date_key(day).alias("date_key"),
-        day,
-        F.year(day).cast("bigint").alias("year"),
-        F.month(day).cast("bigint").alias("month"),
-        F.dayofmonth(day).cast("bigint").alias("day"),
-        F.weekday(day).cast("bigint").alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.quarter(day).cast("bigint").alias("quarter"),
-        (F.weekday(day) >= 5).alias("is_weekend"),
+    return days.selectExpr(
+        f"{date_key('full_date')} AS date_key",
+        "full_date",
+        "CAST(year(full_date) AS BIGINT) AS year",
+        "CAST(month(full_date) AS BIGINT) AS month",
+        "CAST(day(full_date) AS BIGINT) AS day",
+        "CAST(weekday(full_date) AS BIGINT) AS day_of_week",
+        "date_format(full_date, 'EEEE') AS day_name",
+        "date_format(full_date, 'MMMM') AS month_name",
+        "CAST(quarter(full_date) AS BIGINT) AS quarter",
+        "weekday(full_date) >= 5 AS is_weekend",
     )
 
 
 def dim_time(spark: SparkSession) -> DataFrame:
     """24 hours with their period of the day."""
-    hour = F.col("id")
-    period = (
-        F.when(hour < 6, "night")
-        .when(hour < 12, "morning")
-        .when(hour < 18, "afternoon")
-        .otherwise("evening")
-    )
-    return spark.range(0, 24, 1, 1).select(
-        hour.alias("time_key"), hour.alias("hour"), period.alias("time_period")
+    return spark.range(0, 24, 1, 1).selectExpr(
+        "id AS time_key",
+        "id AS hour",
+        "CASE WHEN id < 6 THEN 'night' WHEN id < 12 THEN 'morning'"
+        " WHEN id < 18 THEN 'afternoon' ELSE 'evening' END AS time_period",
     )
 
 
 def _constant_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """Fixed rows as literals of the plan, so that Catalyst knows their size."""
-    names = [field.name for field in schema]
-    literals = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema, strict=True)])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*literals)).alias(*names))
+    literals = ", ".join(str(row) for row in rows)
+    columns = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    names = ", ".join(schema.fieldNames())
+    return spark.sql(f"SELECT {', '.join(columns)} FROM VALUES {literals} AS t({names})")
 
 
 def dim_vendor(spark: SparkSession) -> DataFrame:

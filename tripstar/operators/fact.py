@@ -6,10 +6,10 @@ size, and no row is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripstar.functions.coerce import minutes_between, number, timestamp, whole_number
+from tripstar.functions.coerce import minutes_between, number, typed, whole_number
 from tripstar.operators.dimensions import date_key, dim_payment_type, dim_rate_code, dim_vendor
 from tripstar.operators.lookup import Lookup, star_lookup
 from tripstar.schemas import (
@@ -29,9 +29,9 @@ ROW_INDEX = "_row_index"
 MAX_BROADCAST_FILES = 100_000
 
 
-def measures(trips: DataFrame) -> dict[str, Column]:
+def measures(trips: DataFrame) -> list[str]:
     """The ten measures as DOUBLE; missing values and absent columns are 0.0."""
-    return {name: F.coalesce(number(trips, name), F.lit(0.0)) for name in MEASURES}
+    return [f"coalesce({number(trips, name)}, 0D) AS {name}" for name in MEASURES]
 
 
 def build_fact(trips: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
@@ -42,38 +42,36 @@ def build_fact(trips: DataFrame, dim_date: DataFrame | None = None) -> DataFrame
     computed without the join.
     """
     spark = trips.sparkSession
-    pickup, dropoff = timestamp(trips, PICKUP), timestamp(trips, DROPOFF)
-    zero = F.lit(0).cast("bigint")
+    trips = typed(trips)
     carried = [TRIP_ID] if TRIP_ID in trips.columns else []
-
-    typed = trips.select(
+    values = trips.selectExpr(
         *carried,
-        F.to_date(pickup).alias("_day"),
-        F.coalesce(F.hour(pickup).cast("bigint"), zero).alias("time_key"),
-        whole_number(trips, "VendorID").alias("_vendor"),
-        whole_number(trips, "payment_type").alias("_payment"),
-        whole_number(trips, "RatecodeID").alias("_rate"),
-        *[whole_number(trips, name).alias(name) for name in LOCATION_COLUMNS],
-        *[value.alias(name) for name, value in measures(trips).items()],
-        minutes_between(pickup, dropoff).alias("trip_duration_minutes"),
+        f"CAST({PICKUP} AS DATE) AS _day",
+        f"coalesce(CAST(hour({PICKUP}) AS BIGINT), 0L) AS time_key",
+        f"{whole_number(trips, 'VendorID')} AS _vendor",
+        f"{whole_number(trips, 'payment_type')} AS _payment",
+        f"{whole_number(trips, 'RatecodeID')} AS _rate",
+        *[f"{whole_number(trips, name)} AS {name}" for name in LOCATION_COLUMNS],
+        *measures(trips),
+        f"{minutes_between(PICKUP, DROPOFF)} AS trip_duration_minutes",
     )
     lookups = [
-        Lookup(dim_vendor(spark), "vendor_id", "vendor_key", F.col("_vendor"), "vendor_key",
-               bounded=True),
-        Lookup(dim_payment_type(spark), "payment_type_code", "payment_key", F.col("_payment"),
+        Lookup(dim_vendor(spark), "vendor_id", "vendor_key", "_vendor", "vendor_key", bounded=True),
+        Lookup(dim_payment_type(spark), "payment_type_code", "payment_key", "_payment",
                "payment_key", bounded=True),
-        Lookup(dim_rate_code(spark), "rate_code_id", "rate_code_key", F.col("_rate"),
-               "rate_code_key", bounded=True),
+        Lookup(dim_rate_code(spark), "rate_code_id", "rate_code_key", "_rate", "rate_code_key",
+               bounded=True),
     ]
     if dim_date is None:
-        typed = typed.withColumn("date_key", F.coalesce(date_key(F.col("_day")), zero))
+        key = f"coalesce({date_key('_day')}, 0L) AS date_key"
     else:
         # One row per calendar day between 1677 and 2262 at most: about 3.5 MB.
         lookups.append(
-            Lookup(dim_date, "full_date", "date_key", F.col("_day"), "date_key", bounded=True)
+            Lookup(dim_date, "full_date", "date_key", "_day", "date_key", bounded=True)
         )
-    return star_lookup(typed, lookups).select(
-        *carried, *FACT_KEYS, *LOCATION_COLUMNS, *MEASURES, "trip_duration_minutes"
+        key = "date_key"
+    return star_lookup(values, lookups).selectExpr(
+        *carried, key, *FACT_KEYS[1:], *LOCATION_COLUMNS, *MEASURES, "trip_duration_minutes"
     )
 
 

@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.functions.coerce import quoted
+from tripstar.functions.coerce import ident
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """Replace a natural key of the fact rows by a dimension's surrogate key.
+    """Replace a natural key of the fact rows (SQL expression ``key``) by a surrogate key.
 
     ``natural`` must be unique in ``dim``. A fact row without a match gets ``default``. Set
     ``bounded`` only for a dimension whose row count cannot grow with the data: it is then
@@ -24,7 +24,7 @@ class Lookup:
     dim: DataFrame
     natural: str
     surrogate: str
-    key: Column
+    key: str
     name: str
     default: int = 0
     bounded: bool = False
@@ -35,18 +35,16 @@ def star_lookup(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     out = facts
     for i, lookup in enumerate(lookups):
         natural, surrogate = f"_natural_{i}", f"_surrogate_{i}"
-        dim = lookup.dim.select(
-            quoted(lookup.natural).alias(natural), quoted(lookup.surrogate).alias(surrogate)
+        dim = lookup.dim.selectExpr(
+            f"{ident(lookup.natural)} AS {natural}", f"{ident(lookup.surrogate)} AS {surrogate}"
         )
         if lookup.bounded:
             dim = F.broadcast(dim)
         out = (
-            out.withColumn(f"_key_{i}", lookup.key)
-            .join(dim, F.col(f"_key_{i}") == F.col(natural), "left")
+            out.join(dim, F.expr(f"{lookup.key} = {natural}"), "left")
             .withColumn(
-                lookup.name,
-                F.coalesce(F.col(surrogate), F.lit(lookup.default)).cast("bigint"),
+                lookup.name, F.expr(f"CAST(coalesce({surrogate}, {lookup.default}) AS BIGINT)")
             )
-            .drop(f"_key_{i}", natural, surrogate)
+            .drop(natural, surrogate)
         )
     return out

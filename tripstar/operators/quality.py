@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstar.functions.coerce import percent, round2
@@ -18,20 +18,20 @@ def file_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     Counts are combined before the shuffle, so one file may hold most of the rows.
     """
     counts = df.groupBy(SOURCE_FILE).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(is_clean(rules)).alias("clean")
+        F.count(F.lit(1)).alias("total"), F.expr(f"count_if({is_clean(rules)}) AS clean")
     )
     return with_shares(counts)
 
 
 def with_shares(counts: DataFrame) -> DataFrame:
     """Add quarantine count and clean percentage to ``total`` and ``clean`` counts."""
-    return counts.select(
+    return counts.selectExpr(
         SOURCE_FILE,
         "total",
         "clean",
-        (F.col("total") - F.col("clean")).alias("quarantine"),
-        round2(percent(F.col("clean"), F.col("total"))).alias("clean_percentage"),
-        F.lit(None).cast("string").alias("error"),
+        "total - clean AS quarantine",
+        f"{round2(percent('clean', 'total'))} AS clean_percentage",
+        "CAST(NULL AS STRING) AS error",
     )
 
 
@@ -43,13 +43,9 @@ def complete_metrics(files: DataFrame, counts: DataFrame, errors: DataFrame) ->
     All three have one row per file.
     """
     accepted = files.join(errors, SOURCE_FILE, "left_anti")
-    zero = F.lit(0).cast("bigint")
-    counted = accepted.join(counts.select(SOURCE_FILE, "total", "clean"), SOURCE_FILE, "left")
-    counted = counted.select(
-        SOURCE_FILE,
-        F.coalesce("total", zero).alias("total"),
-        F.coalesce("clean", zero).alias("clean"),
-    )
+    counted = accepted.join(
+        counts.select(SOURCE_FILE, "total", "clean"), SOURCE_FILE, "left"
+    ).selectExpr(SOURCE_FILE, "coalesce(total, 0L) AS total", "coalesce(clean, 0L) AS clean")
     return with_shares(counted).unionByName(
         errors.select(SOURCE_FILE, "error"), allowMissingColumns=True
     )
@@ -57,22 +53,14 @@ def complete_metrics(files: DataFrame, counts: DataFrame, errors: DataFrame) ->
 
 def run_totals(metrics: DataFrame) -> DataFrame:
     """One row of totals over the files that were read; zeros when there are none."""
-    zero = F.lit(0).cast("bigint")
-
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), zero).alias(f"{name}_records")
-
-    sums = metrics.where(F.col("error").isNull()).agg(
+    sums = metrics.where("error IS NULL").agg(
         F.count(F.lit(1)).alias("files_processed"),
-        total("total"),
-        total("clean"),
-        total("quarantine"),
+        *[F.expr(f"coalesce(sum({c}), 0L) AS {c}_records") for c in ("total", "clean", "quarantine")],
     )
-    return sums.withColumns(
-        {
-            "clean_percentage": percent(F.col("clean_records"), F.col("total_records")),
-            "quarantine_percentage": percent(F.col("quarantine_records"), F.col("total_records")),
-        }
+    return sums.selectExpr(
+        "*",
+        f"{percent('clean_records', 'total_records')} AS clean_percentage",
+        f"{percent('quarantine_records', 'total_records')} AS quarantine_percentage",
     )
 
 
@@ -82,17 +70,13 @@ def quality_alert(totals: DataFrame, threshold: float = QUALITY_THRESHOLD) -> Da
     return totals.withColumn("alert_triggered", low)
 
 
-def _lines(df: DataFrame, section: str, item: Column, values: dict[str, Column]) -> DataFrame:
-    """Each row of ``df`` as one report line per entry of ``values``."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
-            for name, value in values.items()
-        ]
-    )
-    return (
-        df.select(item.alias("item"), F.explode(pairs).alias("line"))
-        .select(F.lit(section).alias("section"), "item", "line.metric", "line.value")
+def _lines(df: DataFrame, section: str, item: str, values: dict[str, str]) -> DataFrame:
+    """Each row of ``df`` as one report line per entry of ``values`` (metric -> SQL value)."""
+    pairs = ", ".join(f"'{name}', CAST({value} AS DOUBLE)" for name, value in values.items())
+    return df.selectExpr(
+        f"'{section}' AS section",
+        f"{item} AS item",
+        f"stack({len(values)}, {pairs}) AS (metric, value)",
     )
 
 
@@ -112,41 +96,37 @@ def quality_report(
     run = _lines(
         totals,
         "run",
-        F.lit("all"),
+        "'all'",
         {
-            "files_processed": F.col("files_processed"),
-            "total_records": F.col("total_records"),
-            "clean_records": F.col("clean_records"),
-            "quarantine_records": F.col("quarantine_records"),
-            "clean_percentage": round2(F.col("clean_percentage")),
-            "quarantine_percentage": round2(F.col("quarantine_percentage")),
-            "alert_triggered": F.col("alert_triggered").cast("int"),
+            "files_processed": "files_processed",
+            "total_records": "total_records",
+            "clean_records": "clean_records",
+            "quarantine_records": "quarantine_records",
+            "clean_percentage": round2("clean_percentage"),
+            "quarantine_percentage": round2("quarantine_percentage"),
+            "alert_triggered": "CAST(alert_triggered AS INT)",
         },
     )
     per_file = _lines(
-        metrics.where(F.col("error").isNull()),
+        metrics.where("error IS NULL"),
         "file",
-        F.col(SOURCE_FILE),
-        {
-            "clean": F.col("clean"),
-            "quarantine": F.col("quarantine"),
-            "clean_percentage": F.col("clean_percentage"),
-        },
+        SOURCE_FILE,
+        {name: name for name in ("clean", "quarantine", "clean_percentage")},
     )
     failed = _lines(
-        metrics.where(F.col("error").isNotNull()),
+        metrics.where("error IS NOT NULL"),
         "error",
-        F.concat_ws(": ", SOURCE_FILE, "error"),
-        {"files": F.lit(1)},
+        f"concat_ws(': ', {SOURCE_FILE}, error)",
+        {"files": "1"},
     )
     report = run.unionByName(per_file).unionByName(failed)
     if skipped is not None:
-        lines = _lines(skipped, "skipped", F.col(SOURCE_FILE), {"files": F.lit(1)})
+        lines = _lines(skipped, "skipped", SOURCE_FILE, {"files": "1"})
         report = report.unionByName(lines)
     if saved is not None:
-        lines = _lines(saved, "saved", F.col("layer"), {"records": F.col("records")})
+        lines = _lines(saved, "saved", "layer", {"records": "records"})
         report = report.unionByName(lines)
     if gold is not None:
-        lines = _lines(gold, "gold", F.col("table"), {"records": F.col("records")})
+        lines = _lines(gold, "gold", "`table`", {"records": "records"})
         report = report.unionByName(lines)
     return report

@@ -1,20 +1,19 @@
 """Row rules: annotate every row with the rules it breaks, split and route the rows.
 
-The rule set is generic. ``annotate`` needs one pass and no shuffle: it keeps the broken rules
-of a row as the bits of one BIGINT, and derives the reason text and the folder from it.
+The rule set is generic; a rule is a SQL predicate over the row. ``annotate`` needs one pass and
+no shuffle: it keeps the broken rules of a row as the bits of one BIGINT, and derives the reason
+text and the folder from it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripstar.functions.coerce import quoted, year_in_name
+from tripstar.functions.coerce import ident, year_in_name
 from tripstar.schemas import (
     CLEAN,
     DROPOFF,
@@ -33,40 +32,31 @@ REASON_SEPARATOR = "; "
 
 @dataclass(frozen=True)
 class Rule:
-    """A row breaks the rule where ``fails`` is true (NULL counts as not broken)."""
+    """A row breaks the rule where the SQL predicate ``fails`` is true (NULL: not broken)."""
 
     label: str
     folder: str
-    fails: Column
+    fails: str
     keep: tuple[str, ...] = ()
 
     @property
-    def broken(self) -> Column:
-        return F.coalesce(self.fails, F.lit(False))
+    def broken(self) -> str:
+        return f"coalesce({self.fails}, false)"
 
 
-def trip_rules(expected_year: Column | None = None) -> list[Rule]:
+def trip_rules(expected_year: str = year_in_name(SOURCE_FILE)) -> list[Rule]:
     """The seven trip rules over typed columns, in reporting order.
 
-    ``expected_year`` defaults to the year in ``source_file``; where it is NULL the year rule
-    is off.
+    ``expected_year`` is a SQL expression; where it is NULL the year rule is off.
     """
-    pickup, dropoff = F.col(PICKUP), F.col(DROPOFF)
-    if expected_year is None:
-        expected_year = year_in_name(F.col(SOURCE_FILE))
-    zero = F.lit(0.0)
-
-    def missing_or_not_positive(name: str) -> Column:
-        return F.nanvl(F.coalesce(F.col(name).cast("double"), zero), zero) <= zero
-
     fails = [
-        pickup.isNull(),
-        dropoff.isNull(),
-        missing_or_not_positive("fare_amount"),
-        missing_or_not_positive("trip_distance"),
-        F.col("passenger_count") <= zero,
-        dropoff <= pickup,
-        F.year(pickup) != expected_year,
+        f"{PICKUP} IS NULL",
+        f"{DROPOFF} IS NULL",
+        _missing_or_not_positive("fare_amount"),
+        _missing_or_not_positive("trip_distance"),
+        "passenger_count <= 0",
+        f"{DROPOFF} <= {PICKUP}",
+        f"year({PICKUP}) != {expected_year}",
     ]
     return [
         Rule(label, folder, test, keep)
@@ -74,61 +64,59 @@ def trip_rules(expected_year: Column | None = None) -> list[Rule]:
     ]
 
 
-def failed_bits(rules: Sequence[Rule]) -> Column:
-    """Bit i is set where rule i is broken; 0 means clean."""
+def _missing_or_not_positive(name: str) -> str:
+    # NaN compares greater than every number, so it needs a test of its own.
+    return f"({name} IS NULL OR isnan({name}) OR {name} <= 0)"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def failed_bits(rules: Sequence[Rule]) -> str:
+    """BIGINT expression: bit i is set where rule i is broken; 0 means clean."""
     if not 0 < len(rules) <= MAX_RULES:
         raise ValueError(f"need 1 to {MAX_RULES} rules, got {len(rules)}")
-    bits = [
-        F.when(rule.broken, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-        for i, rule in enumerate(rules)
-    ]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    return " + ".join(f"if({rule.broken}, {1 << i}L, 0L)" for i, rule in enumerate(rules))
 
 
-def reason_text(bits: Column, rules: Sequence[Rule]) -> Column:
+def reason_text(rules: Sequence[Rule], bits: str = FAILED_RULES) -> str:
     """Labels of the broken rules in rule order; NULL for a clean row."""
-    labels = [
-        F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(rule.label))
-        for i, rule in enumerate(rules)
-    ]
-    return F.when(bits != 0, F.concat_ws(REASON_SEPARATOR, *labels))
+    labels = [f"if({bits} & {1 << i}L != 0, {_text(r.label)}, NULL)" for i, r in enumerate(rules)]
+    return f"if({bits} != 0, concat_ws({_text(REASON_SEPARATOR)}, {', '.join(labels)}), NULL)"
 
 
-def folder_name(bits: Column, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> Column:
+def folder_name(
+    rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS, bits: str = FAILED_RULES
+) -> str:
     """``clean``, the folder of the only broken rule, or ``multiple``."""
-    route = F.when(bits == 0, F.lit(CLEAN))
-    for i, rule in enumerate(rules):
-        route = route.when(bits == F.lit(1 << i), F.lit(rule.folder))
-    return route.otherwise(F.lit(multiple))
+    single = " ".join(f"WHEN {1 << i}L THEN {_text(r.folder)}" for i, r in enumerate(rules))
+    return f"CASE {bits} WHEN 0L THEN {_text(CLEAN)} {single} ELSE {_text(multiple)} END"
 
 
-def annotate(
-    df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
-) -> DataFrame:
+def annotate(df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> DataFrame:
     """Add ``failed_rules``, ``error_reason`` and ``error_folder``."""
-    bits = F.col(FAILED_RULES)
-    return df.withColumn(FAILED_RULES, failed_bits(rules)).withColumns(
-        {
-            ERROR_REASON: reason_text(bits, rules),
-            ERROR_FOLDER: folder_name(bits, rules, multiple),
-        }
+    return df.selectExpr("*", f"{failed_bits(rules)} AS {FAILED_RULES}").selectExpr(
+        "*",
+        f"{reason_text(rules)} AS {ERROR_REASON}",
+        f"{folder_name(rules, multiple)} AS {ERROR_FOLDER}",
     )
 
 
-def error_reasons() -> Column:
-    """The broken rules' labels as ARRAY<STRING> (empty for a clean row)."""
-    none = F.array().cast("array<string>")
-    return F.coalesce(F.split(F.col(ERROR_REASON), REASON_SEPARATOR), none)
+def error_reasons() -> str:
+    """The broken rules' labels of an annotated row as ARRAY<STRING> (empty if clean)."""
+    split = f"split({ERROR_REASON}, {_text(REASON_SEPARATOR)})"
+    return f"coalesce({split}, CAST(array() AS ARRAY<STRING>))"
 
 
-def rule_flags(rules: Sequence[Rule]) -> dict[str, Column]:
+def rule_flags(rules: Sequence[Rule]) -> list[str]:
     """One non-NULL boolean per rule, named after its folder."""
-    return {rule.folder: rule.broken for rule in rules}
+    return [f"{rule.broken} AS {ident(rule.folder)}" for rule in rules]
 
 
-def is_clean(rules: Sequence[Rule]) -> Column:
+def is_clean(rules: Sequence[Rule]) -> str:
     """True where no rule is broken; never NULL, so its negation is the exact complement."""
-    return reduce(and_, [~rule.broken for rule in rules])
+    return " AND ".join(f"NOT {rule.broken}" for rule in rules)
 
 
 def clean_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -136,14 +124,6 @@ def clean_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.where(is_clean(rules))
 
 
-def quarantine_rows(
-    df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
-) -> DataFrame:
-    """Rows that break a rule, annotated, narrowed to what the quarantine keeps."""
-    bad = df.where(reduce(or_, [rule.broken for rule in rules]))
-    return quarantine_columns(annotate(bad, rules, multiple), rules, multiple)
-
-
 def kept_columns(rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> dict[str, list[str]]:
     """Folder -> columns kept besides ``source_file`` and ``error_reason``."""
     kept = {rule.folder: list(rule.keep) for rule in rules}
@@ -154,32 +134,44 @@ def kept_columns(rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> dict
 def quarantine_columns(
     annotated: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
-    """One narrow table for all folders: a column is NULL where the row's folder drops it."""
-    kept = kept_columns(rules, multiple)
+    """The broken rows of an annotated frame, as one narrow table for all folders.
+
+    A column is NULL where the row's folder drops it. Rows that break several rules keep all.
+    """
+    several = f"{FAILED_RULES} & ({FAILED_RULES} - 1) != 0"
     columns = []
-    for name in kept[multiple]:
+    for name in kept_columns(rules, multiple)[multiple]:
         if name in annotated.columns:
-            folders = [f for f, names in kept.items() if name in names]
-            columns.append(F.when(F.col(ERROR_FOLDER).isin(folders), quoted(name)).alias(name))
-    return annotated.where(F.col(ERROR_FOLDER) != CLEAN).select(
+            mask = sum(1 << i for i, rule in enumerate(rules) if name in rule.keep)
+            keeps = f"{FAILED_RULES} & {mask}L != 0 OR {several}"
+            columns.append(f"if({keeps}, {ident(name)}, NULL) AS {ident(name)}")
+    return annotated.where(F.col(FAILED_RULES) != 0).selectExpr(
         SOURCE_FILE, ERROR_REASON, ERROR_FOLDER, *columns
     )
 
 
+def quarantine_rows(
+    df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
+) -> DataFrame:
+    """Rows that break a rule, annotated and narrowed to what the quarantine keeps."""
+    return quarantine_columns(annotate(df, rules, multiple), rules, multiple)
+
+
 def quarantine_folder(
     quarantine: DataFrame, folder: str, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
     """One folder's rows with only the columns that folder keeps."""
     names = [c for c in kept_columns(rules, multiple)[folder] if c in quarantine.columns]
-    return quarantine.where(F.col(ERROR_FOLDER) == folder).select(
-        SOURCE_FILE, ERROR_REASON, *map(quoted, names)
+    return quarantine.where(F.col(ERROR_FOLDER) == folder).selectExpr(
+        SOURCE_FILE, ERROR_REASON, *map(ident, names)
     )
 
 
-def route_counts(df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> DataFrame:
-    """Rows per folder, clean included; counts per bit pattern first, so few rows shuffle."""
-    per_pattern = df.groupBy(failed_bits(rules).alias(FAILED_RULES)).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    folder = folder_name(F.col(FAILED_RULES), rules, multiple)
-    return per_pattern.groupBy(folder.alias(ERROR_FOLDER)).agg(F.sum("n").alias("trips"))
+def route_counts(
+    df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
+) -> DataFrame:
+    """Rows per folder, clean included; counted per bit pattern before anything is shuffled."""
+    per_pattern = df.selectExpr(f"{failed_bits(rules)} AS {FAILED_RULES}").groupBy(FAILED_RULES)
+    counts = per_pattern.agg(F.count(F.lit(1)).alias("n"))
+    folders = counts.selectExpr(f"{folder_name(rules, multiple)} AS {ERROR_FOLDER}", "n")
+    return folders.groupBy(ERROR_FOLDER).agg(F.sum("n").alias("trips"))

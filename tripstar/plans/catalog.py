@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.functions import coerce
@@ -77,55 +77,49 @@ def _dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 @query
 def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
     """Trip values rendered as text, some of it junk, and read back."""
-    trips = trip_view(spark, sf)
-    pickup, n = F.col(PICKUP), F.col("l_partkey").cast("string")
-    full = F.date_format(pickup, "yyyy-MM-dd HH:mm:ss")
-    time_forms: list[Column] = [
+    full = f"date_format({PICKUP}, 'yyyy-MM-dd HH:mm:ss')"
+    time_forms = [
         full,
-        F.date_format(pickup, "yyyy-M-d H:m:s"),
-        F.date_format(pickup, "yyyy-MM-dd"),
-        F.concat(full, F.lit(".5")),
-        F.lit("junk"),
-        F.lit(""),
+        f"date_format({PICKUP}, 'yyyy-M-d H:m:s')",
+        f"date_format({PICKUP}, 'yyyy-MM-dd')",
+        f"concat({full}, '.5')",
+        "'junk'",
+        "''",
     ]
-    number_forms: list[Column] = [
-        F.concat(n, F.lit(".25")),
-        F.concat(F.lit(" "), n, F.lit(" ")),
-        F.concat(n, F.lit("e2")),
-        F.concat(F.lit("-"), n, F.lit(".")),
-        F.lit("NaN"),
-        F.concat(n, F.lit("d")),
-        F.lit("1,000"),
-        F.lit(""),
+    number_forms = [
+        "concat(l_partkey, '.25')",
+        "concat(' ', l_partkey, ' ')",
+        "concat(l_partkey, 'e2')",
+        "concat('-', l_partkey, '.')",
+        "'NaN'",
+        "concat(l_partkey, 'd')",
+        "'1,000'",
+        "''",
     ]
 
-    def pick(selector: Column, forms: list[Column]) -> Column:
-        out = F.when(selector == 0, forms[0])
-        for i, form in enumerate(forms[1:], 1):
-            out = out.when(selector == i, form)
-        return out
+    def pick(column: str, forms: list[str]) -> str:
+        cases = " ".join(f"WHEN {i} THEN {form}" for i, form in enumerate(forms))
+        return f"CASE {column} % {len(forms)} {cases} END"
 
-    text = trips.select(
+    text = trip_view(spark, sf).selectExpr(
         "l_orderkey",
         "l_linenumber",
-        pick(F.col("l_partkey") % len(time_forms), time_forms).alias("pickup_text"),
-        pick(F.col("l_suppkey") % len(number_forms), number_forms).alias("number_text"),
+        f"{pick('l_partkey', time_forms)} AS {PICKUP}",
+        f"{pick('l_suppkey', number_forms)} AS fare_amount",
     )
-    return text.select(
+    return coerce.typed(text.withColumn("token", F.col("fare_amount"))).selectExpr(
         "l_orderkey",
         "l_linenumber",
-        coerce.parse_timestamp(F.col("pickup_text")).alias("pickup"),
-        coerce.parse_number(F.col("number_text")).alias("number"),
-        coerce.null_if_na(F.col("number_text")).alias("token"),
+        f"{PICKUP} AS pickup",
+        "fare_amount AS number",
+        f"{coerce.null_if_na('token')} AS token",
     )
 
 
 @query
 def rule_flags(spark: SparkSession, sf: str) -> DataFrame:
     flags = rules.rule_flags(rules.trip_rules())
-    return trip_view(spark, sf).select(
-        "l_orderkey", "l_linenumber", *[flag.alias(name) for name, flag in flags.items()]
-    )
+    return trip_view(spark, sf).selectExpr("l_orderkey", "l_linenumber", *flags)
 
 
 @query
@@ -168,9 +162,9 @@ for _folder in FOLDERS:
 def event_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The rule engine on another table with its own rules."""
     event_rules = [
-        rules.Rule("Value missing or small", "low_value", F.coalesce("value", F.lit(0.0)) < 5),
-        rules.Rule("Error event", "error_event", F.col("event_type") == "error"),
-        rules.Rule("Late in the month", "late", F.dayofmonth("ts") > 20),
+        rules.Rule("Value missing or small", "low_value", "value IS NULL OR value < 5"),
+        rules.Rule("Error event", "error_event", "event_type = 'error'"),
+        rules.Rule("Late in the month", "late", "day(ts) > 20"),
     ]
     return rules.route_counts(table(spark, sf, "events"), event_rules)
 
@@ -180,7 +174,7 @@ def event_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _file_lists(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     files = _trips(spark, sf).select(SOURCE_FILE).distinct()
-    return files, files.where(coerce.year_in_name(F.col(SOURCE_FILE)) < DONE_BEFORE)
+    return files, files.where(f"{coerce.year_in_name(SOURCE_FILE)} < {DONE_BEFORE}")
 
 
 @query
@@ -224,9 +218,10 @@ def quality_alert(spark: SparkSession, sf: str) -> DataFrame:
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
     """Report of a run over the new files only, with the skipped ones listed."""
     trips = _trips(spark, sf)
-    fresh = coerce.year_in_name(F.col(SOURCE_FILE)) >= DONE_BEFORE
-    metrics = quality.file_metrics(trips.where(fresh), rules.trip_rules())
-    return quality.quality_report(metrics, trips.where(~fresh).select(SOURCE_FILE).distinct())
+    year = coerce.year_in_name(SOURCE_FILE)
+    fresh = trips.where(f"{year} >= {DONE_BEFORE}")
+    old = trips.where(f"{year} < {DONE_BEFORE}").select(SOURCE_FILE).distinct()
+    return quality.quality_report(quality.file_metrics(fresh, rules.trip_rules()), old)
 
 
 # ----------------------------------------------------------------- dimensions
@@ -316,13 +311,13 @@ def star_lookup_generic(spark: SparkSession, sf: str) -> DataFrame:
     found = star_lookup(
         lines,
         [
-            Lookup(table(spark, sf, "orders"), "o_orderkey", "o_custkey", F.col("l_orderkey"),
+            Lookup(table(spark, sf, "orders"), "o_orderkey", "o_custkey", "l_orderkey",
                    "cust_key"),
-            Lookup(table(spark, sf, "customer"), "c_custkey", "c_nationkey", F.col("cust_key"),
+            Lookup(table(spark, sf, "customer"), "c_custkey", "c_nationkey", "cust_key",
                    "nation_key"),
-            Lookup(table(spark, sf, "nation"), "n_nationkey", "n_regionkey", F.col("nation_key"),
+            Lookup(table(spark, sf, "nation"), "n_nationkey", "n_regionkey", "nation_key",
                    "region_key"),
-            Lookup(small_parts, "p_partkey", "p_size", F.col("l_partkey"), "part_size"),
+            Lookup(small_parts, "p_partkey", "p_size", "l_partkey", "part_size"),
         ],
     )
     return found.drop("l_partkey")
@@ -484,7 +479,7 @@ def csv_gold_ids(spark: SparkSession, sf: str) -> DataFrame:
     gold_plan.build_gold(spark, layout)
     return (
         layers.read_gold(spark, layout, "fact_trips")
-        .groupBy(checks.trip_year().alias("year"))
+        .groupBy(F.expr(f"{checks.trip_year()} AS year"))
         .agg(
             F.count(F.lit(1)).alias("trips"),
             F.min(fact.TRIP_ID).alias("first_id"),

@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.schemas import DROPOFF, PICKUP, SOURCE_FILE
 
+# Declared, so that opening a table does not cost a job to read its footer.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "part": "p_partkey BIGINT, p_size INT",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "events": "ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE",
+}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_HOUR, _MINUTE = "INTERVAL '1' HOUR", "INTERVAL '1' MINUTE"
 
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(hours=n.cast("int"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,45 +32,28 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     The join is left to Catalyst: a small ``orders`` is broadcast by its measured size, a large
     one is sorted and merged, with hot order keys split at run time.
     """
-    c = F.col
-    ordered = c("o_orderdate")
-    start = ordered + _hours(c("l_partkey") % 24)
-    month_file = F.concat(
-        F.lit("yellow_tripdata_"),
-        F.year(ordered).cast("string"),
-        F.lit("-"),
-        F.lpad(F.month(ordered).cast("string"), 2, "0"),
-        F.lit(".csv"),
-    )
-    odd_file = (c("l_suppkey") % 13 == 0) & (c("l_partkey") % 5 == 0)
-    line = c("l_linenumber")
-    price = c("l_extendedprice")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), c("l_orderkey") == c("o_orderkey"))
-        .select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            F.when(odd_file, "yellow_tripdata_2019-01.csv").otherwise(month_file).alias(SOURCE_FILE),
-            (line % 4).alias("VendorID"),
-            F.when(c("l_orderkey") % 97 != 0, start).alias(PICKUP),
-            F.when(c("l_orderkey") % 89 == 0, None)
-            .when(c("l_partkey") % 41 == 0, ordered + _hours(c("l_partkey") % 24 - 30))
-            .otherwise(start + F.make_dt_interval(mins=c("l_quantity").cast("int")))
-            .alias(DROPOFF),
-            F.when((line == 1) & (c("l_orderkey") % 11 == 0), 0.0)
-            .when(line != 7, line.cast("double"))
-            .alias("passenger_count"),
-            F.when((c("l_suppkey") % 10 == 9) & (c("l_partkey") % 7 == 0), 0.0)
-            .otherwise(c("l_quantity"))
-            .alias("trip_distance"),
-            F.when(line == 2, 99).otherwise(line).alias("RatecodeID"),
-            (line - 1).alias("payment_type"),
-            F.when(c("l_partkey") % 37 == 0, -price).otherwise(price).alias("fare_amount"),
-            price.alias("total_amount"),
-        )
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    start = f"o_orderdate + l_partkey % 24 * {_HOUR}"
+    return lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        f"""CASE WHEN l_suppkey % 13 = 0 AND l_partkey % 5 = 0 THEN 'yellow_tripdata_2019-01.csv'
+            ELSE concat('yellow_tripdata_', substring(CAST(o_orderdate AS STRING), 1, 7), '.csv')
+            END AS {SOURCE_FILE}""",
+        "l_linenumber % 4 AS VendorID",
+        f"CASE WHEN l_orderkey % 97 != 0 THEN {start} END AS {PICKUP}",
+        f"""CASE WHEN l_orderkey % 89 = 0 THEN NULL
+            WHEN l_partkey % 41 = 0 THEN o_orderdate + (l_partkey % 24 - 30) * {_HOUR}
+            ELSE {start} + CAST(l_quantity AS INT) * {_MINUTE} END AS {DROPOFF}""",
+        """CASE WHEN l_linenumber = 1 AND l_orderkey % 11 = 0 THEN 0D
+            WHEN l_linenumber != 7 THEN CAST(l_linenumber AS DOUBLE) END AS passenger_count""",
+        "if(l_suppkey % 10 = 9 AND l_partkey % 7 = 0, 0D, l_quantity) AS trip_distance",
+        "if(l_linenumber = 2, 99, l_linenumber) AS RatecodeID",
+        "l_linenumber - 1 AS payment_type",
+        "if(l_partkey % 37 = 0, -l_extendedprice, l_extendedprice) AS fare_amount",
+        "l_extendedprice AS total_amount",
     )
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
+    # The JIT compiler skips methods above 8,000 bytes: split such code instead of fusing it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripstar.functions.coerce import null_if_na, parse_number, parse_timestamp, quoted
+from tripstar.functions.coerce import ident, null_if_na, typed
 from tripstar.schemas import (
     DROPOFF,
     MALFORMED,
@@ -181,33 +181,30 @@ def read_group(
         multiLine=multi_line,
     ).schema(schema).csv(list(paths))
     return frame.select(
-        *[quoted(name).alias(name.removeprefix(_BOM)) for name in header],
+        *[F.col(ident(name)).alias(name.removeprefix(_BOM)) for name in header],
         _source_file().alias(SOURCE_FILE),
         _too_many_fields(len(header)).alias(MALFORMED),
     )
 
 
-def typed(frame: DataFrame) -> DataFrame:
+def typed_raw(frame: DataFrame) -> DataFrame:
     """Type the known columns and drop the missing-value tokens of all others."""
-
-    def column(name: str) -> Column:
-        value = quoted(name)
-        if name in (PICKUP, DROPOFF):
-            return parse_timestamp(value).alias(name)
-        if name in NUMERIC_COLUMNS:
-            return parse_number(value).alias(name)
-        if name in (SOURCE_FILE, MALFORMED):
-            return value
-        return null_if_na(value).alias(name)
-
-    return frame.select(*[column(name) for name in frame.columns])
+    known = {PICKUP, DROPOFF, *NUMERIC_COLUMNS, SOURCE_FILE, MALFORMED}
+    others = [c for c in frame.columns if c not in known]
+    frame = typed(frame)
+    if not others:
+        return frame
+    return frame.selectExpr(
+        *[ident(c) for c in frame.columns if c in known],
+        *[f"{null_if_na(ident(c))} AS {ident(c)}" for c in others],
+    )
 
 
 def read_raw(spark: SparkSession, units: Sequence[RawUnit], multi_line: bool = False) -> RawBatch:
     """Typed rows of all units with a proper header; one read per distinct header."""
     groups, errors = check_headers(spark, units)
     frames = [
-        typed(read_group(spark, [u.path for u in members], header, multi_line))
+        typed_raw(read_group(spark, [u.path for u in members], header, multi_line))
         for header, members in groups.items()
     ]
     if not frames:
