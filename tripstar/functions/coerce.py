@@ -21,6 +21,7 @@ from tripstar.schemas import (
 
 # Full date and time to the second; one or two digits per part except the year.
 _TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+_PADDED_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s+$"
 _INFINITY_SHAPE = r"^[+-]?(?i)inf(inity)?$"
 _NUMBER_ENDS = "'0', '1', '2', '3', '4', '5', '6', '7', '8', '9', '.'"
 _NA_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
@@ -52,13 +53,17 @@ def parse_number(text: str, cast: str | None = None) -> str:
     ``try_cast`` also takes ``NaN``, Java's ``5d`` / ``5f`` suffixes, hex floats and values that
     overflow to infinity; those count as missing. Infinity itself must be spelled out. ``cast``
     is the column that already holds ``try_cast(text AS DOUBLE)``.
+
+    Byte tests settle the usual text; only a number with trailing blanks and the words for
+    infinity need a pattern.
     """
     cast = cast or f"try_cast({text} AS DOUBLE)"
+    finite = f"abs({cast}) < double('inf')"
     return (
-        f"CASE WHEN abs({cast}) < double('inf')"
-        f" AND substring(rtrim(' \\t\\r\\n', {text}), -1) IN ({_NUMBER_ENDS})"
+        f"CASE WHEN {finite} AND substring({text}, -1) IN ({_NUMBER_ENDS})"
         f" AND NOT contains({text}, 'x') AND NOT contains({text}, 'X') THEN {cast}"
-        f" WHEN {text} RLIKE r'{_INFINITY_SHAPE}' THEN {cast} END"
+        f" WHEN {cast} IS NOT NULL AND {text} RLIKE if({finite}, r'{_PADDED_NUMBER}', r'{_INFINITY_SHAPE}')"
+        f" THEN {cast} END"
     )
 
 

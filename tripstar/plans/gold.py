@@ -9,6 +9,7 @@ from tripstar.operators.checks import table_counts
 from tripstar.operators.dimensions import dim_date, static_dimensions
 from tripstar.operators.fact import build_fact, with_trip_id
 from tripstar.schemas import PICKUP
+from tripstar.session import compiled_methods
 from tripstar.sources.layers import (
     Layout,
     gold_tables,
@@ -48,7 +49,8 @@ def build_gold(spark: SparkSession, layout: Layout) -> DataFrame:
     for name, table in static_dimensions(spark).items():
         write_dimension(table, layout, name)
 
-    write_fact(build_fact(with_trip_id(silver), dates), layout)
+    with compiled_methods(spark):
+        write_fact(build_fact(with_trip_id(silver), dates), layout)
     return table_counts(gold_tables(spark, layout)).selectExpr(
         f"'{SUCCESS}' AS status", "CAST(NULL AS STRING) AS reason", "table", "records"
     )

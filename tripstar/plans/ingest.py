@@ -21,6 +21,7 @@ from tripstar.schemas import (
     RAW_SUFFIX,
     SOURCE_FILE,
 )
+from tripstar.session import compiled_methods
 from tripstar.sources.layers import (
     Layout,
     read_file_metrics,
@@ -29,6 +30,7 @@ from tripstar.sources.layers import (
     write_silver,
 )
 from tripstar.sources.raw import (
+    RawBatch,
     RawUnit,
     collect_units,
     new_files,
@@ -92,7 +94,19 @@ def ingest_units(
     for each job and needs no disk.
     """
     run_id = run_id or uuid.uuid4().hex
-    batch = read_raw(spark, units, multi_line)
+    with compiled_methods(spark):
+        _store(spark, layout, read_raw(spark, units, multi_line), units, run_id, storage_level)
+    return run_id
+
+
+def _store(
+    spark: SparkSession,
+    layout: Layout,
+    batch: RawBatch,
+    units: Sequence[RawUnit],
+    run_id: str,
+    storage_level: StorageLevel | None,
+) -> None:
     rules = trip_rules()
     files = spark.createDataFrame([(u.source_file,) for u in units], f"{SOURCE_FILE} string")
     errors = list(batch.errors)
@@ -136,4 +150,3 @@ def ingest_units(
     finally:
         if annotated is not None and storage_level is not None:
             annotated.unpersist()
-    return run_id

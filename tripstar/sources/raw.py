@@ -5,6 +5,7 @@ A raw unit is a file ``yellow_tripdata*.csv`` or a directory of that name holdin
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -28,6 +29,7 @@ from tripstar.schemas import (
 )
 
 UNIT_PATH = "unit_path"
+NAME_START = "name_start"
 _CORRUPT = "_corrupt_line"
 _HEADER_THREADS = 16
 _BOM = "﻿"
@@ -42,6 +44,7 @@ class RawUnit:
 
     path: str
     source_file: str
+    name_start: int = 0  # a directory of part files: where its name starts in their paths
 
 
 @dataclass(frozen=True)
@@ -65,7 +68,7 @@ def path_exists_or_none(load, *paths: str) -> DataFrame | None:
 def raw_units(
     spark: SparkSession, raw_dir: str, pattern: str = f"{RAW_PREFIX}*{RAW_SUFFIX}"
 ) -> DataFrame:
-    """``(unit_path, source_file)`` of every raw unit under ``raw_dir``, in name order.
+    """``(unit_path, source_file, name_start)`` of every raw unit under ``raw_dir``, by name.
 
     Lists names only; no file is opened. Empty if the directory is missing.
     """
@@ -73,27 +76,30 @@ def raw_units(
         spark.read.format("binaryFile").load, f"{raw_dir.rstrip('/')}/{pattern}"
     )
     if listing is None:
-        return spark.createDataFrame([], f"{UNIT_PATH} string, {SOURCE_FILE} string")
-    return units_of_paths(listing.select("path"))
+        return spark.createDataFrame([], f"{UNIT_PATH} string, {SOURCE_FILE} string, {NAME_START} int")
+    return units_of_files(listing)
 
 
-def units_of_paths(paths: DataFrame) -> DataFrame:
-    """Raw units of listed file ``path``s; part files fold into their directory."""
-    unit = rf"^(.*/[^/]*{RAW_PREFIX}[^/]*\{RAW_SUFFIX})(?:/[^/]*)?$"
+def units_of_files(listing: DataFrame) -> DataFrame:
+    """Raw units of listed files (``binaryFile`` rows); part files fold into their directory."""
+    unit = rf"^(.*/[^/]*?({RAW_PREFIX}[^/]*\{RAW_SUFFIX}))(/[^/]*)?$"
     return (
-        paths.select(F.regexp_extract("path", unit, 1).alias(UNIT_PATH))
+        listing.select(
+            F.regexp_extract("path", unit, 1).alias(UNIT_PATH),
+            F.regexp_extract("path", unit, 2).alias(SOURCE_FILE),
+            F.when(
+                F.regexp_extract("path", unit, 3) != "",
+                F.length(F.regexp_replace("_metadata.file_path", rf"{RAW_PREFIX}[^/]*/[^/]*$", "")) + 1,
+            )
+            .otherwise(0)
+            .alias(NAME_START),
+        )
         .where(F.col(UNIT_PATH) != "")
         .distinct()
-        .select(UNIT_PATH, _last_part(F.col(UNIT_PATH)).alias(SOURCE_FILE))
         .orderBy(SOURCE_FILE)
     )
 
 
-def _last_part(path: Column) -> Column:
-    """Last path element, without the ``column=`` of a partition directory."""
-    return F.substring_index(F.substring_index(path, "/", -1), "=", -1)
-
-
 def new_files(units: DataFrame, done: DataFrame) -> DataFrame:
     """Units whose ``source_file`` is not in ``done``."""
     return units.join(done, SOURCE_FILE, "left_anti")
@@ -106,8 +112,8 @@ def skipped_files(units: DataFrame, done: DataFrame) -> DataFrame:
 
 def collect_units(units: DataFrame) -> list[RawUnit]:
     """File names on the driver; their number is that of raw files, not of rows."""
-    rows = units.select(UNIT_PATH, SOURCE_FILE).orderBy(SOURCE_FILE).collect()
-    return [RawUnit(r[UNIT_PATH], r[SOURCE_FILE]) for r in rows]
+    rows = units.select(UNIT_PATH, SOURCE_FILE, NAME_START).orderBy(SOURCE_FILE).collect()
+    return [RawUnit(*row) for row in rows]
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -143,12 +149,27 @@ def check_headers(
     return groups, errors
 
 
-def _source_file() -> Column:
-    """Unit name of a row from its file path; plain string slicing, no regular expression."""
-    name = F.col("_metadata.file_name")
-    own = name.startswith(RAW_PREFIX) & name.endswith(RAW_SUFFIX)
-    folder = F.substring_index(F.col("_metadata.file_path"), "/", -2)
-    return F.when(own, name).otherwise(_last_part(F.substring_index(folder, "/", 1)))
+def _name_source(unit: RawUnit) -> tuple[str, ...]:
+    """How rows of a unit learn its name; units that agree can share a read.
+
+    A plain file is its own name. In a directory the name is cut out of the part file's path at a
+    fixed place, which costs far less per row than searching for it. A name that paths would
+    escape needs a read of its own.
+    """
+    if not unit.name_start:
+        return ("file",)
+    if re.fullmatch(r"[\w.-]+", unit.source_file, re.ASCII):
+        return ("folder", unit.name_start, len(unit.source_file))
+    return ("constant", unit.source_file)
+
+
+def _source_file(source: tuple) -> Column:
+    kind, *where = source
+    if kind == "file":
+        return F.col("_metadata.file_name")
+    if kind == "folder":
+        return F.substring("_metadata.file_path", *where)
+    return F.lit(*where)
 
 
 def _too_many_fields(width: int) -> Column:
@@ -162,7 +183,11 @@ def _too_many_fields(width: int) -> Column:
 
 
 def read_group(
-    spark: SparkSession, paths: Sequence[str], header: Sequence[str], multi_line: bool = False
+    spark: SparkSession,
+    paths: Sequence[str],
+    header: Sequence[str],
+    source: tuple,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Rows of units that share one header, as text, plus ``source_file`` and ``_malformed``.
 
@@ -182,7 +207,7 @@ def read_group(
     ).schema(schema).csv(list(paths))
     return frame.select(
         *[F.col(ident(name)).alias(name.removeprefix(_BOM)) for name in header],
-        _source_file().alias(SOURCE_FILE),
+        _source_file(source).alias(SOURCE_FILE),
         _too_many_fields(len(header)).alias(MALFORMED),
     )
 
@@ -203,9 +228,13 @@ def typed_raw(frame: DataFrame) -> DataFrame:
 def read_raw(spark: SparkSession, units: Sequence[RawUnit], multi_line: bool = False) -> RawBatch:
     """Typed rows of all units with a proper header; one read per distinct header."""
     groups, errors = check_headers(spark, units)
+    reads: dict[tuple, list[str]] = {}
+    for header, members in groups.items():
+        for unit in members:
+            reads.setdefault((header, _name_source(unit)), []).append(unit.path)
     frames = [
-        typed_raw(read_group(spark, [u.path for u in members], header, multi_line))
-        for header, members in groups.items()
+        typed_raw(read_group(spark, paths, header, source, multi_line))
+        for (header, source), paths in reads.items()
     ]
     if not frames:
         return RawBatch(None, errors)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripstar.plans.ingest import ingest_units
 from tripstar.schemas import RAW_PREFIX, RAW_SUFFIX
 from tripstar.sources.layers import Layout
-from tripstar.sources.raw import collect_units, units_of_paths
+from tripstar.sources.raw import collect_units, units_of_files
 
 # Fixed by the binaryFile source; a streaming read must declare it.
 _LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -30,19 +30,19 @@ def ingest_stream(
     batch repeated after a failure replaces its own partitions. ``once`` takes what is there and
     stops.
     """
-    names = (
+    listing = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(f"{layout.raw}/{RAW_PREFIX}*{RAW_SUFFIX}")
-        .select("path")
     )
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        units = collect_units(units_of_paths(batch))
+        units = collect_units(batch)
         if units:
             ingest_units(batch.sparkSession, layout, units, run_id=f"stream-{batch_id}")
 
+    names = listing.select("path", "_metadata.file_path")
     writer = names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     if once:
         return writer.trigger(availableNow=True).start()
