@@ -44,7 +44,7 @@ class Rule:
         return f"coalesce({self.fails}, false)"
 
 
-def trip_rules(expected_year: str = year_in_name(SOURCE_FILE)) -> list[Rule]:
+def trip_rules(expected_year: str = f"nullif({year_in_name(SOURCE_FILE)}, 0)") -> list[Rule]:
     """The seven trip rules over typed columns, in reporting order.
 
     ``expected_year`` is a SQL expression; where it is NULL the year rule is off.

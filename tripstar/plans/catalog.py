@@ -25,7 +25,7 @@ from tripstar.schemas import (
     REQUIRED_COLUMNS,
     SOURCE_FILE,
 )
-from tripstar.session import scratch_folder
+from tripstar.session import many_small_files, scratch_folder
 from tripstar.sources import layers, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -420,12 +420,13 @@ def _write_raw(spark: SparkSession, sf: str, folder: str) -> None:
     text = _trips(spark, sf).withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in (PICKUP, DROPOFF)}
     )
-    (
-        text.hint("rebalance", SOURCE_FILE)
-        .write.partitionBy(SOURCE_FILE)
-        .option("header", True)
-        .csv(folder)
-    )
+    with many_small_files(spark):
+        (
+            text.hint("rebalance", SOURCE_FILE)
+            .write.partitionBy(SOURCE_FILE)
+            .option("header", True)
+            .csv(folder)
+        )
 
 
 def _ingested(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:

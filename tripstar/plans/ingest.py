@@ -128,6 +128,9 @@ def _store(
                 )
                 .collect()  # one row per file
             )
+            strangers = {r[SOURCE_FILE] for r in per_file} - {u.source_file for u in units}
+            if strangers:
+                raise ValueError(f"rows of files that were not asked for: {sorted(strangers)}")
             bad = [r[SOURCE_FILE] for r in per_file if r.malformed]
             errors += [(name, MALFORMED_ERROR) for name in bad]
             counts = spark.createDataFrame(

@@ -16,6 +16,7 @@ from tripstar.schemas import (
     SILVER_SCHEMA,
     SOURCE_FILE,
 )
+from tripstar.session import many_small_files
 from tripstar.sources.raw import path_exists_or_none
 
 
@@ -72,7 +73,8 @@ def write_quarantine(quarantine: DataFrame, layout: Layout) -> None:
     partitions are merged into few files, and a folder with most of the rows is split.
     """
     balanced = quarantine.hint("rebalance", ERROR_FOLDER, SOURCE_FILE)
-    write_partitions(balanced, layout.quarantine, ERROR_FOLDER, SOURCE_FILE)
+    with many_small_files(quarantine.sparkSession):
+        write_partitions(balanced, layout.quarantine, ERROR_FOLDER, SOURCE_FILE)
 
 
 def _read(spark: SparkSession, path: str, schema, **options) -> DataFrame:

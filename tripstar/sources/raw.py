@@ -6,10 +6,11 @@ A raw unit is a file ``yellow_tripdata*.csv`` or a directory of that name holdin
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +66,23 @@ def path_exists_or_none(load, *paths: str) -> DataFrame | None:
         raise
 
 
+def unit_of(file_path: str) -> RawUnit | None:
+    """Raw unit of one listed file path (escaped, as listings return it)."""
+    # ``_metadata.file_path`` writes local paths with one slash.
+    file_path = file_path.replace("file:///", "file:/", 1)
+    found = re.fullmatch(rf"(.*/[^/]*?)({RAW_PREFIX}[^/]*{re.escape(RAW_SUFFIX)})(/[^/]*)?", file_path)
+    if not found:
+        return None
+    parent, name, part = found.groups()
+    return RawUnit(unquote(parent + name), unquote(name), len(parent) + 1 if part else 0)
+
+
+def units_of_paths(file_paths: Iterable[str]) -> list[RawUnit]:
+    """Distinct units in name order; part files fold into their directory."""
+    units = {unit for unit in map(unit_of, file_paths) if unit}
+    return sorted(units, key=lambda unit: unit.source_file)
+
+
 def raw_units(
     spark: SparkSession, raw_dir: str, pattern: str = f"{RAW_PREFIX}*{RAW_SUFFIX}"
 ) -> DataFrame:
@@ -75,28 +93,10 @@ def raw_units(
     listing = path_exists_or_none(
         spark.read.format("binaryFile").load, f"{raw_dir.rstrip('/')}/{pattern}"
     )
-    if listing is None:
-        return spark.createDataFrame([], f"{UNIT_PATH} string, {SOURCE_FILE} string, {NAME_START} int")
-    return units_of_files(listing)
-
-
-def units_of_files(listing: DataFrame) -> DataFrame:
-    """Raw units of listed files (``binaryFile`` rows); part files fold into their directory."""
-    unit = rf"^(.*/[^/]*?({RAW_PREFIX}[^/]*\{RAW_SUFFIX}))(/[^/]*)?$"
-    return (
-        listing.select(
-            F.regexp_extract("path", unit, 1).alias(UNIT_PATH),
-            F.regexp_extract("path", unit, 2).alias(SOURCE_FILE),
-            F.when(
-                F.regexp_extract("path", unit, 3) != "",
-                F.length(F.regexp_replace("_metadata.file_path", rf"{RAW_PREFIX}[^/]*/[^/]*$", "")) + 1,
-            )
-            .otherwise(0)
-            .alias(NAME_START),
-        )
-        .where(F.col(UNIT_PATH) != "")
-        .distinct()
-        .orderBy(SOURCE_FILE)
+    units = units_of_paths(listing.inputFiles()) if listing is not None else []
+    return spark.createDataFrame(
+        [(u.path, u.source_file, u.name_start) for u in units],
+        f"{UNIT_PATH} string, {SOURCE_FILE} string, {NAME_START} int",
     )
 
 
@@ -156,11 +156,11 @@ def _name_source(unit: RawUnit) -> tuple[str, ...]:
     fixed place, which costs far less per row than searching for it. A name that paths would
     escape needs a read of its own.
     """
-    if not unit.name_start:
-        return ("file",)
-    if re.fullmatch(r"[\w.-]+", unit.source_file, re.ASCII):
+    if not re.fullmatch(r"[\w.-]+", unit.source_file, re.ASCII):
+        return ("constant", unit.source_file)
+    if unit.name_start:
         return ("folder", unit.name_start, len(unit.source_file))
-    return ("constant", unit.source_file)
+    return ("file",)
 
 
 def _source_file(source: tuple) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tripstar.plans.ingest import ingest_units
 from tripstar.schemas import RAW_PREFIX, RAW_SUFFIX
 from tripstar.sources.layers import Layout
-from tripstar.sources.raw import collect_units, units_of_files
+from tripstar.sources.raw import units_of_paths
 
 # Fixed by the binaryFile source; a streaming read must declare it.
-_LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+_LISTING_SCHEMA = "path string, modificationTime timestamp_ltz, length bigint, content binary"
 
 
 def ingest_stream(
@@ -38,11 +38,11 @@ def ingest_stream(
     )
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        units = collect_units(batch)
+        units = units_of_paths(row.file_path for row in batch.collect())  # names only
         if units:
             ingest_units(batch.sparkSession, layout, units, run_id=f"stream-{batch_id}")
 
-    names = listing.select("path", "_metadata.file_path")
+    names = listing.select("_metadata.file_path")
     writer = names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     if once:
         return writer.trigger(availableNow=True).start()
