@@ -13,7 +13,7 @@ from tripstar.operators.lookup import Lookup, star_lookup
 from tripstar.plans import gold as gold_plan
 from tripstar.plans.ingest import ingest
 from tripstar.plans.report import run_report
-from tripstar.plans.trip_view import table, trip_columns, trip_view
+from tripstar.plans.trip_view import FILE_YEAR, table, trip_columns, trip_view
 from tripstar.schemas import (
     DROPOFF,
     ERROR_FOLDER,
@@ -48,8 +48,11 @@ def _trips(spark: SparkSession, sf: str) -> DataFrame:
     return trip_columns(trip_view(spark, sf))
 
 
+TRIP_RULES = rules.trip_rules(FILE_YEAR)
+
+
 def _clean(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.clean_rows(_trips(spark, sf), rules.trip_rules())
+    return trip_columns(rules.clean_rows(trip_view(spark, sf), TRIP_RULES))
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,7 +121,7 @@ def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rule_flags(spark: SparkSession, sf: str) -> DataFrame:
-    flags = rules.rule_flags(rules.trip_rules())
+    flags = rules.rule_flags(TRIP_RULES)
     return trip_view(spark, sf).selectExpr("l_orderkey", "l_linenumber", *flags)
 
 
@@ -132,7 +135,7 @@ def error_reason(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def route_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.route_counts(_trips(spark, sf), rules.trip_rules())
+    return rules.route_counts(trip_view(spark, sf), TRIP_RULES)
 
 
 @query
@@ -142,14 +145,13 @@ def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.quarantine_rows(_trips(spark, sf), rules.trip_rules())
+    return rules.quarantine_rows(trip_view(spark, sf), TRIP_RULES)
 
 
 def _quarantine_folder(folder: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        trip_rules = rules.trip_rules()
-        bad = rules.quarantine_rows(_trips(spark, sf), trip_rules)
-        return rules.quarantine_folder(bad, folder, trip_rules)
+        bad = rules.quarantine_rows(trip_view(spark, sf), TRIP_RULES)
+        return rules.quarantine_folder(bad, folder, TRIP_RULES)
 
     return run
 
@@ -192,19 +194,19 @@ def skipped_files_semi(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def file_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.file_metrics(_trips(spark, sf), rules.trip_rules()).drop("error")
+    return quality.file_metrics(trip_view(spark, sf), TRIP_RULES).drop("error")
 
 
 @query
 def run_totals(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = quality.file_metrics(_trips(spark, sf), rules.trip_rules())
+    metrics = quality.file_metrics(trip_view(spark, sf), TRIP_RULES)
     return quality.run_totals(metrics)
 
 
 @query
 def quality_alert(spark: SparkSession, sf: str) -> DataFrame:
     """The alert decision per threshold, on both sides of the clean share."""
-    totals = quality.run_totals(quality.file_metrics(_trips(spark, sf), rules.trip_rules()))
+    totals = quality.run_totals(quality.file_metrics(trip_view(spark, sf), TRIP_RULES))
     default = quality.quality_alert(totals)
     strict = quality.quality_alert(totals, 95.0)
     columns = ["total_records", "alert_triggered"]
@@ -217,11 +219,11 @@ def quality_alert(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
     """Report of a run over the new files only, with the skipped ones listed."""
-    trips = _trips(spark, sf)
-    year = coerce.year_in_name(SOURCE_FILE)
+    trips = trip_view(spark, sf)
+    year = FILE_YEAR
     fresh = trips.where(f"{year} >= {DONE_BEFORE}")
     old = trips.where(f"{year} < {DONE_BEFORE}").select(SOURCE_FILE).distinct()
-    return quality.quality_report(quality.file_metrics(fresh, rules.trip_rules()), old)
+    return quality.quality_report(quality.file_metrics(fresh, TRIP_RULES), old)
 
 
 # ----------------------------------------------------------------- dimensions

@@ -19,6 +19,7 @@ TABLE_SCHEMAS = {
     "events": "ts TIMESTAMP_NTZ, event_type STRING, value DOUBLE",
 }
 
+FILE_YEAR = "file_year"
 _HOUR, _MINUTE = "INTERVAL '1' HOUR", "INTERVAL '1' MINUTE"
 
 
@@ -30,7 +31,8 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per order line, with every kind of invalid row and some optional columns absent.
 
     The join is left to Catalyst: a small ``orders`` is broadcast by its measured size, a large
-    one is sorted and merged, with hot order keys split at run time.
+    one is sorted and merged, with hot order keys split at run time. ``file_year`` is the year in
+    ``source_file``, known where the name is made, so no rule has to search the name for it.
     """
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     start = f"o_orderdate + l_partkey % 24 * {_HOUR}"
@@ -42,6 +44,8 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""CASE WHEN l_suppkey % 13 = 0 AND l_partkey % 5 = 0 THEN 'yellow_tripdata_2019-01.csv'
             ELSE concat('yellow_tripdata_', substring(CAST(o_orderdate AS STRING), 1, 7), '.csv')
             END AS {SOURCE_FILE}""",
+        f"""CASE WHEN l_suppkey % 13 = 0 AND l_partkey % 5 = 0 THEN 2019
+            ELSE year(o_orderdate) END AS {FILE_YEAR}""",
         "l_linenumber % 4 AS VendorID",
         f"CASE WHEN l_orderkey % 97 != 0 THEN {start} END AS {PICKUP}",
         f"""CASE WHEN l_orderkey % 89 = 0 THEN NULL
@@ -59,4 +63,4 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_columns(trips: DataFrame) -> DataFrame:
     """The columns a raw trip file would have, plus its name."""
-    return trips.drop("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return trips.drop("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", FILE_YEAR)
