@@ -107,6 +107,9 @@ def test_quarantine_keeps_only_the_folder_columns(spark):
             assert row[name] is None or name in kept[row.error_folder]
     both = R.quarantine_folder(bad, "multiple_errors", rules).first()
     assert (both.fare_amount, both.trip_distance, both.passenger_count) == (-1.0, -2.0, 1.0)
+    for folder in kept:
+        stored = R.quarantine_folder(bad, folder, rules)
+        assert sorted(map(str, R.folder_rows(df, folder, rules).collect())) == sorted(map(str, stored.collect()))
     assert R.quarantine_folder(bad, "invalid_year", rules).columns == [
         "source_file", "error_reason", "tpep_pickup_datetime",
     ]
@@ -137,7 +140,8 @@ def test_generated_methods_stay_small(spark):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for name in ["quarantine_rows", "clean_rows", "fact_trips", "top_dates", "rule_flags"]:
+        for name in ["quarantine_rows", "clean_rows", "fact_trips", "top_dates", "rule_flags",
+                     "quarantine_project_invalid_fare", "quarantine_project_multiple_errors"]:
             df = contract.queries()[name](spark, SF_SMALL)
             text = df._jdf.queryExecution().explainString(mode)
             sizes = [int(part.split(";")[0]) for part in text.split("maxMethodCodeSize:")[1:]]

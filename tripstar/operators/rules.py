@@ -65,8 +65,8 @@ def trip_rules(expected_year: str = f"nullif({year_in_name(SOURCE_FILE)}, 0)") -
 
 
 def _missing_or_not_positive(name: str) -> str:
-    # NaN compares greater than every number, so it needs a test of its own.
-    return f"({name} IS NULL OR isnan({name}) OR {name} <= 0)"
+    # NaN compares greater than every number, so it is replaced like NULL.
+    return f"nanvl(coalesce({name}, 0D), 0D) <= 0D"
 
 
 def _text(value: str) -> str:
@@ -134,18 +134,18 @@ def kept_columns(rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> dict
 def quarantine_columns(
     annotated: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
-    """The broken rows of an annotated frame, as one narrow table for all folders.
+    """Annotated broken rows as one narrow table for all folders.
 
     A column is NULL where the row's folder drops it. Rows that break several rules keep all.
     """
     several = f"{FAILED_RULES} & ({FAILED_RULES} - 1) != 0"
+    keeping = f"if({several}, {(1 << len(rules)) - 1}L, {FAILED_RULES}) AS _keeping"
     columns = []
     for name in kept_columns(rules, multiple)[multiple]:
         if name in annotated.columns:
             mask = sum(1 << i for i, rule in enumerate(rules) if name in rule.keep)
-            keeps = f"{FAILED_RULES} & {mask}L != 0 OR {several}"
-            columns.append(f"if({keeps}, {ident(name)}, NULL) AS {ident(name)}")
-    return annotated.where(F.col(FAILED_RULES) != 0).selectExpr(
+            columns.append(f"if(_keeping & {mask}L != 0, {ident(name)}, NULL) AS {ident(name)}")
+    return annotated.selectExpr("*", keeping).selectExpr(
         SOURCE_FILE, ERROR_REASON, ERROR_FOLDER, *columns
     )
 
@@ -154,13 +154,33 @@ def quarantine_rows(
     df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
     """Rows that break a rule, annotated and narrowed to what the quarantine keeps."""
-    return quarantine_columns(annotate(df, rules, multiple), rules, multiple)
+    broken = df.where(f"NOT ({is_clean(rules)})")
+    return quarantine_columns(annotate(broken, rules, multiple), rules, multiple)
+
+
+def folder_rows(
+    df: DataFrame, folder: str, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
+) -> DataFrame:
+    """``quarantine_folder`` of rows not yet annotated.
+
+    The rows are selected by the rules themselves: a filter on the derived folder name would
+    repeat the rules once per folder when Catalyst pushes it down.
+    """
+    if folder == multiple:
+        wanted = " + ".join(f"if({rule.broken}, 1, 0)" for rule in rules) + " > 1"
+    else:
+        wanted = " AND ".join(
+            rule.broken if rule.folder == folder else f"NOT {rule.broken}" for rule in rules
+        )
+    narrow = quarantine_columns(annotate(df.where(wanted), rules, multiple), rules, multiple)
+    names = [c for c in kept_columns(rules, multiple)[folder] if c in narrow.columns]
+    return narrow.selectExpr(SOURCE_FILE, ERROR_REASON, *map(ident, names))
 
 
 def quarantine_folder(
     quarantine: DataFrame, folder: str, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
-    """One folder's rows with only the columns that folder keeps."""
+    """One folder's rows of a stored quarantine, with only the columns that folder keeps."""
     names = [c for c in kept_columns(rules, multiple)[folder] if c in quarantine.columns]
     return quarantine.where(F.col(ERROR_FOLDER) == folder).selectExpr(
         SOURCE_FILE, ERROR_REASON, *map(ident, names)

@@ -150,8 +150,7 @@ def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _quarantine_folder(folder: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        bad = rules.quarantine_rows(trip_view(spark, sf), TRIP_RULES)
-        return rules.quarantine_folder(bad, folder, TRIP_RULES)
+        return rules.folder_rows(trip_view(spark, sf), folder, TRIP_RULES)
 
     return run
 

@@ -141,7 +141,8 @@ def _store(
                 rejected = spark.createDataFrame([(b,) for b in bad], f"{SOURCE_FILE} string")
                 good = good.join(F.broadcast(rejected), SOURCE_FILE, "left_anti")
             if any(r.total > r.clean and not r.malformed for r in per_file):
-                write_quarantine(quarantine_columns(good, rules), layout)
+                broken = good.where(F.col(FAILED_RULES) != 0)
+                write_quarantine(quarantine_columns(broken, rules), layout)
 
         error_rows = spark.createDataFrame(errors, f"{SOURCE_FILE} string, error string")
         metrics = complete_metrics(files, counts, error_rows)
