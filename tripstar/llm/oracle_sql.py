@@ -38,5 +38,19 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+OP5 = rf"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(1, len(l) + 1)) AS n, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+keyed AS (SELECT *, {folded("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM lines),
+repeated AS (
+  SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+judged AS (SELECT k.*, coalesce(k.doc_id > keeper, false) AS gone FROM keyed k LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2}
+    return {"op2_decontamination": OP2, "op5_line_dedup": OP5}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination
+from tripstar.llm import decontamination, line_dedup
 from tripstar.llm.tables import documents
 
 
@@ -24,5 +24,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = F.sha2(F.col("text").cast("binary"), 256)
+    return line_dedup.drop_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination,)}
+    return {f.__name__: f for f in (op2_decontamination, op5_line_dedup)}
