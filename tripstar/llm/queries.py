@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, line_dedup
+from tripstar.llm import decontamination, line_dedup, minhash
 from tripstar.llm.tables import documents
 
 
@@ -24,10 +25,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(documents(spark, sf_dir), threshold=Fraction(85, 100))
+    return found.select("*", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = F.sha2(F.col("text").cast("binary"), 256)
     return line_dedup.drop_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op5_line_dedup)}
+    return {f.__name__: f for f in (op2_decontamination, op4_minhash, op5_line_dedup)}
