@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, line_dedup, minhash
+from tripstar.llm import decontamination, line_dedup, minhash, suffix_dedup
 from tripstar.llm.tables import documents
 
 
@@ -25,6 +25,17 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir), length=100)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(documents(spark, sf_dir), threshold=Fraction(85, 100))
     return found.select("*", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -36,4 +47,4 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op4_minhash, op5_line_dedup)}
+    return {f.__name__: f for f in (op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup)}
