@@ -161,7 +161,8 @@ def dropped_keys(docs: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
     n_lines = docs.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0
     segments = 1 + int(n_lines) // SEGMENT_LINES
     lines = stored(suspects(docs, stored(line_filters(docs, segments)), segments, round_bytes))
-    repeated = lines.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last")
+    # stored, so that the join below deals both sides anew and a very common key can be split
+    repeated = stored(lines.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last"))
     later = lines.join(repeated, "key").where("doc_id > keeper")
     return later.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
 
