@@ -7,10 +7,22 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, line_dedup, minhash, suffix_dedup
+from tripstar.llm import decontamination, line_dedup, minhash, suffix_dedup, toxicity
 from tripstar.llm.tables import documents
 
 
+def crc_mod(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(crc_mod(3) != 1)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    held_out = F.coalesce(crc_mod(3) == 1, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.decontaminate(documents(spark, sf_dir), benchmark)
@@ -47,4 +59,4 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup)}
