@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, line_dedup, minhash, suffix_dedup, toxicity
+from tripstar.llm import decontamination, line_dedup, minhash, pii, suffix_dedup, toxicity
 from tripstar.llm.tables import documents
 
 
@@ -58,5 +58,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(listed(of(*pii.BASE)).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii)}
