@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, line_dedup, minhash, pii, suffix_dedup, toxicity
+from tripstar.llm import decontamination, line_dedup, minhash, packing, pii, suffix_dedup, toxicity
 from tripstar.llm.tables import documents
 
 
@@ -71,5 +71,9 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(of(*pii.BASE)).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), keep_ids=False)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing)}
