@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, line_dedup, minhash, packing, pii, suffix_dedup, toxicity
+from tripstar.llm import decontamination, kneser_ney, line_dedup, minhash, packing, pii, suffix_dedup, toxicity
 from tripstar.llm.tables import documents
 
 
@@ -75,5 +75,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), keep_ids=False)
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = kneser_ney.fit(docs.where(crc_mod(7) != 2))
+    held_out = F.coalesce(crc_mod(7) == 2, F.lit(False)).alias("held_out")
+    known = F.lit(model.tokens).cast("bigint").alias("train_tokens")
+    return kneser_ney.score(docs, model).select("doc_id", held_out, "n_tokens", "n_known", known, "base_score", "score")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op10_kneser_ney)}
