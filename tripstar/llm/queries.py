@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, kneser_ney, line_dedup, minhash, packing, pii, suffix_dedup, toxicity
+from tripstar.llm import decontamination, kneser_ney, line_dedup, minhash, neighbours, packing, pii, suffix_dedup, toxicity
 from tripstar.llm.tables import documents
 
 
@@ -75,6 +75,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), keep_ids=False)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = kneser_ney.fit(docs.where(crc_mod(7) != 2))
@@ -84,4 +89,4 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op10_kneser_ney)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op9_neighbours, op10_kneser_ney)}
