@@ -13,6 +13,10 @@ def alphanumeric_words(text: str) -> str:
     return rf"regexp_extract_all({folded(text)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
+def spaced_words(text: str) -> str:
+    return rf"regexp_extract_all({folded(text)}, '[^\x20\x09-\x0D]+')"
+
+
 OP2 = f"""
 WITH d AS (SELECT doc_id, {alphanumeric_words("text")} AS w FROM documents),
 b AS (SELECT item_id, {alphanumeric_words("text")} AS w FROM benchmark),
@@ -52,5 +56,20 @@ FROM judged GROUP BY doc_id
 """
 
 
+def _count(tokenizer: str, words: str) -> str:
+    return f"SELECT source, lang, '{tokenizer}' AS tokenizer, len({words}) AS n FROM left_over"
+
+
+OP8 = rf"""
+WITH left_over AS (
+  SELECT source, lang, regexp_replace(text, '(This work is licensed|Licensed under)[^\n]*', '', 'g') AS text
+  FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM documents)
+  WHERE text IS NULL OR doc_id = first)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM ({_count("words-1", spaced_words("text"))} UNION ALL {_count("words-2", alphanumeric_words("text"))})
+GROUP BY source, lang, tokenizer
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2, "op5_line_dedup": OP5}
+    return {"op2_decontamination": OP2, "op5_line_dedup": OP5, "op8_token_counts": OP8}

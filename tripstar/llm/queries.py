@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, kneser_ney, line_dedup, minhash, neighbours, packing, pii, suffix_dedup, toxicity
+from tripstar.llm import decontamination, kneser_ney, line_dedup, minhash, neighbours, packing, pii, suffix_dedup, token_counts, toxicity
 from tripstar.llm.tables import documents
 
 
@@ -75,6 +75,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), keep_ids=False)
 
 
+NOTICE = "(This work is licensed|Licensed under)[^\\n]*"
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup = token_counts.Rollup(spark)
+    return token_counts.corpus_history(documents(spark, sf_dir), NOTICE, ["words-1", "words-2"], rollup)
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return neighbours.nearest(vectors, lambda vec_id: vec_id % 20 == 0, k=20)
@@ -89,4 +97,4 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op9_neighbours, op10_kneser_ney)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op8_token_counts, op9_neighbours, op10_kneser_ney)}
