@@ -186,7 +186,7 @@ def find_phrases(docs: DataFrame, phrases: list[str], slack: int = 0) -> DataFra
     return phrase_matches(build_index(docs), Phrases(list(enumerate(phrases)), window=GAP // 4), slack)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", text: str = "text", limit: int = ITEM_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", text: str = "text", doc_id: str = "doc_id", limit: int = ITEM_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, items of every document.
 
     The test set goes to all workers, so its size is checked first: a larger one is an error, never cut.
@@ -197,4 +197,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id
     if size > limit:
         raise ValueError(f"the benchmark has {size} bytes, above {limit}; match it in parts")
     phrases = Phrases([(r.i, r.t) for r in items.collect()])
-    return phrase_matches(build_index(docs, np.unique(phrases.terms)), phrases)
+    return phrase_matches(build_index(docs, np.unique(phrases.terms), text, doc_id), phrases)

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripstar.llm.tables import stored
 from tripstar.llm.text import LOWER, NOT_SPACE, U64, VALUES, Block, PrefixHash, blocks, mix64
@@ -167,10 +167,14 @@ def dropped_keys(docs: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
     return later.groupBy("doc_id").agg(F.collect_set("hash").alias("hashes"))
 
 
-def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """doc_id, text without repeated lines, n_lines, n_dropped: one row for each row of docs."""
-    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    losses = dropped_keys(narrow.where("doc_id IS NOT NULL"), round_bytes)
+def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = (), round_bytes: int = ROUND_BYTES) -> DataFrame:
+    """doc_id, text without repeated lines, n_lines, n_dropped, rest: one row for each row of docs.
+
+    ``rest`` is a struct of the columns named in ``keep``, as they were; NULL if none are.
+    """
+    kept_columns = F.struct(*(F.col(f"`{c}`") for c in keep)) if keep else F.lit(None).cast("int")
+    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), kept_columns.alias("rest"))
+    losses = dropped_keys(narrow.where("doc_id IS NOT NULL").select("doc_id", "text"), round_bytes)
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,9 +197,10 @@ def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", roun
                 for a, b in zip(kept[block.starts], kept[block.ends + 1], strict=True):
                     texts.append(left[a : max(a, b - 1)])  # each line left ends with a line feed
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines.counts.astype(np.int64)), pa.array(dropped.astype(np.int64))],
-                    names=["doc_id", "text", "n_lines", "n_dropped"],
+                    [part.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines.counts.astype(np.int64)), pa.array(dropped.astype(np.int64)), part.column("rest")],
+                    names=["doc_id", "text", "n_lines", "n_dropped", "rest"],
                 )
 
-    return narrow.join(losses, "doc_id", "left").mapInArrow(cleaned, "doc_id bigint, text string, n_lines bigint, n_dropped bigint")
+    schema = T.StructType.fromDDL("doc_id bigint, text string, n_lines bigint, n_dropped bigint").add(narrow.schema["rest"])
+    return narrow.join(losses, "doc_id", "left").mapInArrow(cleaned, schema)
 

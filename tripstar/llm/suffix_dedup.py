@@ -271,7 +271,10 @@ def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
             for k in verified:
                 step = np.arange(length)
                 equal[k + 1] = (suffixes.data[place[k][:, None] + step] == suffixes.data[place[k + 1][:, None] + step]).all(1)
-            # the sort is stable and began in order of occurrence, so the first of equal windows is the earliest
+            # the sort is stable and began in order of occurrence, so the first of equal windows is the earliest;
+            # a window that a row given twice brings again is the same occurrence
+            lead = np.flatnonzero(~equal)[np.cumsum(~equal) - 1]
+            equal &= (doc[owner] != doc[owner[lead]]) | (start[owner] + shift != start[owner[lead]] + shift[lead])
             a, b, c = merged(owner[equal], shift[equal], shift[equal] + 1)
             yield _found(doc[a], start[a] + b, start[a] + c + length - 1)
 

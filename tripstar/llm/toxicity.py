@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripstar.llm.tables import stored
 
@@ -213,18 +213,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, text: str = "t
     return model
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with the column score added."""
-    spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
+    """docs with its score added as the column ``into``; a column of that name is replaced."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(shared.value.weights)
         for batch in batches:
             rows = [matcher.features(fold(t)) for t in batch.column(text).to_pylist()]
             scores = shared.value.scores(np.array(rows).reshape(-1, 5))
-            columns = [c for c in batch.schema.names if c != "score"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(scores)], names=[*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, into])
 
-    rest = docs.select(*(c for c in docs.columns if c != "score"))
-    return rest.mapInArrow(scored, T.StructType([*rest.schema.fields, T.StructField("score", T.DoubleType())]))
+    rest = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != into))
+    return rest.mapInArrow(scored, T.StructType([*rest.schema.fields, T.StructField(into, T.DoubleType())]))
