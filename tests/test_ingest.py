@@ -5,6 +5,7 @@ import os
 import pytest
 from sample import COLUMNS, bad_line, clean_line, sample, write_csv
 
+from tripstar.plans.gold import build_gold
 from tripstar.plans.ingest import ingest
 from tripstar.sources import layers, raw
 from tripstar.sources.layers import Layout
@@ -170,9 +171,112 @@ def test_hot_file_is_not_written_by_one_task(spark, layout):
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     try:
-        layers.write_quarantine(rows, layout)
+        layers.write_quarantine(rows, layout, "1")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    stored = layers.read_quarantine(spark, layout)
+    stored = spark.read.parquet(layout.quarantine)
     assert stored.count() == 300_000
     assert stored.select(F.col("_metadata.file_path")).distinct().count() > 1
+
+
+# ------------------------------------------------------------------ odd files
+
+
+def store(spark, layout, **options):
+    """error or (total, clean) of each file, and the stored rows."""
+    run = ingest(spark, layout, **options)
+    rows = run.metrics.collect()
+    return {r.source_file[16:-4]: r.error or (r.total, r.clean) for r in rows}
+
+
+def raw_text(layout, name, *lines):
+    with open(f"{layout.raw}/yellow_tripdata_{name}.csv", "w", encoding="utf-8") as out:
+        out.write("\n".join(lines) + "\n")
+
+
+HEAD = "tpep_pickup_datetime,tpep_dropoff_datetime,fare_amount,trip_distance,passenger_count,note,memo"
+ROW = "2019-01-01 10:00:00,2019-01-01 10:30:00,10,1.5,1"
+
+
+@pytest.mark.parametrize("cached", [True, False])
+def test_surplus_fields_at_every_storage_level(spark, layout, cached):
+    options = {} if cached else {"storage_level": None}
+    raw_text(layout, "2019-01", HEAD, f"{ROW},a,b", f"{ROW},a,b,c")
+    raw_text(layout, "2019-02", HEAD, f'{ROW},a"b,c"d,e')
+    raw_text(layout, "2019-03", HEAD, f'{ROW},"a,b",c', f"{ROW},short")
+    raw_text(layout, "2019-04", HEAD.removesuffix(",memo"), f"{ROW},x", f"{ROW},x,y")
+    found = store(spark, layout, **options)
+    assert found.pop("2019-03") == (2, 2)
+    assert all("more fields" in error for error in found.values()) and len(found) == 3
+
+
+def test_a_bad_header_costs_only_its_file(spark, layout):
+    write_csv(layout.raw, "yellow_tripdata_2019-01.csv", sample(2, 1))
+    raw_text(layout, "2019-02", HEAD.replace("memo", "note"), f"{ROW},a,b")
+    raw_text(layout, "2019-03", f",{HEAD}", f"0,{ROW},a,b")
+    raw_text(layout, "2019-04", HEAD.replace("note", "source_file").replace("memo", "_malformed"), f"{ROW},a,b")
+    raw_text(layout, "2019-05", HEAD.replace("note", "vendorid").replace("memo", "VendorID"), f"{ROW},text,2")
+    raw_text(layout, "2019-06", HEAD.replace("note", "vendorid").replace("memo", "Note"), f"{ROW},text,b")
+    raw_text(layout, "2019-07", "some,thing", "1,2")
+    raw_text(layout, "2019-08", "")
+    parts = f"{layout.raw}/yellow_tripdata_2019-09.csv"
+    os.mkdir(parts)
+    for k, order in enumerate((HEAD, HEAD.replace("note,memo", "memo,note"))):
+        with open(f"{parts}/part-{k}.csv", "w", encoding="utf-8") as out:
+            out.write(f"{order}\n{ROW},a,b\n")
+    found = store(spark, layout)
+    assert found["2019-01"] == (3, 2) and found["2019-09"] == (2, 2)
+    assert all(found[f"2019-0{k}"] == (1, 1) for k in range(2, 7))
+    assert "Missing columns" in found["2019-07"]
+    rows = {r.source_file[16:-4]: r for r in layers.read_silver(spark, layout, all_columns=True).collect()}
+    assert rows["2019-02"]["note.1"] == "b" and rows["2019-03"]["Unnamed: 0"] == "0"
+    assert rows["2019-04"]["source_file_raw"] == "a" and rows["2019-05"]["VendorID"] == 2.0
+    assert rows["2019-05"]["vendorid_raw"] == "text" and rows["2019-06"]["VendorID"] is None
+    both = layers.read_silver(spark, layout, all_columns=True).where("source_file LIKE '%-09.csv'")
+    assert {(r.note, r.memo) for r in both.collect()} == {("a", "b"), ("b", "a")}
+    assert build_gold(spark, layout).where("table = 'fact_trips' AND records = 9").count() == 1
+    write_csv(layout.raw, "yellow_tripdata_2019-10.csv", sample(1, 0))
+    assert store(spark, layout)["2019-10"] == (1, 1)
+
+
+def test_time_format_of_the_file(spark, layout):
+    times = {
+        "2019-01": ("2019-01-02T03:04:05", "2019-01-02T03:14:05"),
+        "2019-02": ("2019-02-02 03:04:05.250", "2019-02-02 03:14:05.5"),
+        "2019-03": ("2019-03-02 03:04", "2019-03-02 03:14"),
+        "2019-04": ("04/02/2019 03:04:05", "4/2/2019 3:14:05"),
+        "2019-05": ("05/02/2019 11:04:05 PM", "05/02/2019 11:14:05 pm"),
+        "2019-06": ("2019-06-02", "2019-06-03"),
+    }
+    for name, (start, end) in times.items():
+        other = "2019-01-01 10:00:00"
+        raw_text(layout, name, HEAD, f",{end},10,1,1,a,b", f"{start},{end},10,1,1,a,b", f"{other},{end},10,1,1,a,b")
+    assert set(store(spark, layout).values()) == {(3, 1)}
+    got = {r.source_file[16:-4]: str(r.tpep_pickup_datetime) for r in layers.read_silver(spark, layout).collect()}
+    assert got == {
+        "2019-01": "2019-01-02 03:04:05", "2019-02": "2019-02-02 03:04:05.250000", "2019-03": "2019-03-02 03:04:00",
+        "2019-04": "2019-04-02 03:04:05", "2019-05": "2019-05-02 23:04:05", "2019-06": "2019-06-02 00:00:00",
+    }
+
+
+def test_quoted_line_breaks_by_default(spark, layout):
+    raw_text(layout, "2019-01", HEAD, f'{ROW},"two\nlines",b', f'{ROW},a,"last\nfield"', f"{ROW},a,b")
+    raw_text(layout, "2019-02", HEAD, f"{ROW},5\" pipe,b", f"{ROW},a,b")
+    assert store(spark, layout) == {"2019-01": (3, 3), "2019-02": (2, 2)}
+    notes = {r.note for r in layers.read_silver(spark, layout, all_columns=True).collect()}
+    assert notes == {"two\nlines", "a", '5" pipe'}
+
+
+def test_a_changed_file_replaces_its_quarantine(spark, layout):
+    name = "yellow_tripdata_2019-01.csv"
+    write_csv(layout.raw, name, sample(0, 5))
+    store(spark, layout)
+    assert {(r.error_folder, r.records) for r in layers.folder_counts(spark, layout).collect()} == {("invalid_fare", 5)}
+    bad = clean_line()
+    bad[3] = "0"
+    write_csv(layout.raw, name, [bad, bad])
+    store(spark, layout)
+    assert {(r.error_folder, r.records) for r in layers.folder_counts(spark, layout).collect()} == {("invalid_distance", 2)}
+    write_csv(layout.raw, name, sample(1, 0))
+    store(spark, layout)
+    assert layers.folder_counts(spark, layout).count() == 0 and layers.saved_counts(spark, layout).count() == 1

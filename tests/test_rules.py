@@ -117,7 +117,7 @@ def test_quarantine_keeps_only_the_folder_columns(spark):
 
 def test_reasons_as_array(spark):
     df = R.annotate(frame(spark, [GOOD, {**GOOD, "fare_amount": 0.0, "trip_distance": 0.0}]), R.trip_rules())
-    got = [r.v for r in df.orderBy("failed_rules").selectExpr(f"{R.error_reasons()} AS v").collect()]
+    got = [r.v for r in df.orderBy("failed_rules").selectExpr(f"{R.error_reasons(R.trip_rules())} AS v").collect()]
     assert got == [[], LABELS[2:4]]
 
 
@@ -125,12 +125,34 @@ def test_limits_and_quoting(spark):
     df = spark.range(3)
     odd = R.Rule("it's\\odd", "odd", "id % 2 = 1")
     assert {r.error_reason for r in R.annotate(df, [odd]).collect()} == {None, "it's\\odd"}
-    many = [R.Rule(f"r{i}", f"f{i}", f"id = {i}") for i in range(R.MAX_RULES)]
-    assert {r.error_folder for r in R.annotate(df, many).collect()} == {"f0", "f1", "f2"}
+    for n in (R.MAX_BITS, 80):
+        many = [R.Rule(f"r{i}", f"f{i}", f"id = {i}") for i in range(n)]
+        assert {r.error_folder for r in R.annotate(df, many).collect()} == {"f0", "f1", "f2"}
     with pytest.raises(ValueError, match="rules"):
         R.failed_bits([])
 
 
+def test_reason_array_keeps_odd_labels(spark):
+    rules = [R.Rule("a; b", "x", "id > 0"), R.Rule("c", "y", "id > 1")]
+    df = R.annotate(spark.range(3), rules).orderBy("id")
+    assert [r.v for r in df.selectExpr(f"{R.error_reasons(rules)} AS v").collect()] == [[], ["a; b"], ["a; b", "c"]]
+
+
+def test_eighty_rules(spark):
+    """The array form gives what the bits give."""
+    few = [R.Rule(f"r{i}", f"f{i % 7}", f"id % {i + 2} = 1", ("id", "half")[: i % 3]) for i in range(40)]
+    many = few + [R.Rule(f"never{i}", "g", "id < 0") for i in range(40)]
+    df = spark.range(200).selectExpr("id", "id / 2 AS half", "'s' AS source_file")
+    assert R.route_counts(df, many).orderBy("error_folder").collect() == R.route_counts(df, few).orderBy("error_folder").collect()
+    one, other = (R.annotate(df, rules).select("id", "error_reason", "error_folder").orderBy("id").collect() for rules in (few, many))
+    assert one == other
+    assert R.clean_rows(df, many).count() == R.clean_rows(df, few).count()
+    wide = [R.Rule(r.label, f"own{i}", r.fails, r.keep) for i, r in enumerate(few)]
+    wider = wide + many[40:]
+    one, other = (R.quarantine_rows(df, rules).orderBy("error_reason", "id").collect() for rules in (wide, wider))
+    assert one == other
+
+
 def test_generated_methods_stay_small(spark):
     """The JIT compiler skips methods above 8,000 bytes."""
     from conftest import SF_SMALL

@@ -7,6 +7,9 @@ whole-stage code generation.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -19,8 +22,21 @@ from tripstar.schemas import (
     PICKUP,
 )
 
-# Full date and time to the second; one or two digits per part except the year.
-_TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+_DAY, _US_DAY, _CLOCK = r"\d{4}-\d{1,2}-\d{1,2}", r"\d{1,2}/\d{1,2}/\d{4}", r"\d{1,2}:\d{1,2}:\d{1,2}"
+SECONDS = "yyyy-M-d H:m:s"
+# Time formats that a file may use: the shape of a value, and the SQL that reads one. One or two
+# digits per part except the year.
+TIME_FORMATS = {
+    SECONDS: (rf"^{_DAY} {_CLOCK}$", "try_cast({} AS TIMESTAMP_NTZ)"),
+    "yyyy-M-dTH:m:s": (rf"^{_DAY}T{_CLOCK}$", "try_cast({} AS TIMESTAMP_NTZ)"),
+    "yyyy-M-d H:m:s.S": (rf"^{_DAY} {_CLOCK}\.\d{{1,9}}$", "try_cast({} AS TIMESTAMP_NTZ)"),
+    "yyyy-M-dTH:m:s.S": (rf"^{_DAY}T{_CLOCK}\.\d{{1,9}}$", "try_cast({} AS TIMESTAMP_NTZ)"),
+    "yyyy-M-d H:m": (rf"^{_DAY} \d{{1,2}}:\d{{1,2}}$", "try_cast(concat({}, ':00') AS TIMESTAMP_NTZ)"),
+    "yyyy-M-d": (rf"^{_DAY}$", "try_cast({} AS TIMESTAMP_NTZ)"),
+    "M/d/yyyy H:m:s": (rf"^{_US_DAY} {_CLOCK}$", "CAST(try_to_timestamp({}, 'M/d/yyyy H:m:s') AS TIMESTAMP_NTZ)"),
+    "M/d/yyyy h:m:s a": (rf"^{_US_DAY} {_CLOCK} [AaPp][Mm]$", "CAST(try_to_timestamp(upper({}), 'M/d/yyyy h:m:s a') AS TIMESTAMP_NTZ)"),
+    "M/d/yyyy H:m": (rf"^{_US_DAY} \d{{1,2}}:\d{{1,2}}$", "CAST(try_to_timestamp({}, 'M/d/yyyy H:m') AS TIMESTAMP_NTZ)"),
+}
 _PADDED_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s+$"
 _INFINITY_SHAPE = r"^[+-]?(?i)inf(inity)?$"
 _NUMBER_ENDS = "'0', '1', '2', '3', '4', '5', '6', '7', '8', '9', '.'"
@@ -32,16 +48,29 @@ def ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def parse_timestamp(text: str, cast: str | None = None) -> str:
-    """``yyyy-M-d H:m:s`` text -> TIMESTAMP_NTZ, else NULL.
+def time_format(value: str | None) -> str:
+    """Format of a file, from its first value; the default where that has none of the known shapes."""
+    for name, (shape, _) in TIME_FORMATS.items():
+        if value is not None and re.match(shape, value, re.ASCII):
+            return name
+    return SECONDS
+
+
+def read_timestamp(text: str, form: str = SECONDS) -> str:
+    """Text -> TIMESTAMP_NTZ in one format, NULL where it can't be read; the shape is not tested."""
+    return TIME_FORMATS[form][1].format(text)
+
+
+def parse_timestamp(text: str, cast: str | None = None, form: str = SECONDS) -> str:
+    """Text of one format (``yyyy-M-d H:m:s`` by default) -> TIMESTAMP_NTZ, else NULL.
 
     The shape test is needed because the cast alone also takes ``2019``, a bare date, a fraction
     or a zone. Independent of the session's time zone and timestamp type. ``cast`` is the column
-    that already holds ``try_cast(text AS TIMESTAMP_NTZ)``.
+    that already holds ``read_timestamp(text, form)``.
     """
-    cast = cast or f"try_cast({text} AS TIMESTAMP_NTZ)"
+    cast = cast or read_timestamp(text, form)
     return (
-        f"CASE WHEN {text} RLIKE r'{_TIMESTAMP_SHAPE}'"
+        f"CASE WHEN {text} RLIKE r'{TIME_FORMATS[form][0]}'"
         f" AND {cast} >= TIMESTAMP_NTZ'{MIN_TIMESTAMP}' AND {cast} <= TIMESTAMP_NTZ'{MAX_TIMESTAMP}'"
         f" THEN {cast} END"
     )
@@ -72,9 +101,11 @@ def null_if_na(text: str) -> str:
     return f"CASE WHEN NOT {text} IN ({_NA_LIST}) THEN {text} END"
 
 
-def typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame, formats: Mapping[str, str] | None = None) -> DataFrame:
     """``df`` with its known columns typed where they are still text; others are unchanged.
 
+    ``formats`` names the time format of a column (see ``TIME_FORMATS``).
+
     Two steps: cast every column once, then keep the casts whose text has the right form. One
     step would repeat each cast, and make generated methods too long for the JIT compiler.
     """
@@ -83,12 +114,13 @@ def typed(df: DataFrame) -> DataFrame:
     numbers = [c for c in df.columns if c in texts and c in NUMERIC_COLUMNS]
     if not times and not numbers:
         return df
-    casts = [f"try_cast({c} AS TIMESTAMP_NTZ) AS _cast_{c}" for c in times]
+    formats = {c: (formats or {}).get(c, SECONDS) for c in times}
+    casts = [f"{read_timestamp(c, formats[c])} AS _cast_{c}" for c in times]
     casts += [f"try_cast({c} AS DOUBLE) AS _cast_{c}" for c in numbers]
 
     def final(name: str) -> str:
         if name in times:
-            return f"{parse_timestamp(name, f'_cast_{name}')} AS {name}"
+            return f"{parse_timestamp(name, f'_cast_{name}', formats[name])} AS {name}"
         if name in numbers:
             return f"{parse_number(name, f'_cast_{name}')} AS {name}"
         return ident(name)

@@ -143,14 +143,16 @@ def summary_stats(fact: DataFrame, columns: Sequence[str] = tuple(SUMMARY_COLUMN
 def top_dates(fact: DataFrame, dim_date: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` busiest dates with their revenue; ties go to the earlier date."""
     per_date = fact.groupBy("date_key").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue")
+        F.count(F.lit(1)).alias("trips"),
+        # in cents, so that the sum does not depend on the order of the rows
+        F.expr("sum(try_cast(total_amount AS DECIMAL(18, 2)))").alias("revenue"),
     )
     names = dim_date.select("date_key", "full_date", "day_name")
     return (
         per_date.join(F.broadcast(names), "date_key")
         .orderBy(F.desc("trips"), "full_date")
         .limit(n)
-        .selectExpr("full_date", "day_name", "trips", f"{round2('revenue')} AS revenue")
+        .selectExpr("full_date", "day_name", "trips", "CAST(revenue AS DOUBLE) AS revenue")
     )
 
 

@@ -31,7 +31,11 @@ class Lookup:
 
 
 def star_lookup(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Add one surrogate-key column per lookup; every fact row is kept exactly once."""
+    """Add one surrogate-key column per lookup; every fact row is kept exactly once.
+
+    A lookup may use the result of an earlier one as its key. A miss stays NULL within such a chain,
+    so it misses there too; the defaults come in at the end.
+    """
     out = facts
     for i, lookup in enumerate(lookups):
         natural, surrogate = f"_natural_{i}", f"_surrogate_{i}"
@@ -42,9 +46,8 @@ def star_lookup(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             dim = F.broadcast(dim)
         out = (
             out.join(dim, F.expr(f"{lookup.key} = {natural}"), "left")
-            .withColumn(
-                lookup.name, F.expr(f"CAST(coalesce({surrogate}, {lookup.default}) AS BIGINT)")
-            )
+            .withColumn(lookup.name, F.expr(f"CAST({surrogate} AS BIGINT)"))
             .drop(natural, surrogate)
         )
-    return out
+    defaults = {x.name: F.expr(f"coalesce({ident(x.name)}, CAST({x.default} AS BIGINT))") for x in lookups}
+    return out.withColumns(defaults)

@@ -26,7 +26,7 @@ from tripstar.schemas import (
     TRIP_RULE_NAMES,
 )
 
-MAX_RULES = 62
+MAX_BITS = 62  # rules that fit one BIGINT; larger rule sets keep the labels in an array instead
 REASON_SEPARATOR = "; "
 
 
@@ -74,9 +74,14 @@ def _text(value: str) -> str:
 
 
 def failed_bits(rules: Sequence[Rule]) -> str:
-    """BIGINT expression: bit i is set where rule i is broken; 0 means clean."""
-    if not 0 < len(rules) <= MAX_RULES:
-        raise ValueError(f"need 1 to {MAX_RULES} rules, got {len(rules)}")
+    """BIGINT expression: bit i is set where rule i is broken; 0 means clean.
+
+    Beyond ``MAX_BITS`` rules it is the number of broken rules, which is 0 for a clean row just so.
+    """
+    if not rules:
+        raise ValueError("need one or more rules")
+    if len(rules) > MAX_BITS:
+        return f"CAST(size({broken_labels(rules)}) AS BIGINT)"
     return " + ".join(f"if({rule.broken}, {1 << i}L, 0L)" for i, rule in enumerate(rules))
 
 
@@ -94,8 +99,28 @@ def folder_name(
     return f"CASE {bits} WHEN 0L THEN {_text(CLEAN)} {single} ELSE {_text(multiple)} END"
 
 
+def broken_labels(rules: Sequence[Rule]) -> str:
+    """Labels of the broken rules in rule order as ARRAY<STRING>, from the predicates."""
+    return f"array_compact(array({', '.join(f'if({r.broken}, {_text(r.label)}, NULL)' for r in rules)}))"
+
+
+def _annotate_many(df: DataFrame, rules: Sequence[Rule], multiple: str) -> DataFrame:
+    """``annotate`` for any number of rules: one array of labels instead of bits."""
+    folders = ", ".join(f"{_text(r.label)}, {_text(r.folder)}" for r in rules)
+    labels = df.selectExpr("*", f"{broken_labels(rules)} AS _labels")
+    return labels.selectExpr(
+        "* EXCEPT (_labels)",
+        f"CAST(size(_labels) AS BIGINT) AS {FAILED_RULES}",
+        f"if(size(_labels) > 0, array_join(_labels, {_text(REASON_SEPARATOR)}), NULL) AS {ERROR_REASON}",
+        f"CASE size(_labels) WHEN 0 THEN {_text(CLEAN)} WHEN 1 THEN map({folders})[_labels[0]]"
+        f" ELSE {_text(multiple)} END AS {ERROR_FOLDER}",
+    )
+
+
 def annotate(df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> DataFrame:
     """Add ``failed_rules``, ``error_reason`` and ``error_folder``."""
+    if len(rules) > MAX_BITS:
+        return _annotate_many(df, rules, multiple)
     return df.selectExpr("*", f"{failed_bits(rules)} AS {FAILED_RULES}").selectExpr(
         "*",
         f"{reason_text(rules)} AS {ERROR_REASON}",
@@ -103,10 +128,15 @@ def annotate(df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRO
     )
 
 
-def error_reasons() -> str:
-    """The broken rules' labels of an annotated row as ARRAY<STRING> (empty if clean)."""
-    split = f"split({ERROR_REASON}, {_text(REASON_SEPARATOR)})"
-    return f"coalesce({split}, CAST(array() AS ARRAY<STRING>))"
+def error_reasons(rules: Sequence[Rule], bits: str = FAILED_RULES) -> str:
+    """The broken rules' labels of an annotated row as ARRAY<STRING> (empty if clean).
+
+    Beyond ``MAX_BITS`` rules the row's own columns are tested again, as no bits are kept.
+    """
+    if len(rules) > MAX_BITS:
+        return broken_labels(rules)
+    labels = [f"if({bits} & {1 << i}L != 0, {_text(r.label)}, NULL)" for i, r in enumerate(rules)]
+    return f"array_compact(array({', '.join(labels)}))"
 
 
 def rule_flags(rules: Sequence[Rule]) -> list[str]:
@@ -138,9 +168,15 @@ def quarantine_columns(
 
     A column is NULL where the row's folder drops it. Rows that break several rules keep all.
     """
+    columns = []
+    if len(rules) > MAX_BITS:
+        for name in kept_columns(rules, multiple)[multiple]:
+            if name in annotated.columns:
+                folders = ", ".join(sorted({_text(r.folder) for r in rules if name in r.keep} | {_text(multiple)}))
+                columns.append(f"if({ERROR_FOLDER} IN ({folders}), {ident(name)}, NULL) AS {ident(name)}")
+        return annotated.selectExpr(SOURCE_FILE, ERROR_REASON, ERROR_FOLDER, *columns)
     several = f"{FAILED_RULES} & ({FAILED_RULES} - 1) != 0"
     keeping = f"if({several}, {(1 << len(rules)) - 1}L, {FAILED_RULES}) AS _keeping"
-    columns = []
     for name in kept_columns(rules, multiple)[multiple]:
         if name in annotated.columns:
             mask = sum(1 << i for i, rule in enumerate(rules) if name in rule.keep)
@@ -191,6 +227,9 @@ def route_counts(
     df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
     """Rows per folder, clean included; counted per bit pattern before anything is shuffled."""
+    if len(rules) > MAX_BITS:
+        per_folder = annotate(df, rules, multiple).groupBy(ERROR_FOLDER)
+        return per_folder.agg(F.count(F.lit(1)).alias("trips"))
     per_pattern = df.selectExpr(f"{failed_bits(rules)} AS {FAILED_RULES}").groupBy(FAILED_RULES)
     counts = per_pattern.agg(F.count(F.lit(1)).alias("n"))
     folders = counts.selectExpr(f"{folder_name(rules, multiple)} AS {ERROR_FOLDER}", "n")

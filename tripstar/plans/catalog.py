@@ -416,25 +416,39 @@ def trips_by_payment(spark: SparkSession, sf: str) -> DataFrame:
 # ----------------------------------------------------------------- stored layers, end to end
 
 
-def _write_raw(spark: SparkSession, sf: str, folder: str) -> None:
-    """The trips as headered CSV, one directory of part files per monthly file."""
-    text = _trips(spark, sf).withColumns(
-        {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in (PICKUP, DROPOFF)}
-    )
-    with many_small_files(spark):
+def _times_as_text(trips: DataFrame, form: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    return trips.withColumns({c: F.date_format(c, form) for c in (PICKUP, DROPOFF)})
+
+
+def _write_csv(text: DataFrame, folder: str, mode: str = "error") -> None:
+    """Headered CSV, one directory of part files per monthly file."""
+    with many_small_files(text.sparkSession):
         (
             text.hint("rebalance", SOURCE_FILE)
-            .write.partitionBy(SOURCE_FILE)
+            .write.mode(mode)
+            .partitionBy(SOURCE_FILE)
             .option("header", True)
             .csv(folder)
         )
 
 
-def _ingested(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:
+def _write_raw(spark: SparkSession, sf: str, folder: str) -> None:
+    _write_csv(_times_as_text(_trips(spark, sf)), folder)
+
+
+def _new_layout(spark: SparkSession) -> layers.Layout:
     root = scratch_folder(spark)
-    layout = layers.Layout(raw=f"{root}/raw", root=f"{root}/tables")
+    return layers.Layout(raw=f"{root}/raw", root=f"{root}/tables")
+
+
+MONTHS = "*yellow_tripdata*.csv"
+FILE_MONTH = f"CAST(substring({SOURCE_FILE}, -6, 2) AS INT)"
+
+
+def _ingested(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:
+    layout = _new_layout(spark)
     _write_raw(spark, sf, layout.raw)
-    return layout, ingest(spark, layout, pattern="*yellow_tripdata*.csv")
+    return layout, ingest(spark, layout, pattern=MONTHS)
 
 
 @query
@@ -495,3 +509,97 @@ def csv_run_report(spark: SparkSession, sf: str) -> DataFrame:
     layout, run = _ingested(spark, sf)
     built = gold_plan.build_gold(spark, layout)
     return run_report(spark, layout, run, built)
+
+
+# ----------------------------------------------------------------- odd files and repeated runs
+
+FORMATS = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "MM/dd/yyyy HH:mm:ss"]
+
+
+@query
+def csv_time_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics where the files of different months write times differently."""
+    layout = _new_layout(spark)
+    for k, form in enumerate(FORMATS):
+        months = _trips(spark, sf).where(f"{FILE_MONTH} % {len(FORMATS)} = {k}")
+        _write_csv(_times_as_text(months, form), layout.raw, "append")
+    return ingest(spark, layout, pattern=MONTHS).metrics.drop("error")
+
+
+# What the note of a line holds, written as it is: a surplus field, a quoted comma, a stray quote,
+# a line break inside quotes.
+NOTES = f"""CASE WHEN {FILE_MONTH} = 5 AND passenger_count = 3 THEN 'x,y' WHEN {FILE_MONTH} = 6 THEN '"x,y"'
+    WHEN {FILE_MONTH} = 7 THEN 'x"y' WHEN {FILE_MONTH} = 8 AND passenger_count = 4 THEN '"x\ny"' ELSE 'x' END AS note"""
+
+
+@query
+def csv_ragged_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics and errors of files with surplus fields, stray quotes and quoted line breaks."""
+    layout = _new_layout(spark)
+    noted = _times_as_text(_trips(spark, sf)).selectExpr("*", NOTES)
+    names = [c for c in noted.columns if c != SOURCE_FILE]
+    line = F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names))
+    lines = noted.select(SOURCE_FILE, line.alias("value"), F.lit(1).alias("at"))
+    heads = noted.select(SOURCE_FILE).distinct().select(SOURCE_FILE, F.lit(",".join(names)).alias("value"), F.lit(0).alias("at"))
+    # as text, one part for each file, because a CSV writer would not write such lines
+    dealt = heads.unionByName(lines).repartition(SOURCE_FILE).sortWithinPartitions(SOURCE_FILE, "at")
+    dealt.drop("at").write.partitionBy(SOURCE_FILE).text(layout.raw)
+    return ingest(spark, layout, pattern=MONTHS, storage_level=None).metrics
+
+
+def _odd_headers(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:
+    """February lacks a required column; March spells one in another case."""
+    layout = _new_layout(spark)
+    text = _times_as_text(_trips(spark, sf))
+    _write_csv(text.where(f"{FILE_MONTH} NOT IN (2, 3)"), layout.raw)
+    _write_csv(text.where(f"{FILE_MONTH} = 2").drop("fare_amount"), layout.raw, "append")
+    _write_csv(text.where(f"{FILE_MONTH} = 3").withColumnRenamed("VendorID", "vendorid"), layout.raw, "append")
+    return layout, ingest(spark, layout, pattern=MONTHS)
+
+
+@query
+def csv_bad_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics where some files have a header that does not fit; the others go in."""
+    return _odd_headers(spark, sf)[1].metrics
+
+
+@query
+def csv_mixed_case_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact table where a column name differs by case in some files and so does not count there."""
+    layout, _ = _odd_headers(spark, sf)
+    gold_plan.build_gold(spark, layout)
+    return layers.read_gold(spark, layout, "fact_trips").drop(fact.TRIP_ID)
+
+
+@query
+def csv_reingest_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Quarantine counts after files that were wholly broken came again with other content."""
+    layout = _new_layout(spark)
+    text = _times_as_text(_trips(spark, sf))
+    _write_csv(text.withColumn("fare_amount", F.lit(-1.0)), layout.raw)
+    ingest(spark, layout, pattern=MONTHS)
+    _write_csv(text, layout.raw, "overwrite")
+    ingest(spark, layout, pattern=MONTHS)
+    return layers.folder_counts(spark, layout)
+
+
+@query
+def rules_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines per folder under eighty rules."""
+    many = [rules.Rule(f"rule {i}", f"f{i}", f"l_partkey % {50 + i} = 1") for i in range(80)]
+    return rules.route_counts(table(spark, sf, "lineitem"), many)
+
+
+@query
+def star_lookup_misses(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines through some orders and some customers to nations: a miss stays a miss."""
+    orders = table(spark, sf, "orders").where("o_orderkey % 7 != 0")
+    customers = table(spark, sf, "customer").where("c_custkey % 5 != 0")
+    return star_lookup(
+        table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"),
+        [
+            Lookup(orders, "o_orderkey", "o_custkey", "l_orderkey", "cust_key"),
+            Lookup(customers, "c_custkey", "c_nationkey", "cust_key", "nation_key", default=-1),
+            Lookup(table(spark, sf, "nation"), "n_nationkey", "n_regionkey", "nation_key", "region_key", default=-1),
+        ],
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -17,6 +18,7 @@ from tripstar.schemas import (
     ERROR_REASON,
     FAILED_RULES,
     MALFORMED,
+    OPEN_QUOTE,
     RAW_PREFIX,
     RAW_SUFFIX,
     SOURCE_FILE,
@@ -33,6 +35,7 @@ from tripstar.sources.raw import (
     RawBatch,
     RawUnit,
     collect_units,
+    frames_of,
     new_files,
     raw_units,
     read_raw,
@@ -74,6 +77,11 @@ def ingest(
     )
 
 
+def new_run_id() -> str:
+    """Unique; later runs have greater ids."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
+
+
 def ingest_units(
     spark: SparkSession,
     layout: Layout,
@@ -86,14 +94,15 @@ def ingest_units(
     """Validate the given units and store the results; returns the run id.
 
     A file is wholly in or wholly out: its lines are counted first, and a file with a malformed
-    line is left out of both layers. Silver is written last, because a file counts as done once
-    it has silver rows. A repeated run replaces exactly the same partitions.
+    line is left out of both layers. A file with line breaks inside quotes is read again in one
+    piece. Silver is written last, because a file counts as done once it has silver rows. Readers
+    see the quarantine of a file's newest run only.
 
     The parsed rows serve three jobs. ``storage_level`` keeps them on the executors' disks
     meanwhile; a lost executor only costs re-reading its files. ``None`` parses the files again
-    for each job and needs no disk.
+    for each job and needs no disk; the result is the same.
     """
-    run_id = run_id or uuid.uuid4().hex
+    run_id = run_id or new_run_id()
     with compiled_methods(spark):
         _store(spark, layout, read_raw(spark, units, multi_line), units, run_id, storage_level)
     return run_id
@@ -112,22 +121,32 @@ def _store(
     errors = list(batch.errors)
     counts = spark.createDataFrame([], f"{SOURCE_FILE} string, total bigint, clean bigint")
 
-    annotated = None
-    if batch.frame is not None:
-        annotated = annotate(batch.frame, rules)
-        if storage_level is not None:
-            annotated = annotated.persist(storage_level)
-    try:
-        if annotated is not None:
-            per_file = (
-                annotated.groupBy(SOURCE_FILE)
-                .agg(
-                    F.count(F.lit(1)).alias("total"),
-                    F.count_if(F.col(FAILED_RULES) == 0).alias("clean"),
-                    F.count_if(F.col(MALFORMED)).alias("malformed"),
-                )
-                .collect()  # one row per file
+    def annotated_rows(frame: DataFrame) -> DataFrame:
+        rows = annotate(frame, rules)
+        return rows if storage_level is None else rows.persist(storage_level)
+
+    def counted(rows: DataFrame) -> list:
+        """One row per file."""
+        return (
+            rows.groupBy(SOURCE_FILE)
+            .agg(
+                F.count(F.lit(1)).alias("total"),
+                F.count_if(F.col(FAILED_RULES) == 0).alias("clean"),
+                F.count_if(F.col(MALFORMED)).alias("malformed"),
+                F.count_if(F.col(OPEN_QUOTE)).alias("open_quotes"),
             )
+            .collect()
+        )
+
+    annotated, per_file = None, []
+    try:
+        if batch.frame is not None:
+            annotated = annotated_rows(batch.frame)
+            per_file = counted(annotated)
+            if whole := {r[SOURCE_FILE] for r in per_file if r.open_quotes}:
+                annotated.unpersist()
+                annotated = annotated_rows(frames_of(spark, batch.parts, whole))
+                per_file = counted(annotated)
             strangers = {r[SOURCE_FILE] for r in per_file} - {u.source_file for u in units}
             if strangers:
                 raise ValueError(f"rows of files that were not asked for: {sorted(strangers)}")
@@ -136,21 +155,21 @@ def _store(
             counts = spark.createDataFrame(
                 [(r[SOURCE_FILE], r.total, r.clean) for r in per_file], counts.schema
             )
-            good = annotated.drop(MALFORMED)
+            good = annotated.drop(MALFORMED, OPEN_QUOTE)
             if bad:
                 rejected = spark.createDataFrame([(b,) for b in bad], f"{SOURCE_FILE} string")
-                good = good.join(F.broadcast(rejected), SOURCE_FILE, "left_anti")
+                good = good.join(rejected, SOURCE_FILE, "left_anti")
             if any(r.total > r.clean and not r.malformed for r in per_file):
                 broken = good.where(F.col(FAILED_RULES) != 0)
-                write_quarantine(quarantine_columns(broken, rules), layout)
+                write_quarantine(quarantine_columns(broken, rules), layout, run_id)
 
         error_rows = spark.createDataFrame(errors, f"{SOURCE_FILE} string, error string")
         metrics = complete_metrics(files, counts, error_rows)
         metrics.coalesce(1).write.mode("overwrite").parquet(layout.run_table(run_id))
 
-        if annotated is not None and any(r.clean and not r.malformed for r in per_file):
+        if any(r.clean and not r.malformed for r in per_file):
             clean = good.where(F.col(FAILED_RULES) == 0)
             write_silver(clean.drop(FAILED_RULES, ERROR_REASON, ERROR_FOLDER), layout)
     finally:
-        if annotated is not None and storage_level is not None:
+        if annotated is not None:
             annotated.unpersist()

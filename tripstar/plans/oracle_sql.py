@@ -455,4 +455,33 @@ def all_sql() -> dict[str, str]:
             'records', count(*)::DOUBLE FROM checked GROUP BY ALL"""
         + f' UNION ALL SELECT \'gold\', "table", \'records\', records::DOUBLE FROM ({_GOLD_COUNTS})',
     )
+    sql["csv_time_formats"] = sql["file_metrics"]
+    sql["csv_reingest_counts"] = sql["csv_folder_counts"]
+    month = "substring(source_file, -6, 2)"
+    figures = ", ".join(
+        f"CASE WHEN NOT bad THEN {c} END AS {c}" for c in ("total", "clean", "quarantine", "clean_percentage")
+    )
+
+    def with_errors(error: str, bad: str) -> str:
+        files = f"SELECT source_file, bool_or({bad}) AS bad FROM ({_with(_CHECKED, 'SELECT * FROM checked')}) GROUP BY 1"
+        return f"""SELECT source_file, {figures}, CASE WHEN bad THEN {error} END AS error
+            FROM ({sql["file_metrics"]}) JOIN ({files}) USING (source_file)"""
+
+    surplus = f"{month} = '05' AND coalesce(passenger_count = 3, false)"
+    sql["csv_ragged_metrics"] = with_errors("'Error tokenizing data: a line has more fields than the header'", surplus)
+    sql["csv_bad_headers"] = with_errors("'Missing columns: [''fare_amount'']'", f"{month} = '02'")
+    other_case = "CASE WHEN month(o_orderdate) = 3 AND NOT (l_suppkey % 13 = 0 AND l_partkey % 5 = 0) THEN NULL ELSE l_linenumber % 4 END AS VendorID"
+    march = sql["fact_trips"].replace("l_linenumber % 4 AS VendorID", other_case)
+    february = "WHERE error_folder = 'clean')"
+    sql["csv_mixed_case_fact"] = march.replace(february, f"{february[:-1]} AND {month} <> '02')")
+    conditions = [f"l_partkey % {50 + i} = 1" for i in range(80)]
+    broken = " + ".join(f"CAST({c} AS INT)" for c in conditions)
+    single = " ".join(f"WHEN {c} THEN 'f{i}'" for i, c in enumerate(conditions))
+    sql["rules_many"] = f"""SELECT CASE WHEN n = 0 THEN 'clean' WHEN n > 1 THEN 'multiple_errors' {single} END AS error_folder,
+        count(*) AS trips FROM (SELECT *, {broken} AS n FROM lineitem) GROUP BY 1"""
+    sql["star_lookup_misses"] = """SELECT l_orderkey, l_linenumber, coalesce(o_custkey, 0)::BIGINT AS cust_key,
+        coalesce(c_nationkey, -1)::BIGINT AS nation_key, coalesce(n_regionkey, -1)::BIGINT AS region_key
+        FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 7 <> 0) ON l_orderkey = o_orderkey
+        LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON o_custkey = c_custkey
+        LEFT JOIN nation ON c_nationkey = n_nationkey"""
     return sql

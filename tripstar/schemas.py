@@ -89,6 +89,8 @@ NUMERIC_COLUMNS = [*CODE_COLUMNS, *LOCATION_COLUMNS, *MEASURES]
 # Added by the raw reader and by the rule engine.
 SOURCE_FILE = "source_file"
 MALFORMED = "_malformed"
+OPEN_QUOTE = "_open_quote"
+RUN_ID = "run_id"
 FAILED_RULES = "failed_rules"
 ERROR_REASON = "error_reason"
 ERROR_FOLDER = "error_folder"

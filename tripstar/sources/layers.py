@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripstar.schemas import (
     ERROR_FOLDER,
     FILE_METRICS_SCHEMA,
     GOLD_SCHEMAS,
     QUARANTINE_SCHEMA,
+    RUN_ID,
     SILVER_SCHEMA,
     SOURCE_FILE,
 )
@@ -66,15 +68,17 @@ def write_silver(clean: DataFrame, layout: Layout) -> None:
     write_partitions(clean, layout.silver, SOURCE_FILE)
 
 
-def write_quarantine(quarantine: DataFrame, layout: Layout) -> None:
-    """Quarantined rows by folder and source file.
+def write_quarantine(quarantine: DataFrame, layout: Layout, run_id: str) -> None:
+    """Quarantined rows of one run by folder and source file.
 
     Each input task holds a few rows for many folders, so the rows are rebalanced first: small
     partitions are merged into few files, and a folder with most of the rows is split.
     """
     balanced = quarantine.hint("rebalance", ERROR_FOLDER, SOURCE_FILE)
     with many_small_files(quarantine.sparkSession):
-        write_partitions(balanced, layout.quarantine, ERROR_FOLDER, SOURCE_FILE)
+        write_partitions(
+            balanced.withColumn(RUN_ID, F.lit(run_id)), layout.quarantine, RUN_ID, ERROR_FOLDER, SOURCE_FILE
+        )
 
 
 def _read(spark: SparkSession, path: str, schema, **options) -> DataFrame:
@@ -105,8 +109,22 @@ def read_silver(
     return df
 
 
+def latest_metrics(spark: SparkSession, layout: Layout) -> DataFrame:
+    """``run_id`` and the metrics of each source file in its newest run; one row per file."""
+    metrics = _read(spark, f"{layout.runs}/*/file_metrics", FILE_METRICS_SCHEMA)
+    if not metrics.inputFiles():
+        return metrics.withColumn(RUN_ID, F.lit(None).cast("string"))
+    run = F.regexp_extract("_metadata.file_path", r"/([^/]+)/file_metrics/[^/]*$", 1)
+    rows = metrics.withColumn(RUN_ID, run)
+    newest = F.max_by(F.struct(*rows.columns), RUN_ID).alias("newest")
+    return rows.groupBy(SOURCE_FILE).agg(newest).select("newest.*")
+
+
 def read_quarantine(spark: SparkSession, layout: Layout) -> DataFrame:
-    return _read(spark, layout.quarantine, QUARANTINE_SCHEMA)
+    """Quarantined rows of each file's newest run; rows of a file that was rejected since are gone."""
+    stored = _read(spark, layout.quarantine, T.StructType([*QUARANTINE_SCHEMA, T.StructField(RUN_ID, T.StringType())]))
+    newest = latest_metrics(spark, layout).select(SOURCE_FILE, RUN_ID)
+    return stored.join(newest, [SOURCE_FILE, RUN_ID], "left_semi").select(QUARANTINE_SCHEMA.names)
 
 
 def read_gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

@@ -5,8 +5,9 @@ A raw unit is a file ``yellow_tripdata*.csv`` or a directory of that name holdin
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence, Set
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -17,11 +18,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripstar.functions.coerce import ident, null_if_na, typed
+from tripstar.functions.coerce import ident, null_if_na, time_format, typed
 from tripstar.schemas import (
     DROPOFF,
+    ERROR_FOLDER,
+    ERROR_REASON,
+    FAILED_RULES,
     MALFORMED,
+    NA_TOKENS,
     NUMERIC_COLUMNS,
+    OPEN_QUOTE,
     PICKUP,
     RAW_PREFIX,
     RAW_SUFFIX,
@@ -36,7 +42,11 @@ _HEADER_THREADS = 16
 _BOM = "﻿"
 
 # Same quoting as the pandas reader: a doubled quote is a literal quote, no escape character.
-_CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# Without column pruning a job that needs few columns still sees every surplus field.
+_CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
+_COMPLETE_QUOTED = r'(^|,)"(?:[^"]|"")*"'
+_MODEL_NAMES = {PICKUP, DROPOFF, *NUMERIC_COLUMNS}
+_RESERVED = {name.lower() for name in (*_MODEL_NAMES, SOURCE_FILE, MALFORMED, OPEN_QUOTE, FAILED_RULES, ERROR_REASON, ERROR_FOLDER)}
 
 
 @dataclass(frozen=True)
@@ -54,6 +64,7 @@ class RawBatch:
 
     frame: DataFrame | None
     errors: list[tuple[str, str]]
+    parts: list[RawPart]
 
 
 def path_exists_or_none(load, *paths: str) -> DataFrame | None:
@@ -93,7 +104,10 @@ def raw_units(
     listing = path_exists_or_none(
         spark.read.format("binaryFile").load, f"{raw_dir.rstrip('/')}/{pattern}"
     )
-    units = units_of_paths(listing.inputFiles()) if listing is not None else []
+    return units_frame(spark, units_of_paths(listing.inputFiles()) if listing is not None else [])
+
+
+def units_frame(spark: SparkSession, units: Sequence[RawUnit]) -> DataFrame:
     return spark.createDataFrame(
         [(u.path, u.source_file, u.name_start) for u in units],
         f"{UNIT_PATH} string, {SOURCE_FILE} string, {NAME_START} int",
@@ -116,37 +130,94 @@ def collect_units(units: DataFrame) -> list[RawUnit]:
     return [RawUnit(*row) for row in rows]
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the first line of a unit; reads that line only."""
-    return spark.read.options(**_CSV_OPTIONS).csv(path).columns
+@dataclass(frozen=True)
+class RawPart:
+    """One CSV file of a unit: its raw column names and the time formats of its first values."""
+
+    unit: RawUnit
+    path: str
+    header: tuple[str, ...]
+    formats: tuple[tuple[str, str], ...]
+
 
+def _lines(reader) -> Iterator[str]:
+    while (line := reader.readLine()) is not None:
+        yield line + "\n"
 
-def check_headers(
-    spark: SparkSession, units: Sequence[RawUnit]
-) -> tuple[dict[tuple[str, ...], list[RawUnit]], list[tuple[str, str]]]:
-    """Group units by header; units without all required columns become errors."""
 
-    def probe(unit: RawUnit):
+def _read_head(unit: RawUnit, path: str, reader) -> RawPart | None:
+    """Header and first times of an open file; reads no further than the first row that has both."""
+    rows = csv.reader(_lines(reader))
+    header = tuple(name.removeprefix(_BOM) for name in next(rows, ()))
+    if not header:
+        return None
+    wanted = {name: header.index(name) for name in (PICKUP, DROPOFF) if name in header}
+    first: dict[str, str] = {}
+    for row in rows:
+        for name, at in wanted.items():
+            if name not in first and at < len(row) and row[at] not in NA_TOKENS:
+                first[name] = row[at]
+        if len(first) == len(wanted):
+            break
+    return RawPart(unit, path, header, tuple((name, time_format(first.get(name))) for name in wanted))
+
+
+def read_heads(spark: SparkSession, units: Sequence[RawUnit]) -> tuple[list[RawPart], list[tuple[str, str]]]:
+    """Heads of all files, read through Spark's file systems without a job; unreadable units become errors."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+
+    def files_of(system, path) -> list:
+        if not system.getFileStatus(path).isDirectory():
+            return [path]
+        found = [status for status in system.listStatus(path) if status.isFile() and status.getLen() > 0]
+        return sorted((s.getPath() for s in found if s.getPath().getName()[0] not in "_."), key=str)
+
+    def probe(unit: RawUnit) -> tuple[list[RawPart], tuple[str, str] | None]:
         try:
-            return unit, header_of(spark, unit.path), None
+            top = jvm.org.apache.hadoop.fs.Path(unit.path)
+            system, parts = top.getFileSystem(conf), []
+            for path in files_of(system, top):
+                stream = system.open(path)
+                try:
+                    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                    parts.append(_read_head(unit, path.toString() if unit.name_start else unit.path, reader))
+                finally:
+                    stream.close()
         except Exception as error:  # unreadable file: report it, go on with the others
-            return unit, [], str(error).splitlines()[0]
+            return [], (unit.source_file, (str(error).splitlines() or ["unreadable"])[0])
+        parts = [part for part in parts if part is not None]
+        if not parts:
+            return [], (unit.source_file, "No columns to parse from file")
+        for part in parts:
+            absent = [c for c in REQUIRED_COLUMNS if c not in part.header]
+            if absent:
+                return [], (unit.source_file, f"Missing columns: {absent}")
+        return parts, None
 
-    groups: dict[tuple[str, ...], list[RawUnit]] = {}
-    errors: list[tuple[str, str]] = []
     with ThreadPoolExecutor(_HEADER_THREADS) as pool:
-        for unit, header, problem in pool.map(probe, units):
-            names = [name.removeprefix(_BOM) for name in header]
-            absent = [c for c in REQUIRED_COLUMNS if c not in names]
-            if problem is None and not header:
-                problem = "No columns to parse from file"
-            elif problem is None and absent:
-                problem = f"Missing columns: {absent}"
-            if problem is None:
-                groups.setdefault(tuple(header), []).append(unit)
-            else:
-                errors.append((unit.source_file, problem))
-    return groups, errors
+        probed = list(pool.map(probe, units))
+    return [part for parts, _ in probed for part in parts], [error for _, error in probed if error]
+
+
+def column_names(header: Sequence[str]) -> list[str]:
+    """A distinct name for each raw column, also where case does not count.
+
+    A repeated name gets ``.1``, ``.2``, an empty one its place. Only the exact names of the model
+    count; a name that differs from one by case, or that this package uses itself, gets ``_raw``.
+    """
+    taken: set[str] = set()
+    names = []
+    for at, raw in enumerate(header):
+        name = raw or f"Unnamed: {at}"
+        if name.lower() in _RESERVED and name not in _MODEL_NAMES:
+            name += "_raw"
+        candidate, k = name, 0
+        while candidate.lower() in taken or (k and candidate in header):
+            k += 1
+            candidate = f"{name}.{k}"
+        taken.add(candidate.lower())
+        names.append(candidate)
+    return names
 
 
 def _name_source(unit: RawUnit) -> tuple[str, ...]:
@@ -172,51 +243,61 @@ def _source_file(source: tuple) -> Column:
     return F.lit(*where)
 
 
+def _bare_line() -> Column:
+    """A marked line without its complete quoted fields; a quote inside other text opens no field."""
+    return F.regexp_replace(F.col(_CORRUPT), _COMPLETE_QUOTED, "$1")
+
+
 def _too_many_fields(width: int) -> Column:
     """True for a line with more fields than the header; short lines are padded with NULL.
 
     The reader marks both kinds; only marked lines are looked at again.
     """
-    bare = F.regexp_replace(F.col(_CORRUPT), r'"[^"]*"', "")
+    bare = _bare_line()
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     return F.coalesce(fields > width, F.lit(False))
 
 
+def _open_quote(width: int) -> Column:
+    """True for a line that looks like part of a record with a line break inside quotes.
+
+    Of the parts of such a record at least one is short, so only marked lines are looked at.
+    """
+    return F.coalesce(~_too_many_fields(width) & F.contains(_bare_line(), F.lit('"')), F.lit(False))
+
+
 def read_group(
     spark: SparkSession,
     paths: Sequence[str],
     header: Sequence[str],
     source: tuple,
     multi_line: bool = False,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of units that share one header, as text, plus ``source_file`` and ``_malformed``.
+    """Rows of files that share one header, as text, plus ``source_file``, ``_malformed``, ``_open_quote``.
 
-    Units with different column order must not share a read: Spark binds CSV columns by
-    position. ``multi_line`` is for files with line breaks inside quotes; it stops Spark from
-    splitting large files.
+    Columns are bound by position under names of their own, so any header can be read.
+    ``multi_line`` is for files with line breaks inside quotes; it stops Spark from splitting
+    large files.
     """
-    schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in header]
-        + [T.StructField(_CORRUPT, T.StringType())]
-    )
+    places = [f"_column_{k}" for k in range(len(header))]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*places, _CORRUPT]])
     frame = spark.read.options(
-        **_CSV_OPTIONS,
-        enforceSchema=False,
-        columnNameOfCorruptRecord=_CORRUPT,
-        multiLine=multi_line,
+        **_CSV_OPTIONS, columnNameOfCorruptRecord=_CORRUPT, multiLine=multi_line
     ).schema(schema).csv(list(paths))
     return frame.select(
-        *[F.col(ident(name)).alias(name.removeprefix(_BOM)) for name in header],
+        *[F.col(place).alias(name) for place, name in zip(places, names or column_names(header), strict=True)],
         _source_file(source).alias(SOURCE_FILE),
         _too_many_fields(len(header)).alias(MALFORMED),
+        (F.lit(False) if multi_line else _open_quote(len(header))).alias(OPEN_QUOTE),
     )
 
 
-def typed_raw(frame: DataFrame) -> DataFrame:
+def typed_raw(frame: DataFrame, formats: Mapping[str, str] | None = None) -> DataFrame:
     """Type the known columns and drop the missing-value tokens of all others."""
-    known = {PICKUP, DROPOFF, *NUMERIC_COLUMNS, SOURCE_FILE, MALFORMED}
+    known = {*_MODEL_NAMES, SOURCE_FILE, MALFORMED, OPEN_QUOTE}
     others = [c for c in frame.columns if c not in known]
-    frame = typed(frame)
+    frame = typed(frame, formats)
     if not others:
         return frame
     return frame.selectExpr(
@@ -225,18 +306,30 @@ def typed_raw(frame: DataFrame) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, units: Sequence[RawUnit], multi_line: bool = False) -> RawBatch:
-    """Typed rows of all units with a proper header; one read per distinct header."""
-    groups, errors = check_headers(spark, units)
+def frames_of(spark: SparkSession, parts: Sequence[RawPart], multi_line: bool | Set[str] = False) -> DataFrame | None:
+    """Typed rows of all files, one read per distinct header and time formats.
+
+    ``multi_line`` names the units to be read in one piece, or says so of all.
+    """
     reads: dict[tuple, list[str]] = {}
-    for header, members in groups.items():
-        for unit in members:
-            reads.setdefault((header, _name_source(unit)), []).append(unit.path)
+    # one spelling of each name for all files, as the stored table has one column for them
+    spelling = {name.lower(): name for name in _MODEL_NAMES}
+    for part in parts:
+        for name in column_names(part.header):
+            spelling.setdefault(name.lower(), name)
+        whole = multi_line if isinstance(multi_line, bool) else part.unit.source_file in multi_line
+        reads.setdefault((part.header, _name_source(part.unit), part.formats, whole), []).append(part.path)
     frames = [
-        typed_raw(read_group(spark, paths, header, source, multi_line))
-        for (header, source), paths in reads.items()
+        typed_raw(
+            read_group(spark, paths, header, source, whole, [spelling[n.lower()] for n in column_names(header)]),
+            dict(formats),
+        )
+        for (header, source, formats, whole), paths in reads.items()
     ]
-    if not frames:
-        return RawBatch(None, errors)
-    frame = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return RawBatch(frame, errors)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
+
+
+def read_raw(spark: SparkSession, units: Sequence[RawUnit], multi_line: bool = False) -> RawBatch:
+    """Typed rows of all units with a proper header."""
+    parts, errors = read_heads(spark, units)
+    return RawBatch(frames_of(spark, parts, multi_line), errors, parts)

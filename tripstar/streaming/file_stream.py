@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tripstar.plans.ingest import ingest_units
-from tripstar.schemas import RAW_PREFIX, RAW_SUFFIX
-from tripstar.sources.layers import Layout
-from tripstar.sources.raw import units_of_paths
+from tripstar.schemas import RAW_PREFIX, RAW_SUFFIX, SOURCE_FILE
+from tripstar.sources.layers import Layout, latest_metrics, silver_files
+from tripstar.sources.raw import RawUnit, collect_units, new_files, raw_units, units_frame, units_of_paths
 
 # Fixed by the binaryFile source; a streaming read must declare it.
 _LISTING_SCHEMA = "path string, modificationTime timestamp_ltz, length bigint, content binary"
@@ -23,24 +23,34 @@ def ingest_stream(
     once: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Ingest raw files as they appear; each file is taken once.
+    """Ingest raw files as they appear.
 
     The stream carries file names, not contents: every micro-batch hands its names to the batch
-    ingest, so files with different headers stay apart. The run id is the batch number, so a
-    batch repeated after a failure replaces its own partitions. ``once`` takes what is there and
-    stops.
+    ingest, so files with different headers stay apart. As in a batch, a file that has silver
+    rows is skipped, whatever the checkpoint says, and files that were rejected before are tried
+    again, at the start and with every micro-batch. Each run has an id of its own; a repeated one
+    replaces what it stored for its files. ``once`` takes what is there and stops.
     """
+    pattern = f"{RAW_PREFIX}*{RAW_SUFFIX}"
     listing = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(f"{layout.raw}/{RAW_PREFIX}*{RAW_SUFFIX}")
+        .load(f"{layout.raw}/{pattern}")
     )
 
+    def ingest_named(session: SparkSession, units: list[RawUnit]) -> None:
+        done = silver_files(session, layout)
+        rejected = latest_metrics(session, layout).where("error IS NOT NULL").select(SOURCE_FILE)
+        again = raw_units(session, layout.raw, pattern).join(rejected, SOURCE_FILE, "left_semi")
+        fresh = collect_units(new_files(units_frame(session, units).unionByName(again).distinct(), done))
+        if fresh:
+            ingest_units(session, layout, fresh)
+
     def take(batch: DataFrame, batch_id: int) -> None:
-        units = units_of_paths(row.file_path for row in batch.collect())  # names only
-        if units:
-            ingest_units(batch.sparkSession, layout, units, run_id=f"stream-{batch_id}")
+        ingest_named(batch.sparkSession, units_of_paths(row.file_path for row in batch.collect()))  # names only
+
+    ingest_named(spark, [])
 
     names = listing.select("_metadata.file_path")
     writer = names.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
