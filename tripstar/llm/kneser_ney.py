@@ -33,8 +33,8 @@ from tripstar.llm.tables import stored
 from tripstar.llm.text import NOT_SPACE, U64, Block, blocks, mix64
 from tripstar.session import scratch_folder
 
-SHARD_TOKENS = 4 << 20
-TASK_BYTES = 64 << 20
+SHARD_TOKENS = 2 << 20
+TASK_BYTES = 12 << 20
 WORD_BITS = 40  # of a word's hash, in contexts and continuations
 START, END = (mix64(np.array([k], U64))[0] for k in (0xA11CE, 0xB0B))
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1  # odd, so that it has an inverse modulo 2**64
