@@ -5,6 +5,7 @@ from conftest import SF_SMALL
 from oracle import difference, duckdb_tables
 
 import __spark_entry__ as contract
+from tripstar.plans import catalog, oracle_sql
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,12 @@ def tables():
 
 
 def test_same_keys():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.all_queries()) == set(oracle_sql.all_sql())
+    assert set(catalog.all_queries()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.all_queries()))
 def test_query_equals_sql(spark, tables, name):
     df = contract.queries()[name](spark, SF_SMALL)
     assert difference(df, tables, contract.oracle_sql()[name]) == ""
