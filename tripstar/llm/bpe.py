@@ -11,7 +11,8 @@ from tokenizers import Tokenizer
 
 from tripstar.llm.text import IDENTITY, NOT_SPACE, VALUES, Block, PrefixHash, ranges
 
-CACHE = 1 << 20  # stretches remembered by a worker
+CACHE = 1 << 20  # stretches remembered by a worker, in about 20 bytes each
+ENCODED_AT_ONCE = 1 << 12  # the tokenizer's own results are large
 
 
 def default_tokenizer() -> str:
@@ -26,10 +27,40 @@ class Encoder:
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._known: dict[int, bytes] = {}
+        self._forget()
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
 
+    def _forget(self) -> None:
+        self._keys = np.zeros(0, np.uint64)  # ascending hashes of known stretches
+        self._first = np.zeros(0, np.int64)  # where their ids begin
+        self._size = np.zeros(0, np.int32)
+        self._ids = np.zeros(1 << 16, np.uint16)
+        self._used = 0
+
+    def _learn(self, hashes: np.ndarray, strings: list[str]) -> None:
+        found = []
+        for k in range(0, len(strings), ENCODED_AT_ONCE):
+            encoded = self._tokenizer.encode_batch_fast(strings[k : k + ENCODED_AT_ONCE], add_special_tokens=False)
+            found += [np.array(e.ids, np.uint16) for e in encoded]
+        sizes = np.array([len(ids) for ids in found], np.int64)
+        end = self._used + int(sizes.sum())
+        if end > len(self._ids):
+            grown = np.zeros(max(end, 2 * len(self._ids)), np.uint16)
+            grown[: self._used] = self._ids[: self._used]
+            self._ids = grown
+        self._ids[self._used : end] = np.concatenate(found)
+        at = np.searchsorted(self._keys, hashes)
+        self._keys = np.insert(self._keys, at, hashes)
+        self._first = np.insert(self._first, at, self._used + np.cumsum(sizes) - sizes)
+        self._size = np.insert(self._size, at, sizes)
+        self._used = end
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self._keys):
+            return np.zeros(len(hashes), bool)
+        return self._keys[np.minimum(np.searchsorted(self._keys, hashes), len(self._keys) - 1)] == hashes
+
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts of the block, and the number of ids of each text."""
         data = block.data
@@ -47,21 +78,17 @@ class Encoder:
         ends = np.minimum(ends, block.ends[text])
         hashes = PrefixHash(data, VALUES[IDENTITY]).of(starts, ends)
         own, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        found = [self._known.get(h) for h in own.tolist()]
-        new = [k for k, ids in enumerate(found) if ids is None]
-        if new:
+        if len(self._keys) > CACHE:
+            self._forget()
+        new = np.flatnonzero(~self._known(own))
+        if len(new):
             raw = data.tobytes()
-            strings = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            if len(self._known) > CACHE:
-                self._known.clear()
-            encoded = self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-            for k, e in zip(new, encoded, strict=True):
-                found[k] = self._known[int(own[k])] = np.array(e.ids, np.uint16).tobytes()
-        sizes = np.array([len(ids) >> 1 for ids in found], np.int64)
-        flat = np.frombuffer(b"".join(found), np.uint16)
-        begins = np.cumsum(sizes) - sizes
-        ids = flat[ranges(begins[inverse], sizes[inverse])]
-        return ids, np.bincount(text, weights=sizes[inverse], minlength=block.size).astype(np.int64)
+            bounds = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            self._learn(own[new], [raw[a:b].decode() for a, b in bounds])
+        place = np.searchsorted(self._keys, own)[inverse]
+        sizes = self._size[place].astype(np.int64)
+        ids = self._ids[ranges(self._first[place], sizes)]
+        return ids, np.bincount(text, weights=sizes, minlength=block.size).astype(np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -163,7 +163,7 @@ def _term_counts(train: DataFrame, candidates: set[str] | None) -> DataFrame:
             for folded in batch.column("folded").to_pylist():
                 found = terms_of(folded)
                 counts.update(found if shared.value is None else found & shared.value)
-            if len(counts) > 1 << 20:
+            if len(counts) > 1 << 18:
                 yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
                 counts = Counter()
         yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
