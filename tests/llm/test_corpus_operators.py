@@ -15,6 +15,7 @@ import pytest
 from tripstar.llm import kneser_ney, minhash, neighbours, packing, suffix_dedup, tables
 from tripstar.llm.bpe import default_tokenizer
 from tripstar.llm.components import components
+from tripstar.session import settings
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +63,27 @@ def test_repeats_odd(frame, odd_rows):
 # near-dedup
 
 
+@pytest.mark.parametrize("hot", [8, 256])
+def test_repeats_at_the_edges_of_a_passage(spark, frame, monkeypatch, hot):
+    rng, most = random.Random(4), []
+    passage = "".join(rng.choices("abcdefgh ", k=400))
+    docs = [(k, "".join(rng.choices("ijklmnop ", k=150)) + passage + "".join(rng.choices("qrstuvw ", k=150))) for k in range(600)]
+    docs += [docs[5], docs[6], (700, docs[7][1]), (None, passage)]
+    inner = suffix_dedup._sorted_repeats
+
+    def counted(classes, length):
+        classes = tables.stored(classes)
+        most.append(classes.groupBy("anchor").count().agg({"count": "max"}).first()[0])
+        return inner(classes, length)
+
+    monkeypatch.setattr(suffix_dedup, "HOT_CLASSES", hot)
+    monkeypatch.setattr(suffix_dedup, "_sorted_repeats", counted)
+    with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "50" if hot == 8 else "10000"}):  # anchors over several batches
+        got = removed(suffix_dedup.remove_repeats(frame(docs)))
+    assert {i: r for i, r in got.items() if i is not None} == brute.unrepeated({(i, t) for i, t in docs if i is not None})
+    assert most[0] <= hot  # not a class for each document
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [tuple(rng.sample(range(200, 300), 2)) for _ in range(60)] + [(7, 7)]

@@ -11,9 +11,12 @@ windows have equal anchors at equal offsets. The consecutive windows of one anch
 1. Each task finds the contexts of its documents. Of equal contexts it hands on only the first; all
    windows of the others are repeats at once. So a very frequent passage leaves one row per task.
 2. Rows meet by anchor. Equal contexts (two independent hashes) are one class with a first occurrence.
-3. Anchors with several classes: the bytes of each class are fetched, and its suffixes are sorted
+3. Anchors with more than HOT_CLASSES classes (the edges of a passage that stands after different texts)
+   are dealt further by the hash of each single window, again combined in each task. Only windows whose
+   hashes (two, independent) occur again go on, each as a class of its own.
+4. Anchors with several classes: the bytes of each class are fetched, and its suffixes are sorted
    with the others of the same anchor and offset. Of equal windows the first occurrence stays.
-4. Each document merges its repeats.
+5. Each document merges its repeats.
 
 Defined cases: NULL text is empty; rows with NULL doc_id take no part and lose nothing; rows of one
 doc_id share their repeats; texts shorter than ``length`` lose nothing; other columns are not read.
@@ -34,8 +37,10 @@ LENGTH = 100
 ANCHOR = 32
 TASK_BYTES = 32 << 20  # texts whose contexts are combined before they are handed on
 CHUNK_ROWS = 1 << 17
+HOT_CLASSES = CHUNK_ROWS >> 6  # of one anchor, sorted in one table; those of an anchor with more are dealt by windows
 
-FOUND = "doc_id bigint, start bigint, stop bigint, anchor bigint, offset bigint, windows bigint"
+OCCURRENCES = "doc_id bigint, start bigint, offset bigint, windows bigint, anchor bigint, context bigint"
+FOUND = "doc_id bigint, start bigint, stop bigint, anchor bigint, offset bigint, windows bigint, hot boolean"
 
 
 class Suffixes:
@@ -126,27 +131,30 @@ def _rows(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
 
-def _found(doc, start, stop, anchor=None, offset=None, windows=None) -> pa.RecordBatch:
+def _found(doc, start, stop, anchor=None, offset=None, windows=None, hot=False) -> pa.RecordBatch:
     zeros = np.zeros(len(doc), np.int64)
-    return _rows(doc_id=doc, start=start, stop=stop, anchor=zeros if anchor is None else anchor, offset=zeros if offset is None else offset, windows=zeros if windows is None else windows)
+    anchor, offset, windows = (zeros if x is None else x for x in (anchor, offset, windows))
+    return _rows(doc_id=doc, start=start, stop=stop, anchor=anchor, offset=offset, windows=windows, hot=np.full(len(doc), hot))
+
+
+def _combined(parts: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
+    """OCCURRENCES rows of (doc, start, offset, windows, anchor, context): the first of each context, and repeats (windows 0)."""
+    doc, start, offset, count, anchor, context = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((start, doc)) if (doc[1:] < doc[:-1]).any() else np.arange(len(doc))
+    order = order[np.argsort(mix64(anchor ^ mix64(context))[order], kind="stable")]
+    doc, start, offset, count, anchor, context = (c[order] for c in (doc, start, offset, count, anchor, context))
+    new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])))
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    again = (doc != doc[lead]) | (start != start[lead])  # a row given twice repeats nothing
+    kept = new | ~again
+    yield _rows(doc_id=doc[kept], start=start[kept], offset=offset[kept], windows=count[kept], anchor=anchor[kept].view(np.int64), context=context[kept].view(np.int64))
+    a, b, c = merged(doc[again], start[again], start[again] + count[again] + length - 1)
+    yield _rows(doc_id=a, start=b, offset=c, windows=np.zeros_like(a), anchor=mix64(a.astype(U64)).view(np.int64), context=np.zeros_like(a))
 
 
 def _first_occurrences(docs: DataFrame, length: int) -> DataFrame:
     """Rows with windows > 0: the first occurrence in the task of each context. Rows with windows 0: repeats [start, stop)."""
 
-    def combine(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        doc, start, offset, count, anchor, context = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((start, doc)) if (doc[1:] < doc[:-1]).any() else np.arange(len(doc))
-        order = order[np.argsort(mix64(anchor ^ mix64(context))[order], kind="stable")]
-        doc, start, offset, count, anchor, context = (c[order] for c in (doc, start, offset, count, anchor, context))
-        new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])))
-        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        again = (doc != doc[lead]) | (start != start[lead])  # a row given twice repeats nothing
-        kept = new | ~again
-        yield _rows(doc_id=doc[kept], start=start[kept], offset=offset[kept], windows=count[kept], anchor=anchor[kept].view(np.int64), context=context[kept].view(np.int64))
-        a, b, c = merged(doc[again], start[again], start[again] + count[again] + length - 1)
-        yield _rows(doc_id=a, start=b, offset=c, windows=np.zeros_like(a), anchor=mix64(a.astype(U64)).view(np.int64), context=np.zeros_like(a))
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
@@ -157,12 +165,12 @@ def _first_occurrences(docs: DataFrame, length: int) -> DataFrame:
                     text, first, *rest = found
                     parts.append((part.column("doc_id").to_numpy()[text], first - block.starts[text], *rest))
                 if size >= TASK_BYTES and parts:
-                    yield from combine(parts)
+                    yield from _combined(parts, length)
                     parts, size = [], 0
         if parts:
-            yield from combine(parts)
+            yield from _combined(parts, length)
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(emit, "doc_id bigint, start bigint, offset bigint, windows bigint, anchor bigint, context bigint")
+    return docs.where("doc_id IS NOT NULL").mapInArrow(emit, OCCURRENCES)
 
 
 def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,11 +210,15 @@ def _classes(occurrences: DataFrame, length: int) -> DataFrame:
     """FOUND rows: repeats (windows 0), and first occurrences of classes that share their anchor with others."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "anchor", CHUNK_ROWS):
-            doc, start, offset, windows, anchor, context = (table.column(c).to_numpy() for c in ("doc_id", "start", "offset", "windows", "anchor", "context"))
-            done = windows == 0
-            yield _found(doc[done], start[done], offset[done])
-            doc, start, offset, windows, anchor, context = (c[~done] for c in (doc, start, offset, windows, anchor, context))
+        # carried: the classes of the last anchor while they are few, else the last class (the others are handed on)
+        carried, carried_hot = [np.zeros(0, np.int64)] * 6, False
+        names = [c.split()[0] for c in OCCURRENCES.split(", ")]
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in names]
+            done = columns[3] == 0
+            yield _found(*(columns[k][done] for k in (0, 1, 2)))
+            columns = [np.concatenate([x, c[~done]]) for x, c in zip(carried, columns, strict=True)]
+            doc, start, offset, windows, anchor, context = columns
             if not len(doc):
                 continue
             new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
@@ -215,12 +227,62 @@ def _classes(occurrences: DataFrame, length: int) -> DataFrame:
             again = (doc != doc[lead]) | (start != start[lead])
             yield _found(doc[again], start[again], (start + windows + length - 1)[again])
             group = np.cumsum(new_anchor) - 1
-            several = new & (np.bincount(group, weights=new)[group] > 1)
-            yield _found(*(c[several] for c in (doc, start, start + windows + length - 1, anchor, offset, windows)))
+            count = np.bincount(group, weights=new)
+            hot = count > HOT_CLASSES
+            hot[0] |= carried_hot
+            ends = group == group[-1]
+            few = new & ~hot[group] & (count[group] > 1) & ~ends
+            many = new & hot[group]
+            many[0] &= not carried_hot
+            for mine, kind in ((few, False), (many, True)):
+                yield _found(*(c[mine] for c in (doc, start, start + windows + length - 1, anchor, offset, windows)), kind)
+            carried_hot = bool(hot[-1])
+            kept = np.flatnonzero(new & ends)[-1:] if carried_hot else np.flatnonzero(new & ends)
+            carried = [c[kept] for c in columns]
+        if len(carried[0]) > 1:
+            doc, start, offset, windows, anchor, _ = carried
+            yield _found(doc, start, start + windows + length - 1, anchor, offset, windows)
 
     return occurrences.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id", "start").mapInArrow(judge, FOUND)
 
 
+def _window_classes(classes: DataFrame, length: int) -> DataFrame:
+    """FOUND rows of classes with their bytes: repeats within a task (windows 0), and windows that occur again elsewhere."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            doc, start, windows = (batch.column(c).to_numpy() for c in ("doc_id", "start", "windows"))
+            if not len(doc):
+                continue
+            data = np.frombuffer(b"".join(batch.column("bytes").to_pylist()), np.uint8)
+            at = ranges(np.cumsum(windows + length - 1) - (windows + length - 1), windows)
+            hashes = [PrefixHash(data, values).of(at, at + length) for values in (VALUES, OTHER_VALUES)]
+            parts.append((np.repeat(doc, windows), ranges(start, windows), np.zeros_like(at), np.ones_like(at), *hashes))
+            size += len(data)
+            if size >= TASK_BYTES >> 3:
+                yield from _combined(parts, length)
+                parts, size = [], 0
+        if parts:
+            yield from _combined(parts, length)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, "anchor", CHUNK_ROWS):
+            doc, start, stop, windows, anchor, context = (table.column(c).to_numpy() for c in ("doc_id", "start", "offset", "windows", "anchor", "context"))
+            done = windows == 0
+            yield _found(doc[done], start[done], stop[done])
+            doc, start, anchor, context = (c[~done] for c in (doc, start, anchor, context))
+            if not len(doc):
+                continue
+            same = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
+            both = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+            doc, start, anchor = doc[both], start[both], anchor[both]
+            yield _found(doc, start, start + length, anchor, np.zeros_like(doc), np.ones_like(doc))
+
+    occurrences = classes.mapInArrow(emit, OCCURRENCES)
+    return occurrences.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id", "start").mapInArrow(meet, FOUND)
+
+
 def _with_bytes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The bytes of each class, cut from its document."""
     wanted = classes.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "stop", "offset", "windows")).alias("wanted"))
@@ -246,7 +308,7 @@ def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
     """FOUND rows of windows of a class that equal windows of a class that occurs earlier."""
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "anchor", CHUNK_ROWS >> 3):
+        for table in _whole_groups(batches, "anchor", CHUNK_ROWS >> 5):
             doc, start, anchor, offset, windows = (table.column(c).to_numpy() for c in ("doc_id", "start", "anchor", "offset", "windows"))
             joined = b"".join(table.column("bytes").to_pylist())
             suffixes = Suffixes(np.frombuffer(joined, np.uint8))
@@ -291,6 +353,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", do
         raise ValueError(f"length must lie between {ANCHOR + 2} and {ANCHOR + 200}")
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     found = stored(_classes(_first_occurrences(docs, length), length))
+    if found.where("hot").head(1):
+        dealt = stored(_window_classes(_with_bytes(docs, found.where("hot")), length))
+        found = found.where("NOT hot").unionByName(dealt)
     late = stored(_sorted_repeats(_with_bytes(docs, found.where("windows > 0")), length))
     spans = found.where("windows = 0").unionByName(late).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
