@@ -1,8 +1,8 @@
 """Every catalog query equals its SQL on the smallest tables."""
 
 import pytest
-from conftest import SF_SMALL
 from oracle import difference, duckdb_tables
+from sample import SF_SMALL
 
 import __spark_entry__ as contract
 from tripstar.plans import catalog, oracle_sql

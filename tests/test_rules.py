@@ -155,7 +155,7 @@ def test_eighty_rules(spark):
 
 def test_generated_methods_stay_small(spark):
     """The JIT compiler skips methods above 8,000 bytes."""
-    from conftest import SF_SMALL
+    from sample import SF_SMALL
 
     import __spark_entry__ as contract
 

@@ -39,6 +39,7 @@ TIME_FORMATS = {
 }
 _PADDED_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s+$"
 _INFINITY_SHAPE = r"^[+-]?(?i)inf(inity)?$"
+_ZERO_OUT_OF_RANGE = r"[eE]\+?0*(309|3[1-9]\d|[4-9]\d\d|[1-9]\d{3,})\s*$"
 _NUMBER_ENDS = "'0', '1', '2', '3', '4', '5', '6', '7', '8', '9', '.'"
 _NA_LIST = ", ".join(f"'{token}'" for token in NA_TOKENS)
 
@@ -80,8 +81,9 @@ def parse_number(text: str, cast: str | None = None) -> str:
     """Decimal text -> DOUBLE, else NULL.
 
     ``try_cast`` also takes ``NaN``, Java's ``5d`` / ``5f`` suffixes, hex floats and values that
-    overflow to infinity; those count as missing. Infinity itself must be spelled out. ``cast``
-    is the column that already holds ``try_cast(text AS DOUBLE)``.
+    overflow to infinity; those count as missing, as does a zero whose exponent is beyond 308.
+    Infinity itself must be spelled out. ``cast`` is the column that already holds
+    ``try_cast(text AS DOUBLE)``.
 
     Byte tests settle the usual text; only a number with trailing blanks and the words for
     infinity need a pattern.
@@ -89,7 +91,8 @@ def parse_number(text: str, cast: str | None = None) -> str:
     cast = cast or f"try_cast({text} AS DOUBLE)"
     finite = f"abs({cast}) < double('inf')"
     return (
-        f"CASE WHEN {finite} AND substring({text}, -1) IN ({_NUMBER_ENDS})"
+        f"CASE WHEN {cast} = 0 AND {text} RLIKE r'{_ZERO_OUT_OF_RANGE}' THEN NULL"
+        f" WHEN {finite} AND substring({text}, -1) IN ({_NUMBER_ENDS})"
         f" AND NOT contains({text}, 'x') AND NOT contains({text}, 'X') THEN {cast}"
         f" WHEN {cast} IS NOT NULL AND {text} RLIKE if({finite}, r'{_PADDED_NUMBER}', r'{_INFINITY_SHAPE}')"
         f" THEN {cast} END"
