@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripstar.llm import decontamination, kneser_ney, line_dedup, minhash, neighbours, packing, pii, suffix_dedup, token_counts, toxicity
+from tripstar.llm import clustering, decontamination, kneser_ney, line_dedup, minhash, neighbours, packing, pii, pivot_search, resampling, suffix_dedup, token_counts, toxicity
 from tripstar.llm.tables import documents
 
 
@@ -96,5 +96,22 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, model).select("doc_id", held_out, "n_tokens", "n_known", known, "base_score", "score")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir), benchmark, percent=25, salt=7, least_words=20)
+
+
+def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return pivot_search.top_products(vectors, lambda vec_id: vec_id % 50 == 0, k=5)
+
+
+def op13_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = clustering.integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), dimensions=64)
+    return clustering.clusters(points, clustering.fit(points, k=40, rounds=5, salt=2))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op8_token_counts, op9_neighbours, op10_kneser_ney)}
+    text = (op1_toxicity, op2_decontamination, op3_suffix_dedup, op4_minhash, op5_line_dedup, op6_pii, op7_packing, op8_token_counts, op10_kneser_ney, op11_resampling)
+    vectors = (op9_neighbours, op12_exact_search, op13_kmeans)
+    return {f.__name__: f for f in (*text, *vectors)}
