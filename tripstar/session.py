@@ -37,6 +37,17 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
     return builder.getOrCreate()
 
 
+def session_with(spark: SparkSession, values: dict[str, str]) -> SparkSession:
+    """A session of the same application with the settings of ``spark`` and these on top; ``spark`` keeps its own."""
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    for key, value in values.items():
+        child.conf.set(key, value)
+    return child
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the jobs of one block; the earlier values come back afterwards."""
