@@ -41,11 +41,10 @@ def test_no_files(spark, layout, folder):
     assert layers.saved_counts(spark, layout).count() == 0
 
 
-@pytest.mark.parametrize("cached", [True, False])
-def test_split(spark, layout, cached):
+@pytest.mark.parametrize("whole", [True, False])
+def test_split(spark, layout, whole):
     write_csv(layout.raw, "yellow_tripdata_2019-01.csv", sample(5, 3))
-    options = {} if cached else {"storage_level": None}
-    row = metrics_of(ingest(spark, layout, **options))["yellow_tripdata_2019-01.csv"]
+    row = metrics_of(ingest(spark, layout, multi_line=whole))["yellow_tripdata_2019-01.csv"]
     assert (row.total, row.clean, row.quarantine, row.clean_percentage, row.error) == (8, 5, 3, 62.5, None)
     assert layers.read_silver(spark, layout).count() == 5
     bad = layers.read_quarantine(spark, layout)
@@ -198,9 +197,9 @@ HEAD = "tpep_pickup_datetime,tpep_dropoff_datetime,fare_amount,trip_distance,pas
 ROW = "2019-01-01 10:00:00,2019-01-01 10:30:00,10,1.5,1"
 
 
-@pytest.mark.parametrize("cached", [True, False])
-def test_surplus_fields_at_every_storage_level(spark, layout, cached):
-    options = {} if cached else {"storage_level": None}
+@pytest.mark.parametrize("whole", [True, False])
+def test_surplus_fields(spark, layout, whole):
+    options = {"multi_line": whole}
     raw_text(layout, "2019-01", HEAD, f"{ROW},a,b", f"{ROW},a,b,c")
     raw_text(layout, "2019-02", HEAD, f'{ROW},a"b,c"d,e')
     raw_text(layout, "2019-03", HEAD, f'{ROW},"a,b",c', f"{ROW},short")

@@ -544,7 +544,7 @@ def csv_ragged_metrics(spark: SparkSession, sf: str) -> DataFrame:
     # as text, one part for each file, because a CSV writer would not write such lines
     dealt = heads.unionByName(lines).repartition(SOURCE_FILE).sortWithinPartitions(SOURCE_FILE, "at")
     dealt.drop("at").write.partitionBy(SOURCE_FILE).text(layout.raw)
-    return ingest(spark, layout, pattern=MONTHS, storage_level=None).metrics
+    return ingest(spark, layout, pattern=MONTHS).metrics
 
 
 def _odd_headers(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:

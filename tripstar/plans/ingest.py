@@ -7,42 +7,49 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripstar.operators.quality import complete_metrics
-from tripstar.operators.rules import annotate, quarantine_columns, trip_rules
+from tripstar.operators.rules import annotate, failed_bits, quarantine_columns, trip_rules
 from tripstar.schemas import (
-    ERROR_FOLDER,
-    ERROR_REASON,
     FAILED_RULES,
+    HEADER_LINE,
+    LAYER,
     MALFORMED,
     OPEN_QUOTE,
     RAW_PREFIX,
     RAW_SUFFIX,
+    SILVER_SCHEMA,
     SOURCE_FILE,
 )
-from tripstar.session import compiled_methods
+from tripstar.session import INGEST_SETTINGS, session_with
+from tripstar.sources.files import remove, rename_partitions
+from tripstar.sources.footers import partition_counts
 from tripstar.sources.layers import (
     Layout,
     read_file_metrics,
     silver_files,
     write_quarantine,
-    write_silver,
 )
 from tripstar.sources.raw import (
-    RawBatch,
+    RawPart,
     RawUnit,
     collect_units,
-    frames_of,
     new_files,
     raw_units,
-    read_raw,
+    read_heads,
+    read_lines,
+    read_whole_records,
+    repeated_headers,
     skipped_files,
 )
 
 MALFORMED_ERROR = "Error tokenizing data: a line has more fields than the header"
+UNTERMINATED_ERROR = "Error tokenizing data: the file ends inside a quoted field"
+
+# Layers of the staging area; a file with rows in one of the last two is not published from there.
+CLEAN, BROKEN, SURPLUS, QUOTED = "clean", "broken", "surplus", "quoted"
 
 
 @dataclass(frozen=True)
@@ -60,16 +67,13 @@ def ingest(
     *,
     pattern: str = f"{RAW_PREFIX}*{RAW_SUFFIX}",
     multi_line: bool = False,
-    storage_level: StorageLevel | None = StorageLevel.DISK_ONLY,
 ) -> IngestRun:
     """Validate every raw file that has no silver rows yet."""
     units = raw_units(spark, layout.raw, pattern)
     done = silver_files(spark, layout)
     fresh = collect_units(new_files(units, done))
     old = [(u.source_file,) for u in collect_units(skipped_files(units, done))]
-    run_id = ingest_units(
-        spark, layout, fresh, multi_line=multi_line, storage_level=storage_level
-    )
+    run_id = ingest_units(spark, layout, fresh, multi_line=multi_line)
     return IngestRun(
         run_id,
         read_file_metrics(spark, layout, run_id),
@@ -89,87 +93,104 @@ def ingest_units(
     *,
     run_id: str | None = None,
     multi_line: bool = False,
-    storage_level: StorageLevel | None = StorageLevel.DISK_ONLY,
 ) -> str:
     """Validate the given units and store the results; returns the run id.
 
-    A file is wholly in or wholly out: its lines are counted first, and a file with a malformed
-    line is left out of both layers. A file with line breaks inside quotes is read again in one
-    piece. Silver is written last, because a file counts as done once it has silver rows. Readers
-    see the quarantine of a file's newest run only.
-
-    The parsed rows serve three jobs. ``storage_level`` keeps them on the executors' disks
-    meanwhile; a lost executor only costs re-reading its files. ``None`` parses the files again
-    for each job and needs no disk; the result is the same.
+    Files are parsed once, into a staging area with a folder for each layer and file. A file is wholly in
+    or wholly out: one with a line of too many fields is left out of both layers. A file with a line that ends
+    inside quotes is staged again from whole records (``multi_line`` says so of all files in advance). Row
+    counts come from the staged files' footers. Accepted files are published one by one, silver last and by a
+    rename, because a file counts as done once it has silver rows. Readers see the quarantine of a file's newest
+    run only. A run that fails leaves nothing but its staging area, and its files are taken again.
     """
     run_id = run_id or new_run_id()
-    with compiled_methods(spark):
-        _store(spark, layout, read_raw(spark, units, multi_line), units, run_id, storage_level)
+    session = session_with(spark, INGEST_SETTINGS)
+    parts, errors = read_heads(session, units)
+    staging = layout.staging(run_id)
+
+    plain = [] if multi_line else [p for p in parts if p.header_line is not None]
+    again = {p.unit.source_file for p in parts if multi_line or p.header_line is None}
+    again |= _stage(read_lines(session, plain), f"{staging}/lines", session, plain)
+    redo = [p for p in parts if p.unit.source_file in again]
+    records, unterminated = read_whole_records(session, redo, f"{staging}/text")
+    _stage(records, f"{staging}/records", session)
+    errors += [(name, UNTERMINATED_ERROR) for name in sorted(set(unterminated))]
+
+    try:
+        _publish(session, layout, run_id, units, errors, again)
+    finally:
+        remove(spark, staging)
     return run_id
 
 
-def _store(
+def _stage(frame: DataFrame | None, path: str, spark: SparkSession, parts: Sequence[RawPart] = ()) -> set[str]:
+    """Write typed rows by layer and source file; returns the files whose records cannot be told by lines."""
+    if frame is None:
+        return set()
+    by_lines = HEADER_LINE in frame.columns
+    if by_lines:
+        seen = Observation()
+        counts = [F.count_if(HEADER_LINE).alias("headers"), F.count_if(OPEN_QUOTE).alias("quotes")]
+        frame = frame.observe(seen, *counts).where(~F.col(HEADER_LINE))
+    quoted = f"WHEN {OPEN_QUOTE} THEN '{QUOTED}'" if by_lines else ""
+    layer = f"CASE {quoted} WHEN {MALFORMED} THEN '{SURPLUS}' WHEN {FAILED_RULES} = 0 THEN '{CLEAN}' ELSE '{BROKEN}' END"
+    rows = frame.selectExpr("*", f"{failed_bits(trip_rules())} AS {FAILED_RULES}").selectExpr("*", f"{layer} AS {LAYER}")
+    rows = rows.drop(MALFORMED, OPEN_QUOTE, HEADER_LINE, FAILED_RULES)
+    rows.write.option("compression", "snappy").partitionBy(LAYER, SOURCE_FILE).parquet(path)
+    if not by_lines:
+        return set()
+    found = set()
+    if seen.get["quotes"]:
+        found |= {r[SOURCE_FILE] for r in staged_counts(spark, path) if r[LAYER] == QUOTED}
+    if seen.get["headers"] != len(parts):
+        found |= repeated_headers(spark, parts)
+    return found
+
+
+def staged_counts(spark: SparkSession, path: str) -> list:
+    """One row per layer and file, from footers."""
+    return partition_counts(spark, path, LAYER, SOURCE_FILE).collect()
+
+
+def _publish(
     spark: SparkSession,
     layout: Layout,
-    batch: RawBatch,
-    units: Sequence[RawUnit],
     run_id: str,
-    storage_level: StorageLevel | None,
+    units: Sequence[RawUnit],
+    errors: list[tuple[str, str]],
+    from_records: set[str],
 ) -> None:
+    staging = layout.staging(run_id)
+    counts: dict[str, dict[str, int]] = {}
+    for place in ("lines", "records"):
+        for row in staged_counts(spark, f"{staging}/{place}"):
+            if (row[SOURCE_FILE] in from_records) == (place == "records"):
+                counts.setdefault(row[SOURCE_FILE], {})[row[LAYER]] = row.records
+    strangers = set(counts) - {u.source_file for u in units}
+    if strangers:
+        raise ValueError(f"rows of files that were not asked for: {sorted(strangers)}")
+    unread = {name for name, _ in errors}
+    surplus = sorted(name for name, layers in counts.items() if SURPLUS in layers and name not in unread)
+    errors = [*errors, *((name, MALFORMED_ERROR) for name in surplus)]
+    good = {name: layers for name, layers in counts.items() if name not in unread and SURPLUS not in layers}
+
     rules = trip_rules()
+    broken = {name for name, layers in good.items() if layers.get(BROKEN)}
+    for place, names in (("lines", broken - from_records), ("records", broken & from_records)):
+        if names:
+            base = f"{staging}/{place}"
+            rows = spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/{LAYER}={BROKEN}")
+            chosen = spark.createDataFrame([(n,) for n in sorted(names)], f"{SOURCE_FILE} string")
+            rows = annotate(rows.join(chosen, SOURCE_FILE, "left_semi"), rules)
+            write_quarantine(quarantine_columns(rows, rules), layout, run_id)
+
     files = spark.createDataFrame([(u.source_file,) for u in units], f"{SOURCE_FILE} string")
-    errors = list(batch.errors)
-    counts = spark.createDataFrame([], f"{SOURCE_FILE} string, total bigint, clean bigint")
-
-    def annotated_rows(frame: DataFrame) -> DataFrame:
-        rows = annotate(frame, rules)
-        return rows if storage_level is None else rows.persist(storage_level)
-
-    def counted(rows: DataFrame) -> list:
-        """One row per file."""
-        return (
-            rows.groupBy(SOURCE_FILE)
-            .agg(
-                F.count(F.lit(1)).alias("total"),
-                F.count_if(F.col(FAILED_RULES) == 0).alias("clean"),
-                F.count_if(F.col(MALFORMED)).alias("malformed"),
-                F.count_if(F.col(OPEN_QUOTE)).alias("open_quotes"),
-            )
-            .collect()
-        )
-
-    annotated, per_file = None, []
-    try:
-        if batch.frame is not None:
-            annotated = annotated_rows(batch.frame)
-            per_file = counted(annotated)
-            if whole := {r[SOURCE_FILE] for r in per_file if r.open_quotes}:
-                annotated.unpersist()
-                annotated = annotated_rows(frames_of(spark, batch.parts, whole))
-                per_file = counted(annotated)
-            strangers = {r[SOURCE_FILE] for r in per_file} - {u.source_file for u in units}
-            if strangers:
-                raise ValueError(f"rows of files that were not asked for: {sorted(strangers)}")
-            bad = [r[SOURCE_FILE] for r in per_file if r.malformed]
-            errors += [(name, MALFORMED_ERROR) for name in bad]
-            counts = spark.createDataFrame(
-                [(r[SOURCE_FILE], r.total, r.clean) for r in per_file], counts.schema
-            )
-            good = annotated.drop(MALFORMED, OPEN_QUOTE)
-            if bad:
-                rejected = spark.createDataFrame([(b,) for b in bad], f"{SOURCE_FILE} string")
-                good = good.join(rejected, SOURCE_FILE, "left_anti")
-            if any(r.total > r.clean and not r.malformed for r in per_file):
-                broken = good.where(F.col(FAILED_RULES) != 0)
-                write_quarantine(quarantine_columns(broken, rules), layout, run_id)
-
-        error_rows = spark.createDataFrame(errors, f"{SOURCE_FILE} string, error string")
-        metrics = complete_metrics(files, counts, error_rows)
-        metrics.coalesce(1).write.mode("overwrite").parquet(layout.run_table(run_id))
-
-        if any(r.clean and not r.malformed for r in per_file):
-            clean = good.where(F.col(FAILED_RULES) == 0)
-            write_silver(clean.drop(FAILED_RULES, ERROR_REASON, ERROR_FOLDER), layout)
-    finally:
-        if annotated is not None:
-            annotated.unpersist()
+    totals = [(name, sum(layers.values()), layers.get(CLEAN, 0)) for name, layers in good.items()]
+    counted = spark.createDataFrame(totals, f"{SOURCE_FILE} string, total bigint, clean bigint")
+    error_rows = spark.createDataFrame(errors, f"{SOURCE_FILE} string, error string")
+    metrics = complete_metrics(files, counted, error_rows)
+    metrics.coalesce(1).write.mode("overwrite").parquet(layout.run_table(run_id))
+
+    clean = {name for name, layers in good.items() if layers.get(CLEAN)}
+    for place, names in (("lines", clean - from_records), ("records", clean & from_records)):
+        rename_partitions(spark, f"{staging}/{place}/{LAYER}={CLEAN}", layout.silver, SOURCE_FILE, names)

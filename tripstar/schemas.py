@@ -90,6 +90,8 @@ NUMERIC_COLUMNS = [*CODE_COLUMNS, *LOCATION_COLUMNS, *MEASURES]
 SOURCE_FILE = "source_file"
 MALFORMED = "_malformed"
 OPEN_QUOTE = "_open_quote"
+HEADER_LINE = "_header_line"
+LAYER = "_layer"
 RUN_ID = "run_id"
 FAILED_RULES = "failed_rules"
 ERROR_REASON = "error_reason"

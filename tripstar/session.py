@@ -48,6 +48,16 @@ def session_with(spark: SparkSession, values: dict[str, str]) -> SparkSession:
     return child
 
 
+# The parsed rows of one task go to a file for each layer and source file, held open side by side instead
+# of sorted; a task's rows are those of one input split. Small quarantine partitions are merged by number of
+# files, not by size. For wide code see compiled_methods.
+INGEST_SETTINGS = {
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for the jobs of one block; the earlier values come back afterwards."""

@@ -18,7 +18,6 @@ from tripstar.schemas import (
     SILVER_SCHEMA,
     SOURCE_FILE,
 )
-from tripstar.session import many_small_files
 from tripstar.sources.raw import path_exists_or_none
 
 
@@ -45,6 +44,9 @@ class Layout:
     def runs(self) -> str:
         return f"{self.root}/runs"
 
+    def staging(self, run_id: str) -> str:
+        return f"{self.root}/_staging/{run_id}"
+
     def gold_table(self, name: str) -> str:
         return f"{self.gold}/{name}"
 
@@ -63,22 +65,14 @@ def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
-def write_silver(clean: DataFrame, layout: Layout) -> None:
-    """Clean rows, one partition per source file. Map-only: rows stay in their input task."""
-    write_partitions(clean, layout.silver, SOURCE_FILE)
-
-
 def write_quarantine(quarantine: DataFrame, layout: Layout, run_id: str) -> None:
     """Quarantined rows of one run by folder and source file.
 
     Each input task holds a few rows for many folders, so the rows are rebalanced first: small
     partitions are merged into few files, and a folder with most of the rows is split.
     """
-    balanced = quarantine.hint("rebalance", ERROR_FOLDER, SOURCE_FILE)
-    with many_small_files(quarantine.sparkSession):
-        write_partitions(
-            balanced.withColumn(RUN_ID, F.lit(run_id)), layout.quarantine, RUN_ID, ERROR_FOLDER, SOURCE_FILE
-        )
+    balanced = quarantine.hint("rebalance", ERROR_FOLDER, SOURCE_FILE).withColumn(RUN_ID, F.lit(run_id))
+    write_partitions(balanced, layout.quarantine, RUN_ID, ERROR_FOLDER, SOURCE_FILE)
 
 
 def _read(spark: SparkSession, path: str, schema, **options) -> DataFrame:

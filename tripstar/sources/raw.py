@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterable, Iterator, Mapping, Sequence, Set
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ from tripstar.schemas import (
     ERROR_FOLDER,
     ERROR_REASON,
     FAILED_RULES,
+    HEADER_LINE,
+    LAYER,
     MALFORMED,
     NA_TOKENS,
     NUMERIC_COLUMNS,
@@ -34,19 +36,20 @@ from tripstar.schemas import (
     REQUIRED_COLUMNS,
     SOURCE_FILE,
 )
+from tripstar.session import session_with
+from tripstar.sources.records import COMPLETE_QUOTED, PATH, VALUE, is_blank, opens, read_records, text_lines
 
 UNIT_PATH = "unit_path"
 NAME_START = "name_start"
 _CORRUPT = "_corrupt_line"
-_HEADER_THREADS = 16
-_BOM = "﻿"
+_PARSED = "_parsed"
+_BOM = "\ufeff"
+_ONE_TASK_A_FILE = str(1 << 40)
 
 # Same quoting as the pandas reader: a doubled quote is a literal quote, no escape character.
-# Without column pruning a job that needs few columns still sees every surplus field.
-_CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
-_COMPLETE_QUOTED = r'(^|,)"(?:[^"]|"")*"'
+_CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": _CORRUPT}
 _MODEL_NAMES = {PICKUP, DROPOFF, *NUMERIC_COLUMNS}
-_RESERVED = {name.lower() for name in (*_MODEL_NAMES, SOURCE_FILE, MALFORMED, OPEN_QUOTE, FAILED_RULES, ERROR_REASON, ERROR_FOLDER)}
+_RESERVED = {name.lower() for name in (*_MODEL_NAMES, SOURCE_FILE, MALFORMED, OPEN_QUOTE, HEADER_LINE, LAYER, FAILED_RULES, ERROR_REASON, ERROR_FOLDER)}
 
 
 @dataclass(frozen=True)
@@ -58,15 +61,6 @@ class RawUnit:
     name_start: int = 0  # a directory of part files: where its name starts in their paths
 
 
-@dataclass(frozen=True)
-class RawBatch:
-    """Rows of all readable units, and ``(source_file, error)`` for the rejected ones."""
-
-    frame: DataFrame | None
-    errors: list[tuple[str, str]]
-    parts: list[RawPart]
-
-
 def path_exists_or_none(load, *paths: str) -> DataFrame | None:
     """``load(*paths)``, or None where nothing is there yet."""
     try:
@@ -132,71 +126,92 @@ def collect_units(units: DataFrame) -> list[RawUnit]:
 
 @dataclass(frozen=True)
 class RawPart:
-    """One CSV file of a unit: its raw column names and the time formats of its first values."""
+    """One CSV file of a unit: its raw column names and the time formats of its first values.
+
+    ``header_line`` is the header as it stands in the file; None where it takes several lines.
+    """
 
     unit: RawUnit
     path: str
     header: tuple[str, ...]
     formats: tuple[tuple[str, str], ...]
+    header_line: str | None
+
 
+_TIMES = (PICKUP, DROPOFF)
+_HEAD = f"{PATH} string, header array<string>, lines array<string>, first array<string>"
 
-def _lines(reader) -> Iterator[str]:
-    while (line := reader.readLine()) is not None:
-        yield line + "\n"
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Header and first times of the one file that a task holds; reads no further than the first row that has both."""
+    seen: list[str] = []
+    path = None
 
-def _read_head(unit: RawUnit, path: str, reader) -> RawPart | None:
-    """Header and first times of an open file; reads no further than the first row that has both."""
-    rows = csv.reader(_lines(reader))
-    header = tuple(name.removeprefix(_BOM) for name in next(rows, ()))
+    def lines() -> Iterator[str]:
+        nonlocal path
+        for batch in batches:
+            for at in range(batch.num_rows):
+                path = batch.column(PATH)[at].as_py()
+                seen.append(batch.column(VALUE)[at].as_py())
+                yield seen[-1] + "\n"
+
+    rows = csv.reader(lines())
+    header = next((row for row in rows if row), [])
     if not header:
-        return None
-    wanted = {name: header.index(name) for name in (PICKUP, DROPOFF) if name in header}
+        return
+    head_lines = list(seen)
+    header = [name.removeprefix(_BOM) for name in header]
+    wanted = {name: header.index(name) for name in _TIMES if name in header}
     first: dict[str, str] = {}
     for row in rows:
+        seen.clear()
         for name, at in wanted.items():
             if name not in first and at < len(row) and row[at] not in NA_TOKENS:
                 first[name] = row[at]
         if len(first) == len(wanted):
             break
-    return RawPart(unit, path, header, tuple((name, time_format(first.get(name))) for name in wanted))
+    values = [first.get(name) for name in _TIMES]
+    text = pa.list_(pa.string())
+    columns = [pa.array([path]), pa.array([header], text), pa.array([head_lines], text), pa.array([values], text)]
+    yield pa.RecordBatch.from_arrays(columns, names=[PATH, "header", "lines", "first"])
 
 
 def read_heads(spark: SparkSession, units: Sequence[RawUnit]) -> tuple[list[RawPart], list[tuple[str, str]]]:
-    """Heads of all files, read through Spark's file systems without a job; unreadable units become errors."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-
-    def files_of(system, path) -> list:
-        if not system.getFileStatus(path).isDirectory():
-            return [path]
-        found = [status for status in system.listStatus(path) if status.isFile() and status.getLen() > 0]
-        return sorted((s.getPath() for s in found if s.getPath().getName()[0] not in "_."), key=str)
-
-    def probe(unit: RawUnit) -> tuple[list[RawPart], tuple[str, str] | None]:
-        try:
-            top = jvm.org.apache.hadoop.fs.Path(unit.path)
-            system, parts = top.getFileSystem(conf), []
-            for path in files_of(system, top):
-                stream = system.open(path)
-                try:
-                    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                    parts.append(_read_head(unit, path.toString() if unit.name_start else unit.path, reader))
-                finally:
-                    stream.close()
-        except Exception as error:  # unreadable file: report it, go on with the others
-            return [], (unit.source_file, (str(error).splitlines() or ["unreadable"])[0])
-        parts = [part for part in parts if part is not None]
-        if not parts:
-            return [], (unit.source_file, "No columns to parse from file")
-        for part in parts:
-            absent = [c for c in REQUIRED_COLUMNS if c not in part.header]
-            if absent:
-                return [], (unit.source_file, f"Missing columns: {absent}")
-        return parts, None
-
-    with ThreadPoolExecutor(_HEADER_THREADS) as pool:
-        probed = list(pool.map(probe, units))
-    return [part for parts, _ in probed for part in parts], [error for _, error in probed if error]
+    """Heads of all files, each opened by a task that stops after its first rows; unreadable units become errors.
+
+    The driver sees one row for each file and opens none.
+    """
+    if not units:
+        return [], []
+    whole_files = {"spark.sql.files.maxPartitionBytes": _ONE_TASK_A_FILE, "spark.sql.files.openCostInBytes": _ONE_TASK_A_FILE, "spark.sql.files.ignoreCorruptFiles": "true", "spark.sql.files.ignoreMissingFiles": "true"}
+    session = session_with(spark, whole_files)
+    lines = path_exists_or_none(lambda *paths: text_lines(session, paths), *[u.path for u in units])
+    if lines is None:  # a file went away since it was listed
+        there = [u for u in units if path_exists_or_none(session.read.text, u.path) is not None]
+        gone = [(u.source_file, f"Path does not exist: {u.path}") for u in units if u not in there]
+        parts, errors = read_heads(spark, there)
+        return parts, errors + gone
+    rows = lines.select(PATH, VALUE).mapInArrow(_heads, _HEAD).collect()
+    by_path = {unit.path: unit for unit in units}
+    parts: dict[RawUnit, list[RawPart]] = {unit: [] for unit in units}
+    for row in sorted(rows, key=lambda r: r[PATH]):
+        found = unit_of(row[PATH])
+        unit = by_path.get(found.path) if found else None
+        if unit is None:
+            raise ValueError(f"a file that was not asked for: {row[PATH]}")
+        times = tuple((name, time_format(value)) for name, value in zip(_TIMES, row.first, strict=True) if name in row.header)
+        line = row.lines[-1] if len(row.header) and len([x for x in row.lines if x.strip(" \t")]) == 1 else None
+        parts[unit].append(RawPart(unit, unquote(row[PATH]) if unit.name_start else unit.path, tuple(row.header), times, line))
+    good, errors = [], []
+    for unit, found in parts.items():
+        absent = next((a for part in found if (a := [c for c in REQUIRED_COLUMNS if c not in part.header])), None)
+        if not found:
+            errors.append((unit.source_file, "No columns to parse from file"))
+        elif absent:
+            errors.append((unit.source_file, f"Missing columns: {absent}"))
+        else:
+            good += found
+    return good, errors
 
 
 def column_names(header: Sequence[str]) -> list[str]:
@@ -234,68 +249,41 @@ def _name_source(unit: RawUnit) -> tuple[str, ...]:
     return ("file",)
 
 
-def _source_file(source: tuple) -> Column:
+def _source_file(source: tuple, path: str) -> Column:
     kind, *where = source
     if kind == "file":
-        return F.col("_metadata.file_name")
+        return F.substring_index(path, "/", -1)
     if kind == "folder":
-        return F.substring("_metadata.file_path", *where)
+        return F.substring(path, *where)
     return F.lit(*where)
 
 
-def _bare_line() -> Column:
-    """A marked line without its complete quoted fields; a quote inside other text opens no field."""
-    return F.regexp_replace(F.col(_CORRUPT), _COMPLETE_QUOTED, "$1")
-
-
 def _too_many_fields(width: int) -> Column:
-    """True for a line with more fields than the header; short lines are padded with NULL.
+    """True for a record with more fields than the header; short ones are padded with NULL.
 
-    The reader marks both kinds; only marked lines are looked at again.
+    The parser marks both kinds; only marked records are looked at again, without their complete
+    quoted fields.
     """
-    bare = _bare_line()
+    bare = F.regexp_replace(F.col(f"{_PARSED}.{_CORRUPT}"), COMPLETE_QUOTED, "$1")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     return F.coalesce(fields > width, F.lit(False))
 
 
-def _open_quote(width: int) -> Column:
-    """True for a line that looks like part of a record with a line break inside quotes.
-
-    Of the parts of such a record at least one is short, so only marked lines are looked at.
-    """
-    return F.coalesce(~_too_many_fields(width) & F.contains(_bare_line(), F.lit('"')), F.lit(False))
-
-
-def read_group(
-    spark: SparkSession,
-    paths: Sequence[str],
-    header: Sequence[str],
-    source: tuple,
-    multi_line: bool = False,
-    names: Sequence[str] | None = None,
-) -> DataFrame:
-    """Rows of files that share one header, as text, plus ``source_file``, ``_malformed``, ``_open_quote``.
-
-    Columns are bound by position under names of their own, so any header can be read.
-    ``multi_line`` is for files with line breaks inside quotes; it stops Spark from splitting
-    large files.
-    """
+def parse_group(rows: DataFrame, header: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """``value`` cut into columns of text by position; the other columns of ``rows`` follow, and ``_malformed``."""
     places = [f"_column_{k}" for k in range(len(header))]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*places, _CORRUPT]])
-    frame = spark.read.options(
-        **_CSV_OPTIONS, columnNameOfCorruptRecord=_CORRUPT, multiLine=multi_line
-    ).schema(schema).csv(list(paths))
-    return frame.select(
-        *[F.col(place).alias(name) for place, name in zip(places, names or column_names(header), strict=True)],
-        _source_file(source).alias(SOURCE_FILE),
+    parsed = rows.withColumn(_PARSED, F.from_csv(VALUE, schema.simpleString()[7:-1].replace(":", " "), _CSV_OPTIONS))
+    return parsed.select(
+        *[F.col(f"{_PARSED}.{place}").alias(name) for place, name in zip(places, names or column_names(header), strict=True)],
+        *[c for c in rows.columns if c != VALUE],
         _too_many_fields(len(header)).alias(MALFORMED),
-        (F.lit(False) if multi_line else _open_quote(len(header))).alias(OPEN_QUOTE),
     )
 
 
 def typed_raw(frame: DataFrame, formats: Mapping[str, str] | None = None) -> DataFrame:
     """Type the known columns and drop the missing-value tokens of all others."""
-    known = {*_MODEL_NAMES, SOURCE_FILE, MALFORMED, OPEN_QUOTE}
+    known = {*_MODEL_NAMES, SOURCE_FILE, MALFORMED, OPEN_QUOTE, HEADER_LINE}
     others = [c for c in frame.columns if c not in known]
     frame = typed(frame, formats)
     if not others:
@@ -306,30 +294,60 @@ def typed_raw(frame: DataFrame, formats: Mapping[str, str] | None = None) -> Dat
     )
 
 
-def frames_of(spark: SparkSession, parts: Sequence[RawPart], multi_line: bool | Set[str] = False) -> DataFrame | None:
-    """Typed rows of all files, one read per distinct header and time formats.
-
-    ``multi_line`` names the units to be read in one piece, or says so of all.
-    """
-    reads: dict[tuple, list[str]] = {}
+def _grouped(parts: Sequence[RawPart]) -> Iterator[tuple[list[RawPart], list[str]]]:
+    """Parts that can share a read, and their column names."""
     # one spelling of each name for all files, as the stored table has one column for them
     spelling = {name.lower(): name for name in _MODEL_NAMES}
+    groups: dict[tuple, list[RawPart]] = {}
     for part in parts:
         for name in column_names(part.header):
             spelling.setdefault(name.lower(), name)
-        whole = multi_line if isinstance(multi_line, bool) else part.unit.source_file in multi_line
-        reads.setdefault((part.header, _name_source(part.unit), part.formats, whole), []).append(part.path)
-    frames = [
-        typed_raw(
-            read_group(spark, paths, header, source, whole, [spelling[n.lower()] for n in column_names(header)]),
-            dict(formats),
-        )
-        for (header, source, formats, whole), paths in reads.items()
-    ]
+        groups.setdefault((part.header, part.header_line, _name_source(part.unit), part.formats), []).append(part)
+    for group in groups.values():
+        yield group, [spelling[name.lower()] for name in column_names(group[0].header)]
+
+
+def _united(frames: list[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
-def read_raw(spark: SparkSession, units: Sequence[RawUnit], multi_line: bool = False) -> RawBatch:
-    """Typed rows of all units with a proper header."""
-    parts, errors = read_heads(spark, units)
-    return RawBatch(frames_of(spark, parts, multi_line), errors, parts)
+def read_lines(spark: SparkSession, parts: Sequence[RawPart]) -> DataFrame | None:
+    """Typed rows of all lines, one read per distinct header and time formats.
+
+    ``_header_line`` marks lines that look like the header in a file's first split, ``_open_quote``
+    those that end inside quotes: where there are such, or several headers, only ``read_whole_records``
+    can tell the records of the file.
+    """
+    frames = []
+    for group, names in _grouped(parts):
+        part = group[0]
+        rows = text_lines(spark, [p.path for p in group]).where(f"NOT {is_blank(VALUE)}")
+        header = (F.col("_block") == 0) & (F.col(VALUE) == F.lit(part.header_line))
+        rows = rows.select(VALUE, _source_file(_name_source(part.unit), PATH).alias(SOURCE_FILE), header.alias(HEADER_LINE), F.expr(opens(VALUE)).alias(OPEN_QUOTE))
+        frames.append(typed_raw(parse_group(rows, part.header, names), dict(part.formats)))
+    return _united(frames)
+
+
+def repeated_headers(spark: SparkSession, parts: Sequence[RawPart]) -> set[str]:
+    """Source files in which the header line stands more than once, or is not found."""
+    frames = []
+    for group, _ in _grouped(parts):
+        line = group[0].header_line
+        lines = text_lines(spark, [p.path for p in group])
+        heads = lines.where((F.col("_block") == 0) & (F.col(VALUE) == F.lit(line))).groupBy(PATH).count()
+        frames.append(heads.where("count = 1").select(PATH))
+    once = {row[PATH] for row in _united(frames).collect()} if frames else set()
+    found = {unquote(path).replace("file:///", "file:/", 1) for path in once}
+    return {part.unit.source_file for part in parts if part.path not in found}
+
+
+def read_whole_records(spark: SparkSession, parts: Sequence[RawPart], folder: str) -> tuple[DataFrame | None, list[str]]:
+    """Typed rows of files whose quoted fields may hold line breaks, and the source files that end inside quotes."""
+    frames, broken = [], []
+    for k, (group, names) in enumerate(_grouped(parts)):
+        part = group[0]
+        records, bad = read_records(spark, [p.path for p in group], f"{folder}/{k}")
+        broken += [unit_of(path).source_file for path in bad]
+        rows = records.select(VALUE, _source_file(_name_source(part.unit), PATH).alias(SOURCE_FILE))
+        frames.append(typed_raw(parse_group(rows, part.header, names), dict(part.formats)))
+    return _united(frames), broken
