@@ -153,10 +153,10 @@ def test_only_unreadable_silver(spark, layout):
     assert (row.status, row.reason) == ("skipped", "no_readable_files")
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_dense_ids_with_and_without_broadcast(spark, tmp_path, monkeypatch, limit):
-    """Most rows in one source file, several part files each; both join forms give dense ids."""
-    monkeypatch.setattr(fact, "MAX_BROADCAST_FILES", limit)
+@pytest.mark.parametrize("limit", [1, 3, 5, 100_000])
+def test_dense_ids_in_blocks_of_files(spark, tmp_path, monkeypatch, limit):
+    """Most rows in one source file, several part files each; blocks may begin within a source file."""
+    monkeypatch.setattr(fact, "FILES_PER_BROADCAST", limit)
     path = str(tmp_path / "stored")
     rows = spark.range(30_000, numPartitions=4).selectExpr(
         "if(id % 3 < 2, 'b.csv', if(id % 2 = 0, 'a.csv', 'c.csv')) AS source_file", "id AS v"
@@ -169,6 +169,9 @@ def test_dense_ids_with_and_without_broadcast(spark, tmp_path, monkeypatch, limi
     ]
     one = ids.selectExpr("count(DISTINCT trip_id) AS n", "max(trip_id) AS hi", "count(DISTINCT v) AS v").first()
     assert tuple(one) == (30_000, 29_999, 30_000)
+    assert fact.with_trip_id(spark.read.parquet(path).where("source_file = 'x'")).count() == 0
+    text = ids._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text.split("BroadcastExchange")[0] and "SinglePartition" not in text
 
 
 def test_fact_rows_are_not_shuffled(spark, stored):

@@ -153,6 +153,24 @@ def test_eighty_rules(spark):
     assert one == other
 
 
+@pytest.mark.parametrize("n", [62, 63, 125])
+def test_rules_may_share_labels(spark, n):
+    """A row that breaks the second of two rules of one label goes to the second's folder, and bits mean the same rules."""
+    rules = [R.Rule("same", "first", "id = 1", ("id",)), R.Rule("same", "second", "id = 2"), *[R.Rule(f"r{i}", f"f{i}", f"id = {i}", ("half",)) for i in range(2, n)]]
+    df = spark.range(n).selectExpr("id", "id / 2 AS half", "'s' AS source_file")
+    got = {r.id: r for r in R.annotate(df, rules).collect()}
+    assert (got[1].error_folder, got[1].error_reason, got[1].failed_rules) == ("first", "same", 1)
+    assert (got[2].error_folder, got[2].error_reason, got[2].failed_rules) == ("multiple_errors", "same; r2", 6)
+    assert (got[0].error_folder, got[0].error_reason, got[0].failed_rules) == ("clean", None, 0)
+    last = got[n - 1]
+    words = list(R.words_of(rules))
+    assert (last.error_folder, last[words[-1]]) == (f"f{n - 1}", 1 << (n - 1) % R.MAX_BITS)
+    only = R.annotate(spark.range(3).selectExpr("id + 2 AS id", "'s' AS source_file"), [*rules[:2], *[R.Rule(f"r{i}", f"f{i}", "false") for i in range(2, n)]])
+    assert [r.error_folder for r in only.orderBy("id").collect()] == ["second", "clean", "clean"]
+    kept = {r.error_folder: (r.id, r.half) for r in R.quarantine_rows(df.where(f"id IN (1, {n - 1})"), rules).collect()}
+    assert kept == {"first": (1, None), f"f{n - 1}": (None, (n - 1) / 2)}
+
+
 def test_generated_methods_stay_small(spark):
     """The JIT compiler skips methods above 8,000 bytes."""
     from sample import SF_SMALL

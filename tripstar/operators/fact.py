@@ -1,17 +1,20 @@
 """Fact table: keys, locations, measures, duration and dense row ids.
 
-Apart from the id offsets everything is map-only: the lookups broadcast dimensions of fixed
-size, and no row is shuffled.
+Everything is map-only: the lookups broadcast dimensions of fixed
+size, and no row is shuffled. Only the list of files is sorted, for the id offsets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripstar.functions.coerce import minutes_between, number, typed, whole_number
 from tripstar.operators.dimensions import date_key, dim_payment_type, dim_rate_code, dim_vendor
 from tripstar.operators.lookup import Lookup, star_lookup
+from tripstar.operators.positions import sums_before
 from tripstar.schemas import (
     DROPOFF,
     FACT_KEYS,
@@ -25,8 +28,8 @@ TRIP_ID = "trip_id"
 FILE_PATH = "_file_path"
 ROW_INDEX = "_row_index"
 
-# Offsets of up to this many files (about 20 MB) are broadcast; beyond it they are joined.
-MAX_BROADCAST_FILES = 100_000
+# Offsets are broadcast for so many files at a time (about 20 MB); the rows are never shuffled.
+FILES_PER_BROADCAST = 100_000
 
 
 def measures(trips: DataFrame) -> list[str]:
@@ -83,47 +86,40 @@ def with_file_position(stored: DataFrame) -> DataFrame:
 
 
 def file_offsets(stored: DataFrame, order_column: str = SOURCE_FILE) -> DataFrame:
-    """``(_file_path, _offset)``: rows stored before each file, in (source file, path) order.
+    """``_group``, ``_file_path``, ``_offset`` and ``_place``: rows and files before each file, in (source file, path) order.
 
-    Works on one row per Parquet file. Running sums are taken within each source file first and
-    then over the source files, so no task sees the whole file list.
+    A prefix sum over one row per Parquet file: range-partitioned, then sums by partition.
     """
-    parts = (
+    files = (
         stored.select(F.col(order_column).alias("_group"), F.col("_metadata.file_path").alias(FILE_PATH))
         .groupBy("_group", FILE_PATH)
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    before = (Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    within = Window.partitionBy("_group").orderBy(FILE_PATH).rowsBetween(*before)
-    groups = (
-        parts.groupBy("_group")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(
-            "_group",
-            F.coalesce(F.sum("_rows").over(Window.orderBy("_group").rowsBetween(*before)), zero)
-            .alias("_group_offset"),
-        )
-    )
-    return (
-        parts.withColumn("_part_offset", F.coalesce(F.sum("_rows").over(within), zero))
-        .join(groups, "_group")
-        .select(FILE_PATH, (F.col("_group_offset") + F.col("_part_offset")).alias("_offset"))
-    )
+    partitions = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("_group"), F.col(FILE_PATH)]
+    return sums_before(files, order, partitions, _offset=F.col("_rows"), _place=F.lit(1).cast("bigint"))
 
 
 def with_trip_id(stored: DataFrame, order_column: str = SOURCE_FILE) -> DataFrame:
     """Dense ids from 0 over stored Parquet rows, without sorting or shuffling the rows.
 
-    id = rows in earlier files + position in the own file. ``stored`` must be an unfiltered scan
-    that still exposes ``_metadata``.
+    id = rows in earlier files + position in the own file. The files are taken in consecutive blocks, each with
+    the offsets of its own files broadcast; a block reads the partitions of its source files only. ``stored`` must be an
+    unfiltered scan that still exposes ``_metadata``.
     """
     offsets = file_offsets(stored, order_column)
-    if len(stored.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    return (
-        with_file_position(stored)
-        .join(offsets, FILE_PATH)
-        .withColumn(TRIP_ID, F.col("_offset") + F.col(ROW_INDEX))
-        .drop(FILE_PATH, ROW_INDEX, "_offset")
-    )
+    heads = offsets.where(F.col("_place") % FILES_PER_BROADCAST == 0).orderBy("_place").collect()  # one row a block
+    rows = with_file_position(stored)
+    blocks = []
+    for k, head in enumerate(heads):
+        end = heads[k + 1] if k + 1 < len(heads) else None
+        mine = offsets.where(F.col("_place").between(head["_place"], head["_place"] + FILES_PER_BROADCAST - 1))
+        # prunes partitions; the join then leaves the files of the block
+        block = rows.where(F.col(order_column) >= head["_group"]) if k else rows
+        if end is not None:
+            block = block.where(F.col(order_column) <= end["_group"])
+        blocks.append(block.join(F.broadcast(mine.select(FILE_PATH, "_offset")), FILE_PATH))
+    if not blocks:
+        return rows.withColumn(TRIP_ID, F.lit(0).cast("bigint")).drop(FILE_PATH, ROW_INDEX).limit(0)
+    numbered = reduce(DataFrame.unionByName, blocks)
+    return numbered.withColumn(TRIP_ID, F.col("_offset") + F.col(ROW_INDEX)).drop(FILE_PATH, ROW_INDEX, "_offset")

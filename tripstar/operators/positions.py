@@ -27,30 +27,30 @@ def _dealt(frame: DataFrame, order: list[Column], partitions: int) -> DataFrame:
     return frame.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
 
-def _with_offsets(rows: DataFrame, total: Column, name: str) -> DataFrame:
-    """``rows`` with the sum of ``total`` over all earlier partitions; one row for each partition passes through the driver."""
-    sums = [(r[PART], r.total) for r in rows.groupBy(PART).agg(total.alias("total")).orderBy(PART).collect()]
-    before = [0, *accumulate(total for _, total in sums)]
-    offsets = rows.sparkSession.createDataFrame(
-        [(part, offset) for (part, _), offset in zip(sums, before)], f"{PART} bigint, {name} bigint"
-    )
-    return rows.join(F.broadcast(offsets), PART)
+def _offsets(rows: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """For each partition the sum of every total over all earlier ones; one row for each passes through the driver."""
+    sums = rows.groupBy(PART).agg(*[total.alias(name) for name, total in totals.items()]).orderBy(PART).collect()
+    before = [[0, *accumulate(r[name] for r in sums)] for name in totals]
+    values = [(r[PART], *at) for r, *at in zip(sums, *before)]
+    return rows.sparkSession.createDataFrame(values, f"{PART} bigint, {', '.join(f'{name} bigint' for name in totals)}")
 
 
 def row_places(frame: DataFrame, order: list[Column], partitions: int, name: str) -> DataFrame:
     """``frame`` and the place of each row (from 0) in ``order``, which should tell all rows apart."""
     placed = _dealt(frame, order, partitions).withColumn("_id", F.monotonically_increasing_id())
     rows = _stored(placed).withColumn(PART, F.shiftright("_id", _PLACE_BITS))
-    found = _with_offsets(rows, F.count(F.lit(1)), "_before")
+    offsets = _offsets(rows, {"_before": F.count(F.lit(1))})
     place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return found.select(*frame.columns, place.alias(name))
+    return rows.join(F.broadcast(offsets), PART).select(*frame.columns, place.alias(name))
 
 
-def sums_before(frame: DataFrame, order: list[Column], value: str, partitions: int, name: str) -> DataFrame:
-    """``frame`` and the sum of ``value`` over all rows before each in ``order``, which should tell all rows apart."""
-    rows = _stored(_dealt(frame, order, partitions).withColumn(PART, F.spark_partition_id().cast("bigint")))
+def sums_before(frame: DataFrame, order: list[Column], partitions: int, **values: Column) -> DataFrame:
+    """``frame`` and the sum of each of ``values`` (new name = column) over all rows before a row in ``order``, which should tell all rows apart."""
+    with_values = frame.withColumns({f"_value_{name}": value for name, value in values.items()})
+    rows = _stored(_dealt(with_values, order, partitions).withColumn(PART, F.spark_partition_id().cast("bigint")))
     within = Window.partitionBy(PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = rows.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0).cast("bigint")))
-    found = _with_offsets(rows, F.sum(value), "_before").select(*frame.columns, PART, "_before")
-    offsets = found.select(PART, "_before").distinct()
-    return summed.join(F.broadcast(offsets), PART).select(*frame.columns, (F.col("_before") + F.col("_within")).alias(name))
+    zero = F.lit(0).cast("bigint")
+    summed = rows.withColumns({f"_within_{n}": F.coalesce(F.sum(f"_value_{n}").over(within), zero) for n in values})
+    offsets = _offsets(rows, {f"_before_{n}": F.sum(f"_value_{n}") for n in values})
+    sums = [(F.col(f"_before_{n}") + F.col(f"_within_{n}")).alias(n) for n in values]
+    return summed.join(F.broadcast(offsets), PART).select(*frame.columns, *sums)

@@ -1,8 +1,9 @@
 """Row rules: annotate every row with the rules it breaks, split and route the rows.
 
 The rule set is generic; a rule is a SQL predicate over the row. ``annotate`` needs one pass and
-no shuffle: it keeps the broken rules of a row as the bits of one BIGINT, and derives the reason
-text and the folder from it.
+no shuffle: it keeps the broken rules of a row as bits, and derives the reason text and the folder from
+them. Rule i is bit i of ``failed_rules``; from ``MAX_BITS`` rules on further ones follow in ``failed_rules_2`` and so on,
+so a bit means the same rule however many rules there are, and rules may share labels and folders.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from tripstar.schemas import (
     TRIP_RULE_NAMES,
 )
 
-MAX_BITS = 62  # rules that fit one BIGINT; larger rule sets keep the labels in an array instead
+MAX_BITS = 62  # rules in one BIGINT
 REASON_SEPARATOR = "; "
 
 
@@ -73,70 +74,60 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def failed_bits(rules: Sequence[Rule]) -> str:
-    """BIGINT expression: bit i is set where rule i is broken; 0 means clean.
-
-    Beyond ``MAX_BITS`` rules it is the number of broken rules, which is 0 for a clean row just so.
-    """
+def words_of(rules: Sequence[Rule]) -> dict[str, list[Rule]]:
+    """Column of bits -> the rules that it stands for."""
     if not rules:
         raise ValueError("need one or more rules")
-    if len(rules) > MAX_BITS:
-        return f"CAST(size({broken_labels(rules)}) AS BIGINT)"
+    parts = [list(rules[at : at + MAX_BITS]) for at in range(0, len(rules), MAX_BITS)]
+    return {FAILED_RULES if k == 0 else f"{FAILED_RULES}_{k + 1}": part for k, part in enumerate(parts)}
+
+
+def _bits(rules: Sequence[Rule]) -> str:
     return " + ".join(f"if({rule.broken}, {1 << i}L, 0L)" for i, rule in enumerate(rules))
 
 
-def reason_text(rules: Sequence[Rule], bits: str = FAILED_RULES) -> str:
-    """Labels of the broken rules in rule order; NULL for a clean row."""
-    labels = [f"if({bits} & {1 << i}L != 0, {_text(r.label)}, NULL)" for i, r in enumerate(rules)]
-    return f"if({bits} != 0, concat_ws({_text(REASON_SEPARATOR)}, {', '.join(labels)}), NULL)"
+def failed_bits(rules: Sequence[Rule]) -> list[str]:
+    """One BIGINT per word: bit i is set where its rule i is broken; all 0 means clean."""
+    return [f"{_bits(part)} AS {word}" for word, part in words_of(rules).items()]
 
 
-def folder_name(
-    rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS, bits: str = FAILED_RULES
-) -> str:
-    """``clean``, the folder of the only broken rule, or ``multiple``."""
-    single = " ".join(f"WHEN {1 << i}L THEN {_text(r.folder)}" for i, r in enumerate(rules))
-    return f"CASE {bits} WHEN 0L THEN {_text(CLEAN)} {single} ELSE {_text(multiple)} END"
+def _labels(rules: Sequence[Rule]) -> str:
+    tests = [f"if({word} & {1 << i}L != 0, {_text(r.label)}, NULL)" for word, part in words_of(rules).items() for i, r in enumerate(part)]
+    return ", ".join(tests)
 
 
-def broken_labels(rules: Sequence[Rule]) -> str:
-    """Labels of the broken rules in rule order as ARRAY<STRING>, from the predicates."""
-    return f"array_compact(array({', '.join(f'if({r.broken}, {_text(r.label)}, NULL)' for r in rules)}))"
+def _any(rules: Sequence[Rule]) -> str:
+    return " OR ".join(f"{word} != 0" for word in words_of(rules))
 
 
-def _annotate_many(df: DataFrame, rules: Sequence[Rule], multiple: str) -> DataFrame:
-    """``annotate`` for any number of rules: one array of labels instead of bits."""
-    folders = ", ".join(f"{_text(r.label)}, {_text(r.folder)}" for r in rules)
-    labels = df.selectExpr("*", f"{broken_labels(rules)} AS _labels")
-    return labels.selectExpr(
-        "* EXCEPT (_labels)",
-        f"CAST(size(_labels) AS BIGINT) AS {FAILED_RULES}",
-        f"if(size(_labels) > 0, array_join(_labels, {_text(REASON_SEPARATOR)}), NULL) AS {ERROR_REASON}",
-        f"CASE size(_labels) WHEN 0 THEN {_text(CLEAN)} WHEN 1 THEN map({folders})[_labels[0]]"
-        f" ELSE {_text(multiple)} END AS {ERROR_FOLDER}",
-    )
+def reason_text(rules: Sequence[Rule]) -> str:
+    """Labels of the broken rules in rule order; NULL for a clean row."""
+    return f"if({_any(rules)}, concat_ws({_text(REASON_SEPARATOR)}, {_labels(rules)}), NULL)"
+
+
+def folder_name(rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> str:
+    """``clean``, the folder of the only broken rule, or ``multiple``."""
+    words = words_of(rules)
+    if len(words) == 1:
+        single = " ".join(f"WHEN {1 << i}L THEN {_text(r.folder)}" for i, r in enumerate(rules))
+        return f"CASE {FAILED_RULES} WHEN 0L THEN {_text(CLEAN)} {single} ELSE {_text(multiple)} END"
+    broken = " + ".join(f"bit_count({word})" for word in words)
+    single = [f"CASE {word} {' '.join(f'WHEN {1 << i}L THEN {_text(r.folder)}' for i, r in enumerate(part))} END" for word, part in words.items()]
+    return f"CASE {broken} WHEN 0 THEN {_text(CLEAN)} WHEN 1 THEN coalesce({', '.join(single)}) ELSE {_text(multiple)} END"
 
 
 def annotate(df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS) -> DataFrame:
-    """Add ``failed_rules``, ``error_reason`` and ``error_folder``."""
-    if len(rules) > MAX_BITS:
-        return _annotate_many(df, rules, multiple)
-    return df.selectExpr("*", f"{failed_bits(rules)} AS {FAILED_RULES}").selectExpr(
+    """Add ``failed_rules`` (and further words, see above), ``error_reason`` and ``error_folder``."""
+    return df.selectExpr("*", *failed_bits(rules)).selectExpr(
         "*",
         f"{reason_text(rules)} AS {ERROR_REASON}",
         f"{folder_name(rules, multiple)} AS {ERROR_FOLDER}",
     )
 
 
-def error_reasons(rules: Sequence[Rule], bits: str = FAILED_RULES) -> str:
-    """The broken rules' labels of an annotated row as ARRAY<STRING> (empty if clean).
-
-    Beyond ``MAX_BITS`` rules the row's own columns are tested again, as no bits are kept.
-    """
-    if len(rules) > MAX_BITS:
-        return broken_labels(rules)
-    labels = [f"if({bits} & {1 << i}L != 0, {_text(r.label)}, NULL)" for i, r in enumerate(rules)]
-    return f"array_compact(array({', '.join(labels)}))"
+def error_reasons(rules: Sequence[Rule]) -> str:
+    """The broken rules' labels of an annotated row as ARRAY<STRING> (empty if clean)."""
+    return f"array_compact(array({_labels(rules)}))"
 
 
 def rule_flags(rules: Sequence[Rule]) -> list[str]:
@@ -168,22 +159,16 @@ def quarantine_columns(
 
     A column is NULL where the row's folder drops it. Rows that break several rules keep all.
     """
-    columns = []
-    if len(rules) > MAX_BITS:
-        for name in kept_columns(rules, multiple)[multiple]:
-            if name in annotated.columns:
-                folders = ", ".join(sorted({_text(r.folder) for r in rules if name in r.keep} | {_text(multiple)}))
-                columns.append(f"if({ERROR_FOLDER} IN ({folders}), {ident(name)}, NULL) AS {ident(name)}")
-        return annotated.selectExpr(SOURCE_FILE, ERROR_REASON, ERROR_FOLDER, *columns)
-    several = f"{FAILED_RULES} & ({FAILED_RULES} - 1) != 0"
-    keeping = f"if({several}, {(1 << len(rules)) - 1}L, {FAILED_RULES}) AS _keeping"
+    words, columns = words_of(rules), []
+    broken = " + ".join(f"bit_count({word})" for word in words)
+    several = f"{broken} > 1" if len(words) > 1 else f"{FAILED_RULES} & ({FAILED_RULES} - 1) != 0"
+    keeping = [f"if({several}, {(1 << len(part)) - 1}L, {word}) AS _keep_{word}" for word, part in words.items()]
     for name in kept_columns(rules, multiple)[multiple]:
         if name in annotated.columns:
-            mask = sum(1 << i for i, rule in enumerate(rules) if name in rule.keep)
-            columns.append(f"if(_keeping & {mask}L != 0, {ident(name)}, NULL) AS {ident(name)}")
-    return annotated.selectExpr("*", keeping).selectExpr(
-        SOURCE_FILE, ERROR_REASON, ERROR_FOLDER, *columns
-    )
+            masks = {word: sum(1 << i for i, rule in enumerate(part) if name in rule.keep) for word, part in words.items()}
+            kept = " OR ".join(f"_keep_{word} & {mask}L != 0" for word, mask in masks.items() if mask)
+            columns.append(f"if({kept}, {ident(name)}, NULL) AS {ident(name)}")
+    return annotated.selectExpr("*", *keeping).selectExpr(SOURCE_FILE, ERROR_REASON, ERROR_FOLDER, *columns)
 
 
 def quarantine_rows(
@@ -227,10 +212,7 @@ def route_counts(
     df: DataFrame, rules: Sequence[Rule], multiple: str = MULTIPLE_ERRORS
 ) -> DataFrame:
     """Rows per folder, clean included; counted per bit pattern before anything is shuffled."""
-    if len(rules) > MAX_BITS:
-        per_folder = annotate(df, rules, multiple).groupBy(ERROR_FOLDER)
-        return per_folder.agg(F.count(F.lit(1)).alias("trips"))
-    per_pattern = df.selectExpr(f"{failed_bits(rules)} AS {FAILED_RULES}").groupBy(FAILED_RULES)
-    counts = per_pattern.agg(F.count(F.lit(1)).alias("n"))
+    words = list(words_of(rules))
+    counts = df.selectExpr(*failed_bits(rules)).groupBy(*words).agg(F.count(F.lit(1)).alias("n"))
     folders = counts.selectExpr(f"{folder_name(rules, multiple)} AS {ERROR_FOLDER}", "n")
     return folders.groupBy(ERROR_FOLDER).agg(F.sum("n").alias("trips"))

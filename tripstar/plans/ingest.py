@@ -134,7 +134,7 @@ def _stage(frame: DataFrame | None, path: str, spark: SparkSession, parts: Seque
         frame = frame.observe(seen, *counts).where(~F.col(HEADER_LINE))
     quoted = f"WHEN {OPEN_QUOTE} THEN '{QUOTED}'" if by_lines else ""
     layer = f"CASE {quoted} WHEN {MALFORMED} THEN '{SURPLUS}' WHEN {FAILED_RULES} = 0 THEN '{CLEAN}' ELSE '{BROKEN}' END"
-    rows = frame.selectExpr("*", f"{failed_bits(trip_rules())} AS {FAILED_RULES}").selectExpr("*", f"{layer} AS {LAYER}")
+    rows = frame.selectExpr("*", *failed_bits(trip_rules())).selectExpr("*", f"{layer} AS {LAYER}")
     rows = rows.drop(MALFORMED, OPEN_QUOTE, HEADER_LINE, FAILED_RULES)
     rows.write.option("compression", "snappy").partitionBy(LAYER, SOURCE_FILE).parquet(path)
     if not by_lines:
