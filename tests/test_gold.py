@@ -180,3 +180,64 @@ def test_fact_rows_are_not_shuffled(spark, stored):
     plan = fact.build_fact(silver, layers.read_gold(spark, layout, "dim_date"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in text and text.count("BroadcastHashJoin") == 4
+
+
+def damage(path):
+    """Overwrite some bytes of the first data page."""
+    data = bytearray(open(path, "rb").read())
+    data[60:84] = bytes(24)
+    open(path, "wb").write(data)
+
+
+def silver_path(layout, month):
+    folder = f"{layout.silver}/source_file=yellow_tripdata_{month}.csv"
+    (name,) = (f for f in os.listdir(folder) if f.endswith(".parquet"))
+    crc = f"{folder}/.{name}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    return f"{folder}/{name}"
+
+
+def test_a_damaged_page_costs_its_file_only(spark, stored):
+    layout, run, _ = stored
+    damage(silver_path(layout, "2019-02"))
+    assert layers.unreadable_files(spark, layout).count() == 0
+    (bad,) = [r.file_path for r in layers.damaged_files(spark, layout).collect()]
+    built = build_gold(spark, layout)
+    assert {r.table: r.records for r in built.where("status = 'success'").collect()}["fact_trips"] == 13
+    assert [(r.reason, r.table) for r in built.where("status = 'left_out'").collect()] == [("unreadable", bad)]
+    lines = run_report(spark, layout, run, built).where("section = 'left_out'").collect()
+    assert [(r.item, r.value) for r in lines] == [(bad, 1.0)]
+    again = build_gold(spark, layout, skip_paths=(bad,))
+    assert {r.table: r.records for r in again.where("status = 'success'").collect()}["fact_trips"] == 13
+
+
+def test_a_build_that_stops_leaves_the_star(spark, stored, monkeypatch):
+    from tripstar.plans import gold as plan
+
+    layout, _, _ = stored
+    before = sorted(layers.read_gold(spark, layout, "fact_trips").collect())
+    write_csv(layout.raw, "yellow_tripdata_2018-01.csv", sample(2, 0, "2018-01-01"))
+    ingest(spark, layout)
+
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(plan, "write_fact", fail)
+    with pytest.raises(RuntimeError):
+        build_gold(spark, layout)
+    assert sorted(layers.read_gold(spark, layout, "fact_trips").collect()) == before
+    assert layers.read_gold(spark, layout, "dim_date").count() == 3
+    monkeypatch.undo()
+    for _ in range(3):
+        build_gold(spark, layout)
+    assert layers.read_gold(spark, layout, "fact_trips").count() == len(before) + 2
+    builds = layers.finished_builds(spark, layout)
+    assert sorted(os.listdir(layout.gold))[-2:] == builds[-2:] and len(builds) == 4
+    assert not set(builds[:-2]) & set(os.listdir(layout.gold))
+
+
+def test_counts_come_from_footers(spark, stored):
+    layout, _, _ = stored
+    for counts in (layers.saved_counts(spark, layout), layers.folder_counts(spark, layout), layers.gold_counts(spark, layout)):
+        assert "PushedAggregation: [COUNT(*)]" in counts._jdf.queryExecution().executedPlan().toString()

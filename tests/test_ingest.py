@@ -266,6 +266,38 @@ def test_quoted_line_breaks_by_default(spark, layout):
     assert notes == {"two\nlines", "a", '5" pipe'}
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_no_record_is_cut(spark, layout, whole):
+    """Both parts of the broken record are as long as the header."""
+    raw_text(layout, "2019-01", f"{HEAD},c1,c2,c3,c4", f'{ROW},1,2,a,b,c,"x\n{ROW},a,b,c,d,e,f"', f"{ROW},a,b,c,d,e,f")
+    raw_text(layout, "2019-02", HEAD, f'{ROW},a,"never closed', f"{ROW},a,b")
+    raw_text(layout, "2019-03", HEAD, "", HEAD, f"{ROW},a,b", " \t ", f"{ROW},a,b")
+    raw_text(layout, "2019-04", HEAD.replace("memo", '"me\nmo"'), f'{ROW},a,"""b"""')
+    raw_text(layout, "2019-05", HEAD, f"{ROW},a,b")
+    found = store(spark, layout, multi_line=whole)
+    assert "ends inside a quoted field" in found.pop("2019-02")
+    # a line that repeats the header is a row like any other, and breaks the rules
+    assert found == {"2019-01": (2, 2), "2019-03": (3, 2), "2019-04": (1, 1), "2019-05": (1, 1)}
+    rows = layers.read_silver(spark, layout, all_columns=True)
+    assert {r.c4 for r in rows.where("c4 IS NOT NULL").collect()} == {f"x\n{ROW},a,b,c,d,e,f", "f"}
+    assert [r["me\nmo"] for r in rows.where("source_file LIKE '%04.csv'").collect()] == ['"b"']
+    assert not os.path.exists(f"{layout.root}/_staging") or os.listdir(f"{layout.root}/_staging") == []
+
+
+def test_heads_are_read_by_tasks(spark, layout):
+    """The first times may come late, one column may have none, and a vanished file costs itself only."""
+    late = [f",,10,1.5,1,a,b"] * 30_000
+    raw_text(layout, "2019-01", HEAD, *late, "2019-01-02T03:04:05,2019-01-02T03:14:05,10,1.5,1,a,b")
+    raw_text(layout, "2019-02", HEAD, *late[:3])
+    raw_text(layout, "2019-03", HEAD, f"{ROW},a,b")
+    units = raw.collect_units(raw.raw_units(spark, layout.raw))
+    os.remove(f"{layout.raw}/yellow_tripdata_2019-03.csv")
+    parts, errors = raw.read_heads(spark, units)
+    assert [dict(p.formats)["tpep_pickup_datetime"] for p in parts] == ["yyyy-M-dTH:m:s", "yyyy-M-d H:m:s"]
+    assert [name for name, _ in errors] == ["yellow_tripdata_2019-03.csv"]
+    assert [r.clean for r in metrics_of(ingest(spark, layout)).values()] == [1, 0]
+
+
 def test_a_changed_file_replaces_its_quarantine(spark, layout):
     name = "yellow_tripdata_2019-01.csv"
     write_csv(layout.raw, name, sample(0, 5))

@@ -85,12 +85,13 @@ def quality_report(
     skipped: DataFrame | None = None,
     saved: DataFrame | None = None,
     gold: DataFrame | None = None,
+    left_out: DataFrame | None = None,
     threshold: float = QUALITY_THRESHOLD,
 ) -> DataFrame:
     """Report as ``(section, item, metric, value)`` lines.
 
     ``skipped(source_file)``: files left out because they are done. ``saved(layer, records)`` and
-    ``gold(table, records)``: row counts of what was written.
+    ``gold(table, records)``: row counts of what was written. ``left_out(file)``: stored files that could not be read.
     """
     totals = quality_alert(run_totals(metrics), threshold)
     run = _lines(
@@ -129,4 +130,7 @@ def quality_report(
     if gold is not None:
         lines = _lines(gold, "gold", "`table`", {"records": "records"})
         report = report.unionByName(lines)
+    if left_out is not None:
+        lines = _lines(left_out, "left_out", "file", {"files": "1"})
+        report = report.unionByName(lines)
     return report

@@ -22,11 +22,14 @@ from tripstar.schemas import (
     MEASURES,
     MULTIPLE_ERRORS,
     PICKUP,
+    FILE_METRICS_SCHEMA,
     REQUIRED_COLUMNS,
+    RUN_ID,
     SOURCE_FILE,
 )
 from tripstar.session import many_small_files, scratch_folder
 from tripstar.sources import layers, raw
+from tripstar.streaming.file_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -537,14 +540,34 @@ def csv_ragged_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics and errors of files with surplus fields, stray quotes and quoted line breaks."""
     layout = _new_layout(spark)
     noted = _times_as_text(_trips(spark, sf)).selectExpr("*", NOTES)
+    _write_lines(noted, layout.raw)
+    return ingest(spark, layout, pattern=MONTHS).metrics
+
+
+def _write_lines(noted: DataFrame, folder: str) -> None:
+    """Lines as they are, one part for each file, because a CSV writer would not write such lines."""
     names = [c for c in noted.columns if c != SOURCE_FILE]
     line = F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names))
     lines = noted.select(SOURCE_FILE, line.alias("value"), F.lit(1).alias("at"))
     heads = noted.select(SOURCE_FILE).distinct().select(SOURCE_FILE, F.lit(",".join(names)).alias("value"), F.lit(0).alias("at"))
-    # as text, one part for each file, because a CSV writer would not write such lines
     dealt = heads.unionByName(lines).repartition(SOURCE_FILE).sortWithinPartitions(SOURCE_FILE, "at")
-    dealt.drop("at").write.partitionBy(SOURCE_FILE).text(layout.raw)
-    return ingest(spark, layout, pattern=MONTHS).metrics
+    dealt.drop("at").write.partitionBy(SOURCE_FILE).text(folder)
+
+
+@query
+def csv_multiline_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver rows of files in which some records are broken inside quotes, both parts as long as the header."""
+    layout = _new_layout(spark)
+    trips = _trips(spark, sf)
+    rest = "y," * (len(trips.columns) - 1) + "y"
+    quoted = '"x, ""y"""'
+    broken = (
+        f"CASE WHEN {FILE_MONTH} IN (4, 8) AND passenger_count = 4 THEN '\"x\n{rest}\"'"
+        f" WHEN {FILE_MONTH} = 9 THEN '{quoted}' ELSE 'x' END AS note"
+    )
+    _write_lines(_times_as_text(trips).selectExpr("*", broken), layout.raw)
+    ingest(spark, layout, pattern=MONTHS)
+    return layers.read_silver(spark, layout, all_columns=True).select(SOURCE_FILE, *[c for c in trips.columns if c != SOURCE_FILE], "note")
 
 
 def _odd_headers(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:
@@ -583,6 +606,95 @@ def csv_reingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     return layers.folder_counts(spark, layout)
 
 
+def _damage(spark: SparkSession, folder: str) -> None:
+    """Overwrite some bytes of the first data page of each Parquet file of a folder."""
+    for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder).collect():
+        content = bytearray(row.content)
+        content[60:84] = bytes(24)
+        path = spark._jvm.org.apache.hadoop.fs.Path(row.path)
+        out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path, True)
+        out.write(content)
+        out.close()
+
+
+@query
+def csv_damaged_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact table where the silver files of the first month have a damaged page: they are left out, nothing else is."""
+    layout, _ = _ingested(spark, sf)
+    first = layers.silver_files(spark, layout).agg(F.min(SOURCE_FILE)).first()[0]
+    _damage(spark, f"{layout.silver}/{SOURCE_FILE}={first}")
+    gold_plan.build_gold(spark, layout)
+    return layers.read_gold(spark, layout, "fact_trips").drop(fact.TRIP_ID)
+
+
+@query
+def csv_stopped_build(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips by date key in the star that readers see, after more files came and the build of their star stopped before its end."""
+    layout = _new_layout(spark)
+    text = _times_as_text(_trips(spark, sf))
+    _write_csv(text.where(f"{FILE_MONTH} <= 6"), layout.raw)
+    ingest(spark, layout, pattern=MONTHS)
+    gold_plan.build_gold(spark, layout)
+    _write_csv(text.where(f"{FILE_MONTH} > 6"), layout.raw, "append")
+    ingest(spark, layout, pattern=MONTHS)
+    gold_plan.write_star(spark, layout)  # all tables are written, but the pointer isn't turned
+    return layers.read_gold(spark, layout, "fact_trips").groupBy("date_key").agg(F.count(F.lit(1)).alias("trips"))
+
+
+@query
+def csv_empty_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a run that finds nothing new, and the files that it skipped."""
+    layout = _new_layout(spark)
+    _write_csv(_times_as_text(_clean(spark, sf)), layout.raw)  # a file without clean rows would be taken again
+    ingest(spark, layout, pattern=MONTHS)
+    run = ingest(spark, layout, pattern=MONTHS)
+    return quality.run_totals(run.metrics).withColumn("skipped", F.lit(run.skipped.count()).cast("bigint"))
+
+
+@query
+def csv_gold_skipped(spark: SparkSession, sf: str) -> DataFrame:
+    """Result of a build without any silver row, and the files that were looked at."""
+    layout = _new_layout(spark)
+    _write_csv(_times_as_text(_trips(spark, sf)).withColumn("trip_distance", F.lit(0.0)), layout.raw)
+    run = ingest(spark, layout, pattern=MONTHS)
+    built = gold_plan.build_gold(spark, layout).first()
+    return run.metrics.select(SOURCE_FILE, "total", "clean", F.lit(built.status).alias("status"), F.lit(built.reason).alias("reason"))
+
+
+def _streamed(spark: SparkSession, layout: layers.Layout, checkpoint: str) -> None:
+    """A stream over the raw files from a checkpoint, run to its end."""
+    ingest_stream(spark, layout, f"{layout.root}/{checkpoint}", pattern=MONTHS, max_files_per_trigger=30).awaitTermination()
+
+
+@query
+def csv_stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of files that a stream took in two goes."""
+    layout = _new_layout(spark)
+    text = _times_as_text(_trips(spark, sf))
+    for k, months in enumerate(("<= 6", "> 6")):
+        _write_csv(text.where(f"{FILE_MONTH} {months}"), layout.raw, "append" if k else "error")
+        _streamed(spark, layout, "checkpoint")
+    return layers.latest_metrics(spark, layout).drop("error", RUN_ID)
+
+
+@query
+def csv_stream_skips(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs in which each file was taken: once, though an old and a fresh checkpoint look at it again.
+
+    A file without clean rows leaves no silver, so the fresh checkpoint takes it again; 0 for rejected files.
+    """
+    layout = _new_layout(spark)
+    text = _times_as_text(_trips(spark, sf))
+    _write_csv(text.where(f"{FILE_MONTH} != 3"), layout.raw)
+    _write_csv(text.where(f"{FILE_MONTH} = 3").drop("fare_amount"), layout.raw, "append")
+    for checkpoint in ("old", "old", "fresh"):
+        _streamed(spark, layout, checkpoint)
+    metrics = spark.read.schema(FILE_METRICS_SCHEMA).parquet(f"{layout.runs}/*/file_metrics")
+    runs = metrics.where("error IS NULL").groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("runs"))
+    rejected = metrics.where("error IS NOT NULL").select(SOURCE_FILE).distinct().withColumn("runs", F.lit(0).cast("bigint"))
+    return runs.unionByName(rejected)
+
+
 @query
 def rules_many(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines per folder under eighty rules."""

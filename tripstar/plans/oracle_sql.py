@@ -469,6 +469,28 @@ def all_sql() -> dict[str, str]:
 
     surplus = f"{month} = '05' AND coalesce(passenger_count = 3, false)"
     sql["csv_ragged_metrics"] = with_errors("'Error tokenizing data: a line has more fields than the header'", surplus)
+    rest = "y," * 9 + "y"
+    note = f"""CASE WHEN {month} IN ('04', '08') AND coalesce(passenger_count = 4, false) THEN 'x' || chr(10) || '{rest}'
+        WHEN {month} = '09' THEN 'x, "y"' ELSE 'x' END AS note"""
+    sql["csv_multiline_silver"] = _with(_CHECKED, f"SELECT {_SILVER_CAST}, {note} FROM silver")
+    later = "source_file > (SELECT min(source_file) FROM silver)"
+    sql["csv_damaged_silver"] = _with(_CHECKED, f"SELECT {_FACT_COLUMNS} FROM {_fact(f'(SELECT * FROM silver WHERE {later})')}")
+    sql["csv_stopped_build"] = _with(
+        _CHECKED, f"SELECT date_key, count(*) AS trips FROM {_fact(f'(SELECT * FROM silver WHERE {month} <= {chr(39)}06{chr(39)})')} GROUP BY 1"
+    )
+    zeros = ", ".join(f"0::BIGINT AS {c}" for c in ("files_processed", "total_records", "clean_records", "quarantine_records"))
+    sql["csv_empty_run"] = _with(
+        _CHECKED,
+        f"SELECT {zeros}, 0.0::DOUBLE AS clean_percentage, 0.0::DOUBLE AS quarantine_percentage, count(DISTINCT source_file) AS skipped FROM silver",
+    )
+    sql["csv_gold_skipped"] = _with(
+        _CHECKED,
+        "SELECT source_file, count(*) AS total, 0::BIGINT AS clean, 'skipped' AS status, 'silver_empty' AS reason FROM checked GROUP BY 1",
+    )
+    sql["csv_stream_metrics"] = sql["file_metrics"]
+    sql["csv_stream_skips"] = _with(
+        _CHECKED, f"SELECT source_file, CASE WHEN {month} = '03' THEN 0 WHEN bool_or(error_folder = 'clean') THEN 1 ELSE 2 END::BIGINT AS runs FROM checked GROUP BY 1"
+    )
     sql["csv_bad_headers"] = with_errors("'Missing columns: [''fare_amount'']'", f"{month} = '02'")
     other_case = "CASE WHEN month(o_orderdate) = 3 AND NOT (l_suppkey % 13 = 0 AND l_partkey % 5 = 0) THEN NULL ELSE l_linenumber % 4 END AS VendorID"
     march = sql["fact_trips"].replace("l_linenumber % 4 AS VendorID", other_case)

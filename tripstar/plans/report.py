@@ -20,4 +20,5 @@ def run_report(
         .agg(F.sum("records").alias("records"))
     )
     built = None if gold is None else gold.where(F.col("status") == "success")
-    return quality_report(run.metrics, run.skipped, saved, built)
+    bad = None if gold is None else gold.where(F.col("status") == "left_out").select(F.col("table").alias("file"))
+    return quality_report(run.metrics, run.skipped, saved, built, bad)
