@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,8 +38,18 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python tasks find this package where the driver found it; a cluster may have it installed elsewhere."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def session_with(spark: SparkSession, values: dict[str, str]) -> SparkSession:
     """A session of the same application with the settings of ``spark`` and these on top; ``spark`` keeps its own."""
+    let_workers_import(spark)
     child = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):

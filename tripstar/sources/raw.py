@@ -6,6 +6,7 @@ A raw unit is a file ``yellow_tripdata*.csv`` or a directory of that name holdin
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -37,14 +38,15 @@ from tripstar.schemas import (
     SOURCE_FILE,
 )
 from tripstar.session import session_with
-from tripstar.sources.records import COMPLETE_QUOTED, PATH, VALUE, is_blank, opens, read_records, text_lines
+from tripstar.sources.records import COMPLETE_QUOTED, PATH, VALUE, ends_open, is_blank, opens, read_records, runs, text_lines
 
 UNIT_PATH = "unit_path"
 NAME_START = "name_start"
 _CORRUPT = "_corrupt_line"
 _PARSED = "_parsed"
 _BOM = "\ufeff"
-_ONE_TASK_A_FILE = str(1 << 40)
+_ONE_TASK_A_FILE = 1 << 40
+_SMALL_FILE = 16 << 20
 
 # Same quoting as the pandas reader: a doubled quote is a literal quote, no escape character.
 _CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": _CORRUPT}
@@ -142,56 +144,89 @@ _TIMES = (PICKUP, DROPOFF)
 _HEAD = f"{PATH} string, header array<string>, lines array<string>, first array<string>"
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Header and first times of the one file that a task holds; reads no further than the first row that has both."""
-    seen: list[str] = []
-    path = None
+class _Head:
+    """Takes the lines of one file until the header and both first times are known."""
+
+    def __init__(self, path: str):
+        self.path, self.lines, self.header, self.done = path, [], [], False
+        self._pending = ""
+        self._first: dict[str, str] = {}
+
+    def take(self, line: str) -> None:
+        self._pending = f"{self._pending}\n{line}" if self._pending else line
+        if not self.header and line.strip(" \t"):
+            self.lines.append(line)
+        if ends_open(self._pending):
+            return
+        row, self._pending = next(csv.reader(io.StringIO(self._pending, newline="")), []), ""
+        if not self.header:
+            self.header = [name.removeprefix(_BOM) for name in row]
+            self._wanted = {name: self.header.index(name) for name in _TIMES if name in self.header}
+        else:
+            for name, at in self._wanted.items():
+                if name not in self._first and at < len(row) and row[at] not in NA_TOKENS:
+                    self._first[name] = row[at]
+        self.done = bool(self.header) and len(self._first) == len(self._wanted)
+
+    def row(self) -> tuple:
+        return self.path, self.header, self.lines, [self._first.get(name) for name in _TIMES]
+
 
-    def lines() -> Iterator[str]:
-        nonlocal path
+def _head_reader(one_file: bool):
+    """A task's heads. One that holds a single file reads no further than it must; its worker process ends with it."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads: list[_Head] = []
         for batch in batches:
-            for at in range(batch.num_rows):
-                path = batch.column(PATH)[at].as_py()
-                seen.append(batch.column(VALUE)[at].as_py())
-                yield seen[-1] + "\n"
-
-    rows = csv.reader(lines())
-    header = next((row for row in rows if row), [])
-    if not header:
-        return
-    head_lines = list(seen)
-    header = [name.removeprefix(_BOM) for name in header]
-    wanted = {name: header.index(name) for name in _TIMES if name in header}
-    first: dict[str, str] = {}
-    for row in rows:
-        seen.clear()
-        for name, at in wanted.items():
-            if name not in first and at < len(row) and row[at] not in NA_TOKENS:
-                first[name] = row[at]
-        if len(first) == len(wanted):
-            break
-    values = [first.get(name) for name in _TIMES]
-    text = pa.list_(pa.string())
-    columns = [pa.array([path]), pa.array([header], text), pa.array([head_lines], text), pa.array([values], text)]
-    yield pa.RecordBatch.from_arrays(columns, names=[PATH, "header", "lines", "first"])
+            for (path, _), run in runs(batch):
+                if not heads or heads[-1].path != path:
+                    heads.append(_Head(path))
+                head = heads[-1]
+                values = run.column(VALUE)
+                for at in range(len(values)):
+                    if head.done:
+                        break
+                    head.take(values[at].as_py())
+            if one_file and heads and heads[-1].done:
+                break
+        text = pa.list_(pa.string())
+        rows = [head.row() for head in heads if head.header]
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), text, text, text), strict=True)], names=[PATH, "header", "lines", "first"])
+
+    return read
+
+
+def _lines_of_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """Heads of all files: small ones many to a task, large ones each in a task of its own, whole, so that it can stop early."""
+    sizes = path_exists_or_none(lambda *p: spark.read.format("binaryFile").load(list(p)), *paths)
+    if sizes is None:
+        return None
+    files = sizes.select(F.col("_metadata.file_path").alias(PATH), (F.col("length") > _SMALL_FILE).alias("large")).where("length > 0").collect()
+    tolerant = {"spark.sql.files.ignoreCorruptFiles": "true", "spark.sql.files.ignoreMissingFiles": "true"}
+    frames = []
+    for large, split, cost in ((False, _SMALL_FILE * 4, _SMALL_FILE // 64), (True, _ONE_TASK_A_FILE, _ONE_TASK_A_FILE)):
+        mine = [unquote(row[PATH]) for row in files if row.large == large]
+        if mine:
+            session = session_with(spark, {**tolerant, "spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": str(cost)})
+            frames.append(text_lines(session, mine).mapInArrow(_head_reader(large), _HEAD))
+    return _united(frames) if frames else spark.createDataFrame([], _HEAD)
 
 
 def read_heads(spark: SparkSession, units: Sequence[RawUnit]) -> tuple[list[RawPart], list[tuple[str, str]]]:
-    """Heads of all files, each opened by a task that stops after its first rows; unreadable units become errors.
+    """Heads of all files, read by tasks; unreadable units become errors.
 
     The driver sees one row for each file and opens none.
     """
     if not units:
         return [], []
-    whole_files = {"spark.sql.files.maxPartitionBytes": _ONE_TASK_A_FILE, "spark.sql.files.openCostInBytes": _ONE_TASK_A_FILE, "spark.sql.files.ignoreCorruptFiles": "true", "spark.sql.files.ignoreMissingFiles": "true"}
-    session = session_with(spark, whole_files)
-    lines = path_exists_or_none(lambda *paths: text_lines(session, paths), *[u.path for u in units])
-    if lines is None:  # a file went away since it was listed
-        there = [u for u in units if path_exists_or_none(session.read.text, u.path) is not None]
+    heads = _lines_of_heads(spark, [u.path for u in units])
+    if heads is None:  # a file went away since it was listed
+        there = [u for u in units if path_exists_or_none(spark.read.text, u.path) is not None]
         gone = [(u.source_file, f"Path does not exist: {u.path}") for u in units if u not in there]
         parts, errors = read_heads(spark, there)
         return parts, errors + gone
-    rows = lines.select(PATH, VALUE).mapInArrow(_heads, _HEAD).collect()
+    rows = heads.collect()
     by_path = {unit.path: unit for unit in units}
     parts: dict[RawUnit, list[RawPart]] = {unit: [] for unit in units}
     for row in sorted(rows, key=lambda r: r[PATH]):
@@ -200,7 +235,7 @@ def read_heads(spark: SparkSession, units: Sequence[RawUnit]) -> tuple[list[RawP
         if unit is None:
             raise ValueError(f"a file that was not asked for: {row[PATH]}")
         times = tuple((name, time_format(value)) for name, value in zip(_TIMES, row.first, strict=True) if name in row.header)
-        line = row.lines[-1] if len(row.header) and len([x for x in row.lines if x.strip(" \t")]) == 1 else None
+        line = row.lines[0] if len(row.lines) == 1 else None
         parts[unit].append(RawPart(unit, unquote(row[PATH]) if unit.name_start else unit.path, tuple(row.header), times, line))
     good, errors = [], []
     for unit, found in parts.items():

@@ -9,6 +9,7 @@ pieces that cross splits (two for each split at most) to a small shuffle. No fil
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 _QUOTED = r'"(?:[^"]++|"")*+'
 _FIELD = rf'(?:{_QUOTED}"[^,]*+|[^",][^,]*+|)'
 _OPEN_LINE = rf"^(?:{_FIELD},)*+{_QUOTED}$"
+_OPEN_TEXT = re.compile(_OPEN_LINE[:-1] + r"\Z")
 COMPLETE_QUOTED = rf'(^|,){_QUOTED}"'
 
 PATH, BLOCK, VALUE = "_path", "_block", "value"
@@ -33,6 +35,11 @@ def opens(line: str) -> str:
     return f"(contains({line}, '\"') AND {line} RLIKE r'{_OPEN_LINE}')"
 
 
+def ends_open(text: str) -> bool:
+    """Whether text that begins outside quotes ends inside them."""
+    return '"' in text and _OPEN_TEXT.match(text) is not None
+
+
 def is_blank(line: str) -> str:
     """SQL: a line that readers skip."""
     return f"length(trim(BOTH ' \\t' FROM {line})) = 0"
@@ -63,7 +70,7 @@ def _flags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("outside", "inside"))
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
     """Consecutive lines of one split."""
     if not batch.num_rows:
         return
@@ -80,7 +87,7 @@ def split_ends(lines: DataFrame) -> DataFrame:
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, int], tuple[bool, bool]] = {}
         for batch in batches:
-            for split, run in _runs(batch):
+            for split, run in runs(batch):
                 now = found.get(split, (False, True))
                 found[split] = tuple(bool(ends_inside(*_flags(run), begins)[-1]) for begins in now)
         rows = [(*split, *ends) for split, ends in found.items()]
@@ -125,7 +132,7 @@ def split_records(lines: DataFrame, inside_splits: set[tuple[str, int]]) -> Data
                 pending.clear()
 
         for batch in batches:
-            for split, run in _runs(batch):
+            for split, run in runs(batch):
                 if split != now:
                     close(False)
                     now, first = split, split[1] == 0
