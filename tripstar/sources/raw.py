@@ -205,7 +205,8 @@ def _lines_of_heads(spark: SparkSession, paths: Sequence[str]) -> DataFrame | No
     files = sizes.select(F.col("_metadata.file_path").alias(PATH), (F.col("length") > _SMALL_FILE).alias("large")).where("length > 0").collect()
     tolerant = {"spark.sql.files.ignoreCorruptFiles": "true", "spark.sql.files.ignoreMissingFiles": "true"}
     frames = []
-    for large, split, cost in ((False, _SMALL_FILE * 4, _SMALL_FILE // 64), (True, _ONE_TASK_A_FILE, _ONE_TASK_A_FILE)):
+    # a file no longer than the cost of opening one is never split
+    for large, split, cost in ((False, _SMALL_FILE * 64, _SMALL_FILE), (True, _ONE_TASK_A_FILE, _ONE_TASK_A_FILE)):
         mine = [unquote(row[PATH]) for row in files if row.large == large]
         if mine:
             session = session_with(spark, {**tolerant, "spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": str(cost)})
