@@ -144,6 +144,13 @@ class Phrases:
                 yield int(length), self.terms[self.starts[some][:, None] + np.arange(length)], self.items[some]
 
 
+def covered(spans: np.ndarray, documents: int) -> np.ndarray:
+    """Words of each document in any of the spans (document, start, end); memory follows the spans, not the places."""
+    doc, start, end = spans[np.argsort(spans[:, 1], kind="stable")].T
+    before = np.concatenate(([0], np.maximum.accumulate(end)[:-1])) if len(end) else end
+    return np.bincount(doc, np.maximum(0, end - np.maximum(start, before)), documents).astype(np.int64)
+
+
 def phrase_matches(index: DataFrame, phrases: Phrases, slack: int = 0) -> DataFrame:
     """For each document of the index: words, hit words and the items with windows in it.
 
@@ -158,21 +165,19 @@ def phrase_matches(index: DataFrame, phrases: Phrases, slack: int = 0) -> DataFr
                 n_words, terms, counts = (x.to_numpy(zero_copy_only=False) for x in arrays)
                 positions = np.frombuffer(batch.column(4)[r].as_py(), np.int64)
                 first = np.concatenate(([0], np.cumsum(n_words + GAP)))
-                change = np.zeros(first[-1] + 1, np.int32)
+                spans = [np.zeros((0, 3), np.int64)]
                 pairs = [np.zeros((0, 2), np.int64)]
                 for length, rows, items in shared.value.windows():
                     phrase, start = search_shard(terms, counts, positions, rows, slack)
                     doc = np.searchsorted(first, start, "right") - 1
-                    np.add.at(change, np.maximum(start, first[doc]), 1)
-                    np.add.at(change, np.minimum(start + length, first[doc] + n_words[doc]), -1)
+                    spans.append(np.stack([doc, np.maximum(start, first[doc]), np.minimum(start + length, first[doc] + n_words[doc])], 1))
                     pairs.append(np.stack([doc, items[phrase]], 1))
                 pairs = np.unique(np.concatenate(pairs), axis=0)
-                hit = np.concatenate(([0], np.cumsum(np.cumsum(change) > 0)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
                         pa.array(n_words),
-                        pa.array(hit[first[:-1] + n_words] - hit[first[:-1]]),
+                        pa.array(covered(np.concatenate(spans), len(n_words))),
                         list_array(pairs[:, 1], np.bincount(pairs[:, 0], minlength=len(n_words)), pa.int64()),
                     ],
                     names=["doc_id", "n_words", "n_hit", "items"],
