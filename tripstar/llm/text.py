@@ -6,6 +6,7 @@ Everything here runs within one Spark task on one block of whole rows. A block h
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
+_POWERS_STEP = 18
 
 U64 = np.uint64
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
 _BASE = 0x9E3779B97F4A7C15 | 1  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -58,10 +61,12 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            up, down = np.full(size, _BASE, U64), np.full(size, _INVERSE, U64)
-            up[0] = down[0] = 1
-            self.up, self.down = np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)
+            size = -(-n >> _POWERS_STEP) << _POWERS_STEP  # no doubling, as workers keep the tables
+            for name, base in (("up", _BASE), ("down", _INVERSE)):
+                table = np.full(size, base, U64)
+                table[0] = 1
+                np.cumprod(table, out=table)
+                setattr(self, name, table)
         return self.up, self.down
 
 
@@ -115,6 +120,13 @@ class Block:
         return PrefixHash(self.data, VALUES[fold]).of(starts, ends), first
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, as worker processes live on from one job to the next."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def blocks(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Block]]:
     """Slices of a batch with their texts."""
     column = batch.column(text)
@@ -127,6 +139,7 @@ def blocks(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES)
         part = batch.slice(at, end - at)
         yield part, Block(part.column(text))
         at = end
+    give_back()
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
