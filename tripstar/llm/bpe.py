@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 from tokenizers import Tokenizer
 
-from tripstar.llm.text import IDENTITY, NOT_SPACE, VALUES, Block, PrefixHash, ranges
+from tripstar.llm.text import NOT_SPACE, Block, ranges, span_hashes
 
 CACHE = 1 << 20  # stretches remembered by a worker, in about 20 bytes each
 ENCODED_AT_ONCE = 1 << 12  # the tokenizer's own results are large
@@ -76,7 +76,7 @@ class Encoder:
         text = np.searchsorted(block.starts, starts, "right") - 1
         ends = np.append(starts[1:], len(data))
         ends = np.minimum(ends, block.ends[text])
-        hashes = PrefixHash(data, VALUES[IDENTITY]).of(starts, ends)
+        hashes = span_hashes(data, starts, ends)
         own, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self._keys) > CACHE:
             self._forget()

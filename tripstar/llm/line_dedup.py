@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripstar.llm.tables import stored
-from tripstar.llm.text import LOWER, NOT_SPACE, U64, VALUES, Block, PrefixHash, blocks, mix64
+from tripstar.llm.text import LOWER, NOT_SPACE, U64, Block, blocks, mix64, span_hashes
 
 MIN_CODE_POINTS = 10
 SEGMENT_LINES = 1 << 20
@@ -51,7 +51,7 @@ class Lines:
         self.key_ends = np.maximum(np.where(self.ends > self.starts, last[at_end] + 1, self.starts), self.key_starts)
         points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
         self.lengths = points[self.key_ends] - points[self.key_starts]
-        self.hashes = PrefixHash(data, VALUES[LOWER]).of(self.key_starts, self.key_ends)
+        self.hashes = span_hashes(data, self.key_starts, self.key_ends, LOWER)
         self.docs = np.repeat(np.arange(block.size), self.counts)
 
 
