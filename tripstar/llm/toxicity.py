@@ -1,13 +1,14 @@
 """Toxicity from a weighted lexicon, matched by Aho-Corasick on folded text.
 
 Folding: lower case, compatibility forms and homoglyphs to plain letters, digits and signs inside words to
-the letters they stand for, everything else to one blank between words. A lexicon term is a whole word or
+the letters they stand for, marks and invisible format characters to nothing, everything else to one blank
+between words. A lexicon term is a whole word or
 the beginning of words; its weight is the log odds of the term between toxic and other training
 documents. A word counts with its heaviest term, unless an exception phrase covers it. The evidence of a
 document, as it is and by its length, goes through a logistic function fitted on the same training rows.
 
-Training uses at most FIT_ROWS labelled rows, taken in the order of a hash of doc_id. Their terms are
-counted in Spark; the candidates (CANDIDATES) and the lexicon taken from them have fixed bounds.
+Training uses at most FIT_ROWS labelled rows, taken in the order of a hash of doc_id. All their terms are
+counted and weighed in Spark; every term with enough evidence enters the lexicon.
 
 Defined cases: NULL or empty text has no evidence and gets the score of that; a document with several
 labels is toxic if one says so; NULL labels and labels without document are left out; without both
@@ -19,19 +20,20 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tripstar.llm.tables import stored
 
 FIT_ROWS = 200_000
-CANDIDATES = 1 << 16
 PREFIXES = range(4, 11)
 LEAST_EVIDENCE = 14.0  # log-likelihood ratio that a term needs to enter the lexicon
 THRESHOLD = 0.7
@@ -59,7 +61,8 @@ class _Folding(dict):
     """Translation of one character; worked out when first met."""
 
     def __missing__(self, code: int) -> str:
-        char = unicodedata.normalize("NFKC", chr(code)).lower()
+        parts = unicodedata.normalize("NFKD", chr(code)).lower()
+        char = unicodedata.normalize("NFKC", "".join(c for c in parts if unicodedata.category(c) not in ("Cf", "Mn", "Me")))
         char = "".join(SUBSTITUTES.get(c, HOMOGLYPHS.get(c, c)) for c in char)
         self[code] = out = "".join(c if c.isalnum() else " " for c in char)
         return out
@@ -110,9 +113,11 @@ class Matcher:
                     excepted.append((at, end))
                 elif weight > best.get(at, 0.0):
                     best[at] = weight
-        for a, b in excepted:
-            for at in [k for k in best if a <= k < b]:
-                del best[at]
+        if excepted:
+            excepted.sort()
+            starts = [a for a, _ in excepted]
+            reach = list(accumulate((b for _, b in excepted), max))
+            best = {at: weight for at, weight in best.items() if not (k := bisect_right(starts, at)) or reach[k - 1] <= at}
         return best
 
     def features(self, folded: str) -> tuple[float, ...]:
@@ -124,6 +129,7 @@ class Matcher:
 @dataclass
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
+    exceptions: tuple[str, ...] = EXCEPTIONS
     centre: np.ndarray = field(default_factory=lambda: np.zeros(5))
     scale: np.ndarray = field(default_factory=lambda: np.ones(5))
     slopes: np.ndarray = field(default_factory=lambda: np.zeros(6))
@@ -147,32 +153,46 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 40)
     return b
 
 
-def _evidence(a: float, n: float, b: float, m: float) -> float:
+def _evidence(a: Column, n: int, b: Column, m: int) -> Column:
     """Log-likelihood ratio of a of n against b of m."""
     share = (a + b) / (n + m)
     parts = [(a, n * share), (b, m * share), (n - a, n * (1 - share)), (m - b, m * (1 - share))]
-    return 2 * sum(k * math.log(k / e) for k, e in parts if k > 0)
+    terms = [F.when(k > 0, k * F.log(k / F.greatest(e, F.lit(1e-300)))).otherwise(0.0) for k, e in parts]
+    return 2 * (terms[0] + terms[1] + terms[2] + terms[3])
 
 
-def _term_counts(train: DataFrame, candidates: set[str] | None) -> DataFrame:
-    shared = train.sparkSession.sparkContext.broadcast(candidates)
+def _term_counts(train: DataFrame) -> DataFrame:
+    """term, a, b: toxic and other documents that hold the term."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
+        counts = Counter(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            terms = list(counts[0].keys() | counts[1].keys())
+            columns = [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in (counts[1], counts[0]))]
+            for c in counts:
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["term", "a", "b"])
+
         for batch in batches:
-            for folded in batch.column("folded").to_pylist():
-                found = terms_of(folded)
-                counts.update(found if shared.value is None else found & shared.value)
-            if len(counts) > 1 << 18:
-                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
-                counts = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
+            for toxic, folded in zip(batch.column("toxic").to_pylist(), batch.column("folded").to_pylist(), strict=True):
+                counts[toxic > 0].update(terms_of(folded))
+                if len(counts[0]) + len(counts[1]) > 1 << 18:
+                    yield flush()
+        yield flush()
+
+    return train.select("toxic", "folded").mapInArrow(count, "term string, a bigint, b bigint").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
-    return train.select("folded").mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
+def weighed_terms(train: DataFrame, n: int, m: int) -> DataFrame:
+    """term, weight, evidence of all terms, from n toxic and m other folded documents."""
+    a, b = F.col("a"), F.col("b")
+    weight = F.log((a + 0.5) / (n - a + 0.5)) - F.log((b + 0.5) / (m - b + 0.5))
+    return _term_counts(train).where("a > 2").select("term", weight.alias("weight"), _evidence(a, n, b, m).alias("evidence"))
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic") -> Model:
-    """Lexicon and logistic function from labelled documents."""
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
+    """Lexicon and logistic function from labelled documents; words within exception phrases never count."""
     chosen = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(toxic).cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -187,21 +207,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, text: str = "t
     n, m = sizes.get(1, 0), sizes.get(0, 0)
     if not n or not m:
         return Model()
-    known = _term_counts(train.where("toxic = 1"), None).where("n > 2").orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()
-    other = {r.term: r.n for r in _term_counts(train.where("toxic = 0"), {r.term for r in known}).collect()}
     weights = {f" {fold(w).strip()} ": SEED_WEIGHT for w in SEEDS}
-    for r in known:
-        a, b = r.n, other.get(r.term, 0)
-        weight = math.log((a + 0.5) / (n - a + 0.5)) - math.log((b + 0.5) / (m - b + 0.5))
-        if weight > 1 and _evidence(a, n, b, m) >= LEAST_EVIDENCE:
-            weights[r.term] = max(weight, weights.get(r.term, 0.0))
-        elif weight <= 0:
+    wanted = F.col("term").isin(*weights) | ((F.col("weight") > 1) & (F.col("evidence") >= LEAST_EVIDENCE))
+    # the lexicon: the few terms that at most ``rows`` documents give that much evidence for
+    for r in weighed_terms(train, n, m).where(wanted).collect():
+        if r.weight > 1 and r.evidence >= LEAST_EVIDENCE:
+            weights[r.term] = max(r.weight, weights.get(r.term, 0.0))
+        elif r.weight <= 0:
             weights.pop(r.term, None)
-    model = Model(weights)
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    model = Model(weights, tuple(fold(e).strip() for e in exceptions))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value)
+        matcher = Matcher(shared.value.weights, shared.value.exceptions)
         for batch in batches:
             rows = [matcher.features(t) for t in batch.column("folded").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"])
@@ -218,7 +236,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value.weights)
+        matcher = Matcher(shared.value.weights, shared.value.exceptions)
         for batch in batches:
             rows = [matcher.features(fold(t)) for t in batch.column(text).to_pylist()]
             scores = shared.value.scores(np.array(rows).reshape(-1, 5))
