@@ -12,7 +12,9 @@ columns are not read. Work is linear in the text, also for long runs of digits o
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -128,7 +130,9 @@ def find(text: str | None) -> list[Span]:
         if score >= LEAST_SCORE:
             found.append(Span(start, end, kind, score))
     base = [s for s in found if s.kind in BASE]
-    added = [s for s in found if s.kind not in BASE and not any(s.start < b.end and b.start < s.end for b in base)]
+    base.sort()
+    starts, reach = [b.start for b in base], list(accumulate((b.end for b in base), max))
+    added = [s for s in found if s.kind not in BASE and not ((k := bisect_left(starts, s.end)) and s.start < reach[k - 1])]
     return sorted(base + added, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 
