@@ -1,6 +1,7 @@
 """Toxicity, decontamination, line dedup, personal data, token counts."""
 
 import random
+import re
 from fractions import Fraction
 
 import brute
@@ -162,7 +163,7 @@ def test_rollup(spark, frame):
     rollup.commit("two", token_counts.revised(old.where("doc_id = 1"), new))
     assert [(r.n_docs, r.n_tokens) for r in rollup.totals().collect()] == [(3, 3)]
     # rows of an attempt that was never recorded
-    token_counts.inserted(old).write.parquet(f"{rollup.folder}/deltas/batch=three/attempt=lost")
+    token_counts.inserted(old).write.parquet(rollup._delta("three", "lost"))
     again = token_counts.Rollup(spark, rollup.folder)
     again.commit("four", token_counts.deleted(old.where("doc_id > 1")))
     assert [(r.n_docs, r.n_tokens) for r in again.totals().collect()] == [(1, 2)]
@@ -171,6 +172,40 @@ def test_rollup(spark, frame):
     assert again.totals().count() == 0
 
 
+def test_rollup_batch_names_and_compaction(spark, frame, monkeypatch):
+    monkeypatch.setattr(token_counts, "COMPACT_AFTER", 3)
+    rollup = token_counts.Rollup(spark)
+    counts = token_counts.inserted(token_counts.counted(frame([(1, "a b c")]), ["words-1"])).cache()
+    names = ["a/b", "x=1 y:z%", "", "..", "none", "ü" * 300, "a"]
+    for k, name in enumerate(names):
+        assert rollup.commit(name, counts)
+        assert [(r.n_docs, r.n_tokens) for r in rollup.totals().collect()] == [(k + 1, 3 * k + 3)]
+    assert rollup._generation() == 2 and len(rollup._later(2)) == 1
+    # held batches stay recorded, and a generation that broke off before its list doesn't count
+    counts.write.parquet(f"{rollup.folder}/totals/3")
+    again = token_counts.Rollup(spark, rollup.folder)
+    assert not any(again.commit(name, counts) for name in names)
+    assert [(r.n_docs, r.n_tokens) for r in again.totals().collect()] == [(7, 21)]
+    again.compact()
+    again.compact()
+    assert again._generation() == 3 and again._later(3) == []
+    assert [(r.n_docs, r.n_tokens) for r in again.totals().collect()] == [(7, 21)]
+
+
+def test_corpus_history_odd(spark, frame, odd_rows):
+    rollup = token_counts.Rollup(spark)
+    got = token_counts.corpus_history(frame(odd_rows), "long", ["words-1"], rollup).collect()
+    seen, docs, tokens = {}, 0, 0
+    for i, t in odd_rows:
+        if t is not None and i is not None:
+            seen[t] = min(seen.get(t, i), i)
+    for i, t in odd_rows:
+        if t is None or i is None or seen[t] >= i:
+            docs, tokens = docs + 1, tokens + len(re.findall(r"[^\x20\x09-\x0D]+", (t or "").replace("long", "")))
+    assert [(r.n_docs, r.n_tokens) for r in got] == [(docs, tokens)]
+    assert token_counts.corpus_history(frame([]), "long", ["words-1"], token_counts.Rollup(spark)).count() == 0
+
+
 def test_token_counters(frame, odd_rows):
     from tokenizers import Tokenizer
 

@@ -2,8 +2,9 @@
 
 A batch is a table of signed counts: inserted documents with plus, deleted ones with minus, revised ones
 with minus for the old count and plus for the new one. A commit adds up the batch by source, language and
-tokenizer version, writes these few rows, and then records the batch. Totals are the sums over recorded
-batches, so history is never counted again.
+tokenizer version, writes these few rows, and then records the batch. After COMPACT_AFTER batches the totals
+are stored as a new generation, which lists the batches it holds; totals are the newest generation plus the
+batches recorded since, so history is never counted again.
 
 A batch counts once: a batch that is recorded is not written again, and rows of an attempt that broke
 off before its record are never read. Commits of one rollup come from one writer at a time.
@@ -17,10 +18,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tripstar.llm.bpe import default_tokenizer, encoder
 from tripstar.llm.tables import stored
@@ -30,6 +32,8 @@ from tripstar.session import scratch_folder
 GROUP = ["source", "lang", "tokenizer"]
 DELTAS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 RECORDS = "batch string, attempt string"
+HELD = "generation int, batch string"
+COMPACT_AFTER = 64
 
 
 def _words(word_bytes: np.ndarray, fold: np.ndarray | None = None) -> Callable[[Block], np.ndarray]:
@@ -73,13 +77,17 @@ def revised(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Totals below one folder. Opening a folder that holds none yet begins an empty one."""
+    """Totals below one folder. Opening a folder that holds none yet begins an empty one.
+
+    Batches may have any name; their folders are named by its hash.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark, self.folder = spark, folder or scratch_folder(spark)
-        # empty tables, so that both can always be read
-        self._empty(DELTAS, "deltas/batch=none/attempt=none")
+        # empty tables, so that all can always be read
         self._empty(RECORDS, "records/none")
+        self._empty(DELTAS, "totals/0")
+        self._empty(HELD, "held/0")
 
     def _empty(self, schema: str, place: str) -> None:
         self.spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(f"{self.folder}/{place}")
@@ -88,24 +96,54 @@ class Rollup:
         """batch, attempt: one row for each recorded batch."""
         return self.spark.read.schema(RECORDS).parquet(f"{self.folder}/records/*")
 
+    def _delta(self, batch: str, attempt: str) -> str:
+        return f"{self.folder}/deltas/{sha256(batch.encode()).hexdigest()}/{attempt}"
+
+    def _held(self) -> DataFrame:
+        """generation, batch: what each finished generation of totals holds."""
+        return self.spark.read.schema(HELD).parquet(f"{self.folder}/held/*")
+
+    def _generation(self) -> int:
+        return self._held().agg(F.coalesce(F.max("generation"), F.lit(0))).first()[0]
+
+    def _later(self, generation: int) -> list[Row]:
+        """Records of the batches that the generation lacks: about COMPACT_AFTER."""
+        return self.records().join(self._held().where(F.col("generation") == generation), "batch", "left_anti").collect()
+
+    def _sums(self, generation: int, later: list[Row]) -> DataFrame:
+        paths = [f"{self.folder}/totals/{generation}", *(self._delta(r.batch, r.attempt) for r in later)]
+        sums = self.spark.read.schema(DELTAS).parquet(*paths).groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        return sums.where("n_docs <> 0 OR n_tokens <> 0")
+
     def commit(self, batch: str, deltas: DataFrame) -> bool:
         """Add a batch; False if it is recorded already."""
         if not self.records().where(F.col("batch") == batch).isEmpty():
             return False
         attempt = uuid.uuid4().hex
         sums = deltas.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        sums.write.mode("error").parquet(f"{self.folder}/deltas/batch={batch}/attempt={attempt}")
+        sums.write.mode("error").parquet(self._delta(batch, attempt))
         record = self.spark.createDataFrame([(batch, attempt)], RECORDS).coalesce(1)
-        record.write.mode("error").parquet(f"{self.folder}/records/{batch}")  # a second record of the batch fails
+        # a second record of the batch fails
+        record.write.mode("error").parquet(f"{self.folder}/records/{sha256(batch.encode()).hexdigest()}")
+        if len(self._later(self._generation())) >= COMPACT_AFTER:
+            self.compact()
         return True
 
+    def compact(self) -> None:
+        """Store the totals as the next generation. It counts once its list of batches is written, last."""
+        now = self._generation()
+        later = self._later(now)
+        if not later:
+            return
+        self._sums(now, later).write.mode("overwrite").parquet(f"{self.folder}/totals/{now + 1}")
+        old = self._held().where(F.col("generation") == now).select("batch")
+        held = old.unionByName(self.spark.createDataFrame([(r.batch,) for r in later], "batch string"))
+        held.select(F.lit(now + 1).alias("generation"), "batch").write.mode("overwrite").parquet(f"{self.folder}/held/{now + 1}")
+
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; groups without documents are gone."""
-        schema = f"{DELTAS}, batch string, attempt string"
-        deltas = self.spark.read.option("basePath", f"{self.folder}/deltas").schema(schema).parquet(f"{self.folder}/deltas")
-        valid = deltas.join(self.records(), ["batch", "attempt"], "left_semi")
-        sums = valid.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return sums.where("n_docs <> 0 OR n_tokens <> 0")
+        now = self._generation()
+        return self._sums(now, self._later(now))
 
 
 def corpus_history(docs: DataFrame, notice: str, tokenizers: list[str], rollup: Rollup) -> DataFrame:
