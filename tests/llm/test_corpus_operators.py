@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import zlib
 from fractions import Fraction
@@ -291,6 +292,28 @@ def test_model_is_a_distribution(frame):
     assert total == pytest.approx(1.0)
 
 
+def test_language_model_missing_file(frame, monkeypatch):
+    texts = list(enumerate(["a b c a b", "b c d e", "c a b"] * 20))
+    model = kneser_ney.fit(frame(texts), shard_tokens=50)
+    whole = sorted(r.score for r in kneser_ney.score(frame(texts), model).collect())
+    monkeypatch.setattr(kneser_ney, "MAPPED", 2)
+    kneser_ney._TABLES.clear()
+    have = kneser_ney.Tables(model)
+    tokens, sizes = kneser_ney.tokens_of(kneser_ney.Block(pa.array([t for _, t in texts])))
+    monkeypatch.setattr(kneser_ney, "tables", lambda m: have)
+    _, log_p = kneser_ney.log_probabilities(model, tokens, sizes)
+    assert np.allclose(sorted(np.add.reduceat(log_p, np.cumsum(sizes) - sizes)), whole)
+    assert len(have._open) <= 2
+    for kind in ("bigram", "context", "unigram", "continuation"):
+        shard = min(s for k, s in model.files if k == kind and s >= 0)
+        path = f"{model.folder}/{kind}-{shard}-keys.npy"
+        os.replace(path, path + ".away")
+        have._open.clear()
+        with pytest.raises(FileNotFoundError):
+            kneser_ney.log_probabilities(model, tokens, sizes)
+        os.replace(path + ".away", path)
+
+
 def test_language_model_odd(frame, odd_rows):
     model = kneser_ney.fit(frame(odd_rows))
     got = kneser_ney.score(frame(odd_rows), model).collect()

@@ -6,7 +6,8 @@ the number of tokens, and the followers of a very frequent word are dealt over a
 its count asks for, so no shard grows with the corpus or with one word.
 
 Scoring: workers memory-map the arrays and look up the distinct tokens and bigrams of a block in
-ascending order. The model is never gathered in the driver or copied into a worker.
+ascending order. The model is never gathered in the driver or copied into a worker. It names the shards that
+were written: a file of theirs that a worker can't see is an error, and at most MAPPED files are open at a time.
 
 Files: unigram (64-bit hash, count), context (40-bit hash; followers seen once, twice, more often, and all occurrences),
 continuation (40-bit hash; different words before it), bigram (64-bit hash of both words, count). The two
@@ -35,6 +36,7 @@ from tripstar.session import scratch_folder
 
 SHARD_TOKENS = 2 << 20
 TASK_BYTES = 12 << 20
+MAPPED = 512  # array files that a worker holds open
 WORD_BITS = 40  # of a word's hash, in contexts and continuations
 START, END = (mix64(np.array([k], U64))[0] for k in (0xA11CE, 0xB0B))
 
@@ -53,6 +55,7 @@ class Model:
     word_discounts: tuple[float, float, float]
     bigram_types: int
     word_counts: tuple[int, int, int]  # words after one, two, more different words
+    files: frozenset[tuple[str, int]]  # the kinds and shards that were written; all others are empty
 
 
 def tokens_of(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -248,12 +251,12 @@ def fit(docs: DataFrame, folder: str | None = None, shard_tokens: int = SHARD_TO
         save(target, "unigram", key[0].as_py(), keys=keys, counts=_narrow(counts))
         hot = counts > shard_tokens
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(counts.sum())]), pa.array([len(keys)]), pa.array([short(keys[hot]).astype(np.int64)], pa.list_(pa.int64())), pa.array([counts[hot]], pa.list_(pa.int64()))],
-            names=["tokens", "types", "hot", "hot_counts"],
+            [pa.array([key[0].as_py()], pa.int32()), pa.array([int(counts.sum())]), pa.array([len(keys)]), pa.array([short(keys[hot]).astype(np.int64)], pa.list_(pa.int64())), pa.array([counts[hot]], pa.list_(pa.int64()))],
+            names=["shard", "tokens", "types", "hot", "hot_counts"],
         )
 
     parts = narrow.mapInArrow(lambda batches: _emit_unigrams(batches, shards), PART)
-    rows = stored(parts.groupBy("shard").applyInArrow(unigram_shard, "tokens bigint, types bigint, hot array<bigint>, hot_counts array<bigint>")).collect()
+    rows = stored(parts.groupBy("shard").applyInArrow(unigram_shard, "shard int, tokens bigint, types bigint, hot array<bigint>, hot_counts array<bigint>")).collect()
     frequent = {int(START) >> (64 - WORD_BITS): 1 + size[1] // shard_tokens}
     for r in rows:
         for word, n in zip(r.hot, r.hot_counts, strict=True):
@@ -274,25 +277,26 @@ def fit(docs: DataFrame, folder: str | None = None, shard_tokens: int = SHARD_TO
         words, each = summed(word, np.ones(len(word), np.int64))
         continued = _parts(shard_of(words, shards), words, None, each, WORD_BITS // 8)
         empty = pa.array([[]] * continued.num_rows, pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*continued.columns, empty, empty], names=["shard", "keys", "others", "counts", "tallies", "spread"])
+        names = ["shard", "keys", "others", "counts", "tallies", "spread", "own"]
+        yield pa.RecordBatch.from_arrays([*continued.columns, empty, empty, pa.nulls(continued.num_rows, pa.int32())], names=names)
         table = np.column_stack([context[spread].astype(np.int64), *(n[spread] for n in sums)]).ravel()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([-1], pa.int32()), *(pa.array([b""], pa.binary()) for _ in range(3)), pa.array([_tallies(counts)], pa.list_(pa.int64())), pa.array([table], pa.list_(pa.int64()))],
-            names=["shard", "keys", "others", "counts", "tallies", "spread"],
+            [pa.array([-1], pa.int32()), *(pa.array([b""], pa.binary()) for _ in range(3)), pa.array([_tallies(counts)], pa.list_(pa.int64())), pa.array([table], pa.list_(pa.int64())), pa.array([shard], pa.int32())],
+            names=names,
         )
 
     parts = narrow.mapInArrow(lambda batches: _emit_bigrams(batches, shards, frequent), PART)
-    counted = stored(parts.groupBy("shard").applyInArrow(bigram_shard_of, PART + ", tallies array<bigint>, spread array<bigint>"))
+    counted = stored(parts.groupBy("shard").applyInArrow(bigram_shard_of, PART + ", tallies array<bigint>, spread array<bigint>, own int"))
 
     def continuation_shard(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, _, counts = _gathered(batches, WORD_BITS // 8)
         words, counts = summed(words, counts)
         save(target, "continuation", key[0].as_py(), keys=words, counts=_narrow(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([_tallies(counts)], pa.list_(pa.int64()))], names=["tallies"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_tallies(counts)], pa.list_(pa.int64()))], names=["shard", "tallies"])
 
     own = counted.where("shard >= 0").select("shard", "keys", "others", "counts")
-    word_rows = stored(own.groupBy("shard").applyInArrow(continuation_shard, "tallies array<bigint>")).collect()
-    shard_rows = counted.where("shard < 0").select("tallies", "spread").collect()
+    word_rows = stored(own.groupBy("shard").applyInArrow(continuation_shard, "shard int, tallies array<bigint>")).collect()
+    shard_rows = counted.where("shard < 0").select("tallies", "spread", "own").collect()
     # the contexts whose followers were spread: at most two rows for each shard
     spread = np.array([x for r in shard_rows for x in r.spread], np.int64).reshape(-1, 5)
     keys, inverse = np.unique(spread[:, 0].astype(U64), return_inverse=True)
@@ -311,6 +315,7 @@ def fit(docs: DataFrame, folder: str | None = None, shard_tokens: int = SHARD_TO
         word_discounts=discounts(of_words),
         bigram_types=sum(of_bigrams),
         word_counts=(of_words[0], of_words[1], sum(of_words[2:])),
+        files=frozenset([*(("unigram", r.shard) for r in rows), *((k, r.own) for r in shard_rows for k in ("bigram", "context")), *(("continuation", r.shard) for r in word_rows), ("context", -1)]),
     )
 
 
@@ -324,8 +329,13 @@ class Tables:
         key = kind, shard, name
         if key not in self._open:
             path = f"{self.model.folder}/{kind}-{shard}-{name}.npy"
-            empty = not os.path.exists(path)  # no row fell into the shard
-            self._open[key] = np.zeros(0, U64) if empty else np.load(path, mmap_mode="r")
+            if (kind, shard) not in self.model.files:  # no row fell into the shard
+                return np.zeros(0, U64)
+            if not os.path.exists(path):
+                raise FileNotFoundError(f"{path} of the model is missing; is its folder mounted on this worker?")
+            while len(self._open) >= MAPPED:
+                del self._open[next(iter(self._open))]  # the map opened first; a copied array lives on where it is in use
+            self._open[key] = np.load(path, mmap_mode="r")
         return self._open[key]
 
     def look_up(self, kind: str, names: tuple[str, ...], keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
