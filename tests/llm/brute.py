@@ -119,21 +119,30 @@ def personal(text):
 
 
 class KneserNey:
-    """Interpolated modified Kneser-Ney bigrams over dictionaries."""
+    """Interpolated modified Kneser-Ney n-grams over dictionaries."""
 
-    END = "</s>\n"
+    START, END = "<s>\n", "</s>\n"
 
-    def __init__(self, texts):
+    def __init__(self, texts, order=2):
+        self.order = order
         rows = [self.tokens(t) for t in texts]
         self.count = collections.Counter(x for w in rows for x in w)
-        self.pairs = collections.Counter(p for w in rows for p in zip(["<s>\n", *w], w, strict=False))
-        self.after = collections.Counter(b for _, b in self.pairs)
+        self.levels = {order: collections.Counter(g for w in rows for g in self.grams(w, order))}
+        for m in range(order - 1, 0, -1):
+            own = collections.Counter()
+            for g, n in self.levels[m + 1].items():
+                own[g[1:]] += n if m > 1 and g[1] == self.START else 1
+            self.levels[m] = own
+        self.d = {m: self.discounts(own.values()) for m, own in self.levels.items()}
         self.total, self.followers = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0])
-        for (a, _), n in self.pairs.items():
-            self.total[a] += n
-            self.followers[a][min(n, 3) - 1] += 1
-        self.d2, self.d1 = self.discounts(self.pairs.values()), self.discounts(self.after.values())
-        self.saved = sum(self.cut(c, self.d1) for c in self.after.values()) / max(1, len(self.pairs))
+        for own in self.levels.values():
+            for g, n in own.items():
+                self.total[g[:-1]] += n
+                self.followers[g[:-1]][min(n, 3) - 1] += 1
+
+    def grams(self, words, m):
+        padded = [self.START] * (m - 1) + words
+        return [tuple(padded[k : k + m]) for k in range(len(words))]
 
     @classmethod
     def tokens(cls, text):
@@ -152,19 +161,18 @@ class KneserNey:
     def cut(c, d):
         return d[min(c, 3) - 1] if c else 0.0
 
-    def word(self, w):
-        return max(self.after[w] - self.cut(self.after[w], self.d1), 0) / len(self.pairs) + self.saved / (len(self.count) + 1)
-
-    def p(self, a, w):
-        if not self.total[a]:
-            return self.word(w)
-        c = self.pairs[a, w]
-        rest = sum(x * y for x, y in zip(self.followers[a], self.d2, strict=True))
-        return max(c - self.cut(c, self.d2), 0) / self.total[a] + rest / self.total[a] * self.word(w)
+    def p(self, gram):
+        if not gram:
+            return 1 / (len(self.count) + 1)
+        context, lower = gram[:-1], self.p(gram[1:])
+        if not self.total[context]:
+            return lower
+        c, d = self.levels[len(gram)][gram], self.d[len(gram)]
+        rest = sum(x * y for x, y in zip(self.followers[context], d, strict=True))
+        return (max(c - self.cut(c, d), 0) + rest * lower) / self.total[context]
 
     def score(self, text):
-        w = self.tokens(text)
-        return sum(math.log10(self.p(a, b)) for a, b in zip(["<s>\n", *w], w, strict=False))
+        return sum(math.log10(self.p(g)) for g in self.grams(self.tokens(text), self.order))
 
     def base(self, text):
         n, v = sum(self.count.values()), len(self.count)

@@ -265,12 +265,12 @@ def test_recall(spark):
 # language model
 
 
-@pytest.mark.parametrize("shard_tokens", [kneser_ney.SHARD_TOKENS, 50])
-def test_language_model(frame, shard_tokens):
+@pytest.mark.parametrize(("order", "shard_tokens"), [(1, 50), (2, 50), (3, kneser_ney.SHARD_TOKENS), (3, 50), (4, 400)])
+def test_language_model(frame, order, shard_tokens):
     rng = random.Random(10)
     texts = [" ".join(f"w{int(rng.paretovariate(0.9)) % 200}" for _ in range(rng.randint(0, 40))) for _ in range(150)] + [None, "", "W1 w2"]
-    model = kneser_ney.fit(frame(list(enumerate(texts))), shard_tokens=shard_tokens)
-    plain = brute.KneserNey(texts)
+    model = kneser_ney.fit(frame(list(enumerate(texts))), order, shard_tokens=shard_tokens)
+    plain = brute.KneserNey(texts, order)
     assert (model.tokens, model.types) == (sum(plain.count.values()), len(plain.count))
     others = [*texts[:20], "unknown words w1", None]
     rows = {r.doc_id: r for r in kneser_ney.score(frame(list(enumerate(others))), model).collect()}
@@ -280,16 +280,33 @@ def test_language_model(frame, shard_tokens):
         assert rows[i].score == pytest.approx(plain.score(t), rel=1e-9) and rows[i].base_score == pytest.approx(plain.base(t), rel=1e-9)
 
 
-def test_model_is_a_distribution(frame):
-    model = kneser_ney.fit(frame([(0, "a b a c a b"), (1, "b c b a")]))
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_model_is_a_distribution(frame, order):
+    model = kneser_ney.fit(frame([(0, "a b a c a b"), (1, "b c b a")]), order)
     words = ["a", "b", "c", "never"]
-    tokens = [kneser_ney.tokens_of(kneser_ney.Block(pa.array([f"a {w}"])))[0][1] for w in words] + [kneser_ney.END]
-    first = kneser_ney.tokens_of(kneser_ney.Block(pa.array(["a"])))[0][0]
-    total = 0.0
-    for w in tokens:
-        _, log_p = kneser_ney.log_probabilities(model, np.array([first, w], np.uint64), np.array([2]))
-        total += 10 ** log_p[1]
-    assert total == pytest.approx(1.0)
+    tokens = [kneser_ney.tokens_of(kneser_ney.Block(pa.array([w])))[0][0] for w in words] + [kneser_ney.END]
+    for before in (tokens[:1], tokens[1:3], tokens[3:4]):
+        text = [np.array([*before, w], np.uint64) for w in tokens]
+        last = [kneser_ney.log_probabilities(model, t, np.array([len(t)]))[1][-1] for t in text]
+        assert sum(10**x for x in last) == pytest.approx(1.0)
+
+
+def test_folded_rows():
+    rng = np.random.default_rng(4)
+    for n, width in ((1, 1), (300, 2), (3000, 4)):
+        columns, counts = kneser_ney.distinct([rng.integers(0, 9, n).astype(np.uint64) for _ in range(width)], rng.integers(1, 400, n))
+        back, again = kneser_ney.unfolded(kneser_ney.folded(columns, counts, 5), 5)
+        assert all((x == y).all() for x, y in zip(columns, back, strict=True)) and (again == counts).all()
+
+
+def test_counts_and_keys_of_a_file(tmp_path):
+    keys = np.array([5 << 32 | 1 << 16, 5 << 32 | 2 << 16, 5 << 32 | 9 << 16, 7 << 32], np.uint64)
+    values = np.array([1, 254, 255, 1 << 40])
+    by, arrays = kneser_ney.key_arrays(keys, False)
+    kneser_ney.save(str(tmp_path), "k", 0, arrays | kneser_ney.count_arrays(values[by]))
+    model = kneser_ney.Model(str(tmp_path), 2, 1, 0, 0, {}, (), (0, 0, 0), 0, frozenset([("k", 0)]))
+    asked = np.append(keys, np.array([5 << 32 | 3 << 16, 8 << 32], np.uint64))
+    assert kneser_ney.Tables(model).look_up("k", asked, np.zeros(6, int))[:, 0].tolist() == [*values, 0, 0]
 
 
 def test_language_model_missing_file(frame, monkeypatch):
@@ -304,9 +321,9 @@ def test_language_model_missing_file(frame, monkeypatch):
     _, log_p = kneser_ney.log_probabilities(model, tokens, sizes)
     assert np.allclose(sorted(np.add.reduceat(log_p, np.cumsum(sizes) - sizes)), whole)
     assert len(have._open) <= 2
-    for kind in ("bigram", "context", "unigram", "continuation"):
-        shard = min(s for k, s in model.files if k == kind and s >= 0)
-        path = f"{model.folder}/{kind}-{shard}-keys.npy"
+    assert {k for k, _ in model.files} == {"word", "continuation", "gram2", "gram3", "context2", "context3", "spread2", "spread3"}
+    for kind in ("word", "continuation", "gram2", "gram3", "context2", "context3", "spread3"):
+        path = kneser_ney.file_of(model.folder, kind, min(s for k, s in model.files if k == kind))
         os.replace(path, path + ".away")
         have._open.clear()
         with pytest.raises(FileNotFoundError):

@@ -1,17 +1,21 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, kept as sorted hash arrays.
+"""Interpolated modified Kneser-Ney n-gram model of any order, counted in Spark, kept as sorted hash arrays.
 
-Counting: tasks count their own tokens and bigrams first, then hash shards add up. A shard is written as
-plain array files under the shared folder: ascending hashes and their counts. The number of shards follows
-the number of tokens, and the followers of a very frequent word are dealt over as many shards as
-its count asks for, so no shard grows with the corpus or with one word.
+Counting: tasks count their own tokens and n-grams first, then hash shards add up. N-grams are dealt by the word
+before the last, so the shard that gets the longest ones also holds every shorter one that ends in the same two
+words with all words before it: one shuffle gives all levels. The number of shards follows the number of
+tokens, and the followers of a very frequent word are dealt over as many shards as its count asks
+for, so no shard grows with the corpus or with one word. Sums of contexts that end in such a word meet in
+the shards of their own hashes.
 
-Scoring: workers memory-map the arrays and look up the distinct tokens and bigrams of a block in
-ascending order. The model is never gathered in the driver or copied into a worker. It names the shards that
-were written: a file of theirs that a worker can't see is an error, and at most MAPPED files are open at a time.
+Levels: the longest n-grams, and those that begin at the start of a text, have their occurrences; shorter ones the
+number of different words before them. Each level is discounted (modified Kneser-Ney) and
+interpolated with the next shorter one, the last with the uniform distribution over all known tokens and one
+unknown. Before a text stand order - 1 start marks, so each token has a whole context.
 
-Files: unigram (64-bit hash, count), context (40-bit hash; followers seen once, twice, more often, and all occurrences),
-continuation (40-bit hash; different words before it), bigram (64-bit hash of both words, count). The two
-discounted levels end in the uniform distribution over all known tokens and one unknown.
+Files: plain arrays in one file for each kind and shard, under the shared folder: ascending hashes (48 bits within a
+shard, 64 for single tokens) and their counts. Workers memory-map them and look up the distinct keys
+of a block in ascending order. The model is never gathered in the driver or copied into a worker. It names the
+files that were written: one of theirs that a worker can't see is an error, and at most MAPPED are open at a time.
 
 Defined cases: NULL or empty text is the end token alone; without training rows every token has the
 probability of the one unknown token, 1; rows are scored each by itself; rows with NULL doc_id are scored;
@@ -20,6 +24,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterator
@@ -34,27 +39,30 @@ from tripstar.llm.tables import stored
 from tripstar.llm.text import NOT_SPACE, U64, Block, blocks, mix64
 from tripstar.session import scratch_folder
 
+ORDER = 3
 SHARD_TOKENS = 2 << 20
 TASK_BYTES = 12 << 20
 MAPPED = 512  # array files that a worker holds open
-WORD_BITS = 40  # of a word's hash, in contexts and continuations
+WORD_BITS = 40  # of a word's hash within n-grams
+WORD_BYTES = WORD_BITS // 8
 START, END = (mix64(np.array([k], U64))[0] for k in (0xA11CE, 0xB0B))
+FIRST = START >> U64(64 - WORD_BITS)
 
-CONTEXT = ("once", "twice", "more", "total")  # of a context: followers seen once, twice, more often; occurrences
-PART = "shard int, keys binary, others binary, counts binary"
+TALLIES = 5
+PART = "shard int, columns array<binary>"
 
 
 @dataclass(frozen=True)
 class Model:
     folder: str
+    order: int
     shards: int
     tokens: int
     types: int
     frequent: dict[int, int]  # word (40 bits) -> shards of its followers; at most tokens / SHARD_TOKENS words
-    bigram_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
-    bigram_types: int
-    word_counts: tuple[int, int, int]  # words after one, two, more different words
+    discounts: tuple[tuple[float, float, float], ...]  # of the levels 1 to order
+    word_counts: tuple[int, int, int]  # words with a count of one, two, more at level 1
+    word_total: int  # sum of all counts at level 1
     files: frozenset[tuple[str, int]]  # the kinds and shards that were written; all others are empty
 
 
@@ -71,47 +79,99 @@ def tokens_of(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return tokens, counts
 
 
-def contexts_of(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[np.cumsum(counts) - counts] = START
-    return before
-
-
 def short(hashes: np.ndarray) -> np.ndarray:
     return hashes >> U64(64 - WORD_BITS)
 
 
+def columns_of(tokens: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
+    """For each token: the word before it, itself, then the second, third, ... word before it.
+
+    The first m columns are what an m-gram consists of, and where sorted, equal m-grams are neighbours at every m.
+    """
+    word = short(tokens)
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    before = []
+    for k in range(1, order):
+        column = np.full(len(word), FIRST, U64)
+        column[k:] = word[: len(word) - k] if k < len(word) else column[k:]
+        column[place < k] = FIRST
+        before.append(column)
+    return [*before[:1], word, *before[1:]]
+
+
+def oldest(columns: list[np.ndarray], m: int) -> np.ndarray:
+    return columns[0 if m == 2 else m - 1]
+
+
 def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(before * U64(0x9E3779B97F4A7C15) + mix64(word))
 
 
+def context_hash(columns: list[np.ndarray], m: int) -> np.ndarray:
+    """Hash of the m - 1 words before the last."""
+    found = mix64(oldest(columns, m))
+    for k in range(m - 2, 0, -1):
+        found = pair_hash(found, columns[0 if k == 1 else k])
+    return found
+
+
+def edges(columns: list[np.ndarray]) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct keys with the sums of their counts."""
+    """Ascending distinct keys with the sums of their counts (a vector or a row each)."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
-    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
+    new = np.flatnonzero(edges([keys]))
     return keys[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
 
 
+def distinct(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted distinct n-grams with the sums of their counts."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.flatnonzero(edges(columns))
+    return [c[new] for c in columns], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
+
+
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (mix64(hashes) % U64(shards)).astype(np.int64)
 
 
-def bigram_shard(before: np.ndarray, word: np.ndarray, shards: int, frequent: dict[int, int]) -> np.ndarray:
-    """By the first word, so that its followers meet; those of a frequent word are spread."""
+def by_shard(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Each shard that occurs with the places of its rows, in their order."""
+    order = np.argsort(shard, kind="stable")
+    own, first = np.unique(shard[order], return_index=True)
+    return list(zip(own.tolist(), np.split(order, first[1:]), strict=True)) if len(own) else []
+
+
+def gram_shard(before: np.ndarray, word: np.ndarray, shards: int, frequent: dict[int, int]) -> np.ndarray:
+    """By the word before the last, so that its followers meet; those of a frequent word are spread."""
     spread = np.zeros(len(before), U64)
-    if frequent:
-        hot = np.array(sorted(frequent), U64)
-        parts = np.array([frequent[int(h)] for h in hot], U64)
-        at = np.minimum(np.searchsorted(hot, before), len(hot) - 1)
-        mine = hot[at] == before
-        spread[mine] = mix64(word[mine]) % parts[at[mine]]
+    mine, parts = spread_parts(before, frequent)
+    spread[mine] = mix64(word[mine]) % parts
     return ((mix64(before) % U64(shards) + spread) % U64(shards)).astype(np.int64)
 
 
-def _column(values: np.ndarray, width: int) -> bytes:
-    """The low bytes of ascending values, all first bytes, then all second ones: near values compress well."""
+def spread_parts(before: np.ndarray, frequent: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which words have their followers dealt over several shards, and over how many each of them."""
+    hot = np.array(sorted(w for w, n in frequent.items() if n > 1), U64)
+    if not len(hot):
+        return np.zeros(len(before), bool), np.zeros(0, U64)
+    parts = np.array([frequent[int(h)] for h in hot], U64)
+    at = np.minimum(np.searchsorted(hot, before), len(hot) - 1)
+    mine = hot[at] == before
+    return mine, parts[at[mine]]
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of values, all first bytes, then all second ones: near values compress well."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, width - 1 :: -1].T.tobytes() if len(values) else b""
 
 
@@ -122,38 +182,52 @@ def _values(data: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(U64)
 
 
-def _narrow(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+def _narrow(counts: np.ndarray) -> bytes:
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
 
 
 def _counts(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
-def _parts(shard: np.ndarray, keys: np.ndarray, others: np.ndarray | None, counts: np.ndarray, width: int) -> pa.RecordBatch:
-    """One row for each shard; keys ascend within a shard."""
-    order = np.argsort(shard, kind="stable")
-    own, first = np.unique(shard[order], return_index=True)
-    pieces = np.split(order, first[1:]) if len(own) else []
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(own, pa.int32()),
-            pa.array([_column(keys[p], width) for p in pieces], pa.binary()),
-            pa.array([b"" if others is None else _column(others[p], width) for p in pieces], pa.binary()),
-            pa.array([_narrow(counts[p]).tobytes() for p in pieces], pa.binary()),
-        ],
-        names=["shard", "keys", "others", "counts"],
-    )
+def folded(columns: list[np.ndarray], counts: np.ndarray, width: int) -> list[bytes]:
+    """Sorted rows with each run of equal beginnings stored once, and bits that say where a run begins."""
+    out, new = [], np.zeros(len(counts), bool)
+    for depth, column in enumerate(columns):
+        above, new = new, new | edges([column])
+        at = np.flatnonzero(new)
+        out.append(_planes(column[at], width))
+        if depth:
+            out.append(np.packbits(above[at]).tobytes())
+    return [*out, _narrow(counts)]
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, others, counts = [np.zeros(0, U64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+def unfolded(parts: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
+    values = [_values(p, width) for p in (parts[0], *parts[1:-1:2])]
+    row = np.arange(len(values[-1]))
+    columns = [values[-1]]
+    for column, bits in zip(values[-2::-1], parts[-2:0:-2], strict=True):
+        below = len(values[len(values) - len(columns)])
+        run = np.cumsum(np.unpackbits(np.frombuffer(bits, np.uint8), count=below)) - 1
+        row = run[row]
+        columns.append(column[row])
+    return columns[::-1], _counts(parts[-1], len(values[-1]))
+
+
+def _parts(shard: np.ndarray, columns: list[np.ndarray], counts: np.ndarray, width: int) -> pa.RecordBatch:
+    """One row for each shard, its rows in the order given."""
+    rows = [(s, folded([c[mine] for c in columns], counts[mine], width)) for s, mine in by_shard(shard)]
+    return pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.list_(pa.binary()))], names=["shard", "columns"])
+
+
+def _gathered(rows: Iterator[list[bytes]], width: int) -> tuple[list[np.ndarray], np.ndarray]:
+    found = [unfolded(parts, width) for parts in rows]
+    return [np.concatenate(c) for c in zip(*(f for f, _ in found), strict=True)], np.concatenate([n for _, n in found])
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     for batch in batches:
-        for k, o, c in zip(*(batch.column(n).to_pylist() for n in ("keys", "others", "counts")), strict=True):
-            keys.append(_values(k, width))
-            others.append(_values(o, width) if o else np.zeros(0, U64))
-            counts.append(_counts(c, len(keys[-1])))
-    return np.concatenate(keys), np.concatenate(others), np.concatenate(counts)
+        yield from batch.column("columns").to_pylist()
 
 
 def local_path(folder: str) -> str:
@@ -164,14 +238,56 @@ def local_path(folder: str) -> str:
     return unquote(url.path)
 
 
-def save(folder: str, kind: str, shard: int, **arrays: np.ndarray) -> None:
-    """Array files of a shard. Complete files appear at once, so an attempt that ran twice does no harm."""
+def file_of(folder: str, kind: str, shard: int) -> str:
+    return f"{folder}/{kind}-{shard}.arrays"
+
+
+def save(folder: str, kind: str, shard: int, arrays: dict[str, np.ndarray]) -> None:
+    """The arrays of a shard in one file. It appears when complete, so an attempt that ran twice does no harm."""
     os.makedirs(folder, exist_ok=True)
+    head, at = {}, 0
     for name, values in arrays.items():
-        path = f"{folder}/{kind}-{shard}-{name}.npy"
-        with open(own := f"{path}.{uuid.uuid4().hex}", "wb") as out:
-            np.save(out, values)
-        os.replace(own, path)
+        head[name] = (values.dtype.str, at, len(values))
+        at += -(-values.nbytes // 8) * 8
+    text = json.dumps(head).encode()
+    text += b" " * (-len(text) % 8)
+    path = file_of(folder, kind, shard)
+    with open(own := f"{path}.{uuid.uuid4().hex}", "wb") as out:
+        out.write(len(text).to_bytes(8, "little") + text)
+        for values in arrays.values():
+            out.write(values.tobytes() + bytes(-values.nbytes % 8))
+    os.replace(own, path)
+
+
+def mapped(path: str) -> dict[str, np.ndarray]:
+    data = np.memmap(path, np.uint8, "r")
+    start = 8 + int.from_bytes(data[:8].tobytes(), "little")
+    head = json.loads(data[8:start].tobytes())
+    return {name: np.frombuffer(data, kind, n, start + at) if n else np.zeros(0, kind) for name, (kind, at, n) in head.items()}
+
+
+def key_arrays(keys: np.ndarray, whole: bool) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Order of the keys, and their first 32 bits and next 16 (or all others) as arrays."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    low = (keys & U64(0xFFFFFFFF)).astype("<u4") if whole else ((keys >> U64(16)) & U64(0xFFFF)).astype("<u2")
+    return order, {"high": (keys >> U64(32)).astype("<u4"), "low": low}
+
+
+def count_arrays(counts: np.ndarray) -> dict[str, np.ndarray]:
+    """A byte for each count; those from 255 on stand beside it."""
+    large = np.flatnonzero(counts >= 255)
+    return {"counts": np.minimum(counts, 255).astype(np.uint8), "large_at": large.astype("<u4"), "large": counts[large].astype("<i8")}
+
+
+def row_arrays(rows: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows as numbers of different rows, frequent ones first, so that most numbers take a byte."""
+    if not len(rows):
+        return {**count_arrays(np.zeros(0, np.int64)), "rows": np.zeros(0, "<i8")}
+    different, number, n = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
+    rank = np.empty(len(n), np.int64)
+    rank[by := np.argsort(-n, kind="stable")] = np.arange(len(n))
+    return {**count_arrays(rank[number.ravel()]), "rows": different[by].astype("<i8").ravel()}
 
 
 def _tallies(n: np.ndarray) -> list[int]:
@@ -188,56 +304,54 @@ def discounts(tallies: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(found))
 
 
-def _emit_unigrams(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+def _emitted(batches: Iterator[pa.RecordBatch], part, flush) -> Iterator[pa.RecordBatch]:
+    """flush(parts) for each TASK_BYTES of text, where part(block) is what a block gives."""
     parts, size = [], 0
-
-    def flush():
-        keys, counts = summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
-        return _parts(shard_of(keys, shards), keys, None, counts, 8)
-
     for batch in batches:
         for _, block in blocks(batch):
-            parts.append(np.unique(tokens_of(block)[0], return_counts=True))
+            parts.append(part(block))
             size += len(block.data)
             if size > TASK_BYTES:
-                yield flush()
+                yield flush(parts)
                 parts, size = [], 0
     if parts:
-        yield flush()
+        yield flush(parts)
 
 
-def _emit_bigrams(batches: Iterator[pa.RecordBatch], shards: int, frequent: dict[int, int]) -> Iterator[pa.RecordBatch]:
-    parts, size = [], 0
+def emit_words(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    def flush(parts):
+        keys, counts = summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+        return _parts(shard_of(keys, shards), [keys], counts, 8)
 
-    def flush():
-        before, word, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
-        if len(parts) > 1:
-            before, word, counts = _distinct(before, word, counts)
-        return _parts(bigram_shard(before, word, shards, frequent), before, word, counts, WORD_BITS // 8)
+    return _emitted(batches, lambda block: np.unique(tokens_of(block)[0], return_counts=True), flush)
 
-    for batch in batches:
-        for _, block in blocks(batch):
-            tokens, sizes = tokens_of(block)
-            before, word = short(contexts_of(tokens, sizes)), short(tokens)
-            parts.append(_distinct(before, word, np.ones(len(word), np.int64)))
-            size += len(block.data)
-            if size > TASK_BYTES:
-                yield flush()
-                parts, size = [], 0
-    if parts:
-        yield flush()
+
+def emit_grams(batches: Iterator[pa.RecordBatch], order: int, shards: int, frequent: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    def flush(parts):
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        columns, counts = distinct(columns, np.ones(len(columns[0]), np.int64))
+        return _parts(gram_shard(columns[0], columns[1], shards, frequent), columns, counts, WORD_BYTES)
+
+    return _emitted(batches, lambda block: columns_of(*tokens_of(block), order), flush)
+
+
+def context_rows(contexts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct contexts, the place of one n-gram of each, and rows: followers counted once, twice, more often; all counts."""
+    order = np.argsort(contexts, kind="stable")
+    first = np.flatnonzero(edges([contexts[order]]))
+    n = counts[order]
+    sums = [np.add.reduceat(x.astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (n == 1, n == 2, n > 2, n)]
+    return contexts[order[first]], order[first], np.column_stack(sums)
 
 
-def _distinct(before: np.ndarray, word: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs in the order of their first words, with summed counts."""
-    order = np.argsort((before << U64(64 - WORD_BITS)) | (mix64(word) >> U64(WORD_BITS)), kind="stable")
-    before, word = before[order], word[order]
-    new = np.flatnonzero(np.concatenate(([True], (before[1:] != before[:-1]) | (word[1:] != word[:-1]))))
-    return before[new], word[new], np.add.reduceat(counts[order], new)
+def _rows_as_bytes(keys: np.ndarray, rows: np.ndarray) -> list[bytes]:
+    return [keys.astype("<u8").tobytes(), rows.astype("<i8").tobytes()]
 
 
-def fit(docs: DataFrame, folder: str | None = None, shard_tokens: int = SHARD_TOKENS, text: str = "text") -> Model:
+def fit(docs: DataFrame, order: int = ORDER, folder: str | None = None, shard_tokens: int = SHARD_TOKENS, text: str = "text") -> Model:
     """Count all rows of docs and write the model below folder (by default, a new one in the shared folder)."""
+    if order < 1:
+        raise ValueError("the order of the model is 1 at least")
     spark = docs.sparkSession
     narrow = docs.select(F.col(text).alias("text"))
     target = local_path(folder or scratch_folder(spark))
@@ -245,77 +359,94 @@ def fit(docs: DataFrame, folder: str | None = None, shard_tokens: int = SHARD_TO
     size = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     shards = 1 + (size[0] // 6 + size[1]) // shard_tokens
 
-    def unigram_shard(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, _, counts = _gathered(batches, 8)
+    def word_shard(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = key[0].as_py()
+        (keys,), counts = _gathered(_lists(batches), 8)
         keys, counts = summed(keys, counts)
-        save(target, "unigram", key[0].as_py(), keys=keys, counts=_narrow(counts))
+        by, arrays = key_arrays(keys, True)
+        save(target, "word", shard, arrays | count_arrays(counts[by]))
         hot = counts > shard_tokens
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([int(counts.sum())]), pa.array([len(keys)]), pa.array([short(keys[hot]).astype(np.int64)], pa.list_(pa.int64())), pa.array([counts[hot]], pa.list_(pa.int64()))],
-            names=["shard", "tokens", "types", "hot", "hot_counts"],
-        )
-
-    parts = narrow.mapInArrow(lambda batches: _emit_unigrams(batches, shards), PART)
-    rows = stored(parts.groupBy("shard").applyInArrow(unigram_shard, "shard int, tokens bigint, types bigint, hot array<bigint>, hot_counts array<bigint>")).collect()
-    frequent = {int(START) >> (64 - WORD_BITS): 1 + size[1] // shard_tokens}
+        lists = [pa.array([x], pa.list_(pa.int64())) for x in (short(keys[hot]).astype(np.int64), counts[hot], _tallies(counts))]
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([int(counts.sum())]), pa.array([len(keys)]), *lists], names=["shard", "tokens", "types", "hot", "hot_counts", "tallies"])
+
+    parts = narrow.mapInArrow(lambda batches: emit_words(batches, shards), PART)
+    schema = "shard int, tokens bigint, types bigint, hot array<bigint>, hot_counts array<bigint>, tallies array<bigint>"
+    rows = stored(parts.groupBy("shard").applyInArrow(word_shard, schema)).collect()
+    files = [("word", r.shard) for r in rows]
+    tokens, types = sum(r.tokens for r in rows), sum(r.types for r in rows)
+    frequent = {int(FIRST): 1 + size[1] // shard_tokens}
     for r in rows:
         for word, n in zip(r.hot, r.hot_counts, strict=True):
             frequent[word] = 1 + n // shard_tokens
-
-    def bigram_shard_of(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = key[0].as_py()
-        before, word, counts = _gathered(batches, WORD_BITS // 8)
-        before, word, counts = _distinct(before, word, counts) if len(before) else (before, word, counts)
-        hashes = pair_hash(before, word)
-        order = np.argsort(hashes)
-        save(target, "bigram", shard, keys=hashes[order], counts=_narrow(counts[order]))
-        first = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
-        sums = [np.add.reduceat(n.astype(np.int64), first) for n in (counts == 1, counts == 2, counts > 2, counts)]
-        context = before[first]
-        spread = np.array([frequent.get(int(c), 1) > 1 for c in context])
-        save(target, "context", shard, keys=context[~spread], **{name: _narrow(n[~spread]) for name, n in zip(CONTEXT, sums, strict=True)})
-        words, each = summed(word, np.ones(len(word), np.int64))
-        continued = _parts(shard_of(words, shards), words, None, each, WORD_BITS // 8)
-        empty = pa.array([[]] * continued.num_rows, pa.list_(pa.int64()))
-        names = ["shard", "keys", "others", "counts", "tallies", "spread", "own"]
-        yield pa.RecordBatch.from_arrays([*continued.columns, empty, empty, pa.nulls(continued.num_rows, pa.int32())], names=names)
-        table = np.column_stack([context[spread].astype(np.int64), *(n[spread] for n in sums)]).ravel()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1], pa.int32()), *(pa.array([b""], pa.binary()) for _ in range(3)), pa.array([_tallies(counts)], pa.list_(pa.int64())), pa.array([table], pa.list_(pa.int64())), pa.array([shard], pa.int32())],
-            names=names,
-        )
-
-    parts = narrow.mapInArrow(lambda batches: _emit_bigrams(batches, shards, frequent), PART)
-    counted = stored(parts.groupBy("shard").applyInArrow(bigram_shard_of, PART + ", tallies array<bigint>, spread array<bigint>, own int"))
-
-    def continuation_shard(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, _, counts = _gathered(batches, WORD_BITS // 8)
-        words, counts = summed(words, counts)
-        save(target, "continuation", key[0].as_py(), keys=words, counts=_narrow(counts))
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_tallies(counts)], pa.list_(pa.int64()))], names=["shard", "tallies"])
-
-    own = counted.where("shard >= 0").select("shard", "keys", "others", "counts")
-    word_rows = stored(own.groupBy("shard").applyInArrow(continuation_shard, "shard int, tallies array<bigint>")).collect()
-    shard_rows = counted.where("shard < 0").select("tallies", "spread", "own").collect()
-    # the contexts whose followers were spread: at most two rows for each shard
-    spread = np.array([x for r in shard_rows for x in r.spread], np.int64).reshape(-1, 5)
-    keys, inverse = np.unique(spread[:, 0].astype(U64), return_inverse=True)
-    sums = np.zeros((len(keys), len(CONTEXT)), np.int64)
-    np.add.at(sums, inverse, spread[:, 1:])
-    save(target, "context", -1, keys=keys, **dict(zip(CONTEXT, sums.T, strict=True)))
-    of_bigrams = np.array([r.tallies for r in shard_rows], np.int64).reshape(-1, 5).sum(0).tolist()
-    of_words = np.array([r.tallies for r in word_rows], np.int64).reshape(-1, 5).sum(0).tolist()
+    levels = [np.array([r.tallies for r in rows], np.int64).reshape(-1, TALLIES).sum(0).tolist()]
+    total = tokens
+
+    def gram_shards(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Writes all levels of one shard; returns its parts of level 1 and of spread contexts, and its tallies."""
+        shard, names = key[0].as_py(), ["kind", "shard", "columns", "tallies"]
+        columns, counts = distinct(*_gathered(_lists(batches), WORD_BYTES))
+        tallies, parts = [], []
+        for m in range(order, 1, -1):
+            contexts = context_hash(columns, m)
+            by, arrays = key_arrays(pair_hash(contexts, columns[1]), False)
+            save(target, f"gram{m}", shard, arrays | count_arrays(counts[by]))
+            tallies.append(_tallies(counts))
+            own, at, sums = context_rows(contexts, counts)
+            spread, _ = spread_parts(columns[0][at], frequent)
+            by, arrays = key_arrays(own[~spread], False)
+            save(target, f"context{m}", shard, arrays | row_arrays(sums[~spread][by]))
+            own, sums = own[spread], sums[spread]
+            parts += [(m, s, _rows_as_bytes(own[mine], sums[mine])) for s, mine in by_shard(shard_of(own, shards))]
+            if m > 2:
+                each = np.where(oldest(columns, m - 1) == FIRST, counts, 1)
+                columns = columns[: m - 1]
+                first = np.flatnonzero(edges(columns))
+                columns, counts = [c[first] for c in columns], np.add.reduceat(each, first)
+        words, each = summed(columns[1], np.ones(len(columns[1]), np.int64))
+        level = _parts(shard_of(words, shards), [words], each, WORD_BYTES)
+        parts += [(1, s, c) for s, c in zip(*(level.column(n).to_pylist() for n in ("shard", "columns")), strict=True)]
+        parts = [(*p, None) for p in parts] + [(0, shard, None, [n for t in tallies[::-1] for n in t])]
+        kinds = (pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*parts, strict=True), kinds, strict=True)], names=names)
+
+    def second_shards(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, shard = (k.as_py() for k in key)
+        if kind == 1:
+            (words,), counts = _gathered(_lists(batches), WORD_BYTES)
+            words, counts = summed(words, counts)
+            by, arrays = key_arrays(mix64(words), False)
+            save(target, "continuation", shard, arrays | count_arrays(counts[by]))
+            tallies = [*_tallies(counts), int(counts.sum())]
+        else:
+            found = [(np.frombuffer(k, "<u8"), np.frombuffer(n, "<i8").reshape(-1, 4)) for k, n in _lists(batches)]
+            keys, sums = summed(np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found]))
+            by, arrays = key_arrays(keys, False)
+            save(target, f"spread{kind}", shard, arrays | row_arrays(sums[by]))
+            tallies = []
+        yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([shard], pa.int32()), pa.array([tallies], pa.list_(pa.int64()))], names=["kind", "shard", "tallies"])
+
+    if order > 1:
+        parts = narrow.mapInArrow(lambda batches: emit_grams(batches, order, shards, frequent), PART)
+        counted = stored(parts.groupBy("shard").applyInArrow(gram_shards, "kind int, shard int, columns array<binary>, tallies array<bigint>"))
+        second = counted.where("kind > 0").select("kind", "shard", "columns").groupBy("kind", "shard")
+        later = stored(second.applyInArrow(second_shards, "kind int, shard int, tallies array<bigint>")).collect()
+        own = counted.where("kind = 0").select("shard", "tallies").collect()
+        files += [(f"{kind}{m}", r.shard) for r in own for m in range(2, order + 1) for kind in ("gram", "context")]
+        files += [("continuation" if r.kind == 1 else f"spread{r.kind}", r.shard) for r in later]
+        words = np.array([r.tallies for r in later if r.kind == 1], np.int64).reshape(-1, TALLIES + 1).sum(0).tolist()
+        grams = np.array([r.tallies for r in own], np.int64).reshape(-1, order - 1, TALLIES).sum(0).tolist()
+        levels, total = [words[:TALLIES], *grams], words[TALLIES]
     return Model(
         folder=target,
+        order=order,
         shards=shards,
-        tokens=sum(r.tokens for r in rows),
-        types=sum(r.types for r in rows),
+        tokens=tokens,
+        types=types,
         frequent=frequent,
-        bigram_discounts=discounts(of_bigrams),
-        word_discounts=discounts(of_words),
-        bigram_types=sum(of_bigrams),
-        word_counts=(of_words[0], of_words[1], sum(of_words[2:])),
-        files=frozenset([*(("unigram", r.shard) for r in rows), *((k, r.own) for r in shard_rows for k in ("bigram", "context")), *(("continuation", r.shard) for r in word_rows), ("context", -1)]),
+        discounts=tuple(discounts(t) for t in levels),
+        word_counts=(levels[0][0], levels[0][1], sum(levels[0][2:])),
+        word_total=total,
+        files=frozenset(files),
     )
 
 
@@ -325,34 +456,52 @@ class Tables:
     def __init__(self, model: Model):
         self.model, self._open = model, {}
 
-    def _map(self, kind: str, shard: int, name: str) -> np.ndarray:
-        key = kind, shard, name
+    def _map(self, kind: str, shard: int) -> dict[str, np.ndarray] | None:
+        key = kind, shard
         if key not in self._open:
-            path = f"{self.model.folder}/{kind}-{shard}-{name}.npy"
-            if (kind, shard) not in self.model.files:  # no row fell into the shard
-                return np.zeros(0, U64)
+            if key not in self.model.files:  # no row fell into the shard
+                return None
+            path = file_of(self.model.folder, kind, shard)
             if not os.path.exists(path):
                 raise FileNotFoundError(f"{path} of the model is missing; is its folder mounted on this worker?")
             while len(self._open) >= MAPPED:
-                del self._open[next(iter(self._open))]  # the map opened first; a copied array lives on where it is in use
-            self._open[key] = np.load(path, mmap_mode="r")
+                del self._open[next(iter(self._open))]  # the map opened first
+            self._open[key] = mapped(path)
         return self._open[key]
 
-    def look_up(self, kind: str, names: tuple[str, ...], keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-        """A row of values for each key, 0 where it is absent. Keys ascend, so each file is read in order."""
-        out = np.zeros((len(keys), len(names)), np.int64)
-        order = np.argsort(shard, kind="stable")
-        own, first = np.unique(shard[order], return_index=True)
-        for s, mine in zip(own, np.split(order, first[1:]), strict=True):
-            have = self._map(kind, int(s), "keys")
-            if len(have):
-                at = np.minimum(np.searchsorted(have, keys[mine]), len(have) - 1)
-                hit = have[at] == keys[mine]
-                for k, name in enumerate(names):
-                    out[mine[hit], k] = self._map(kind, int(s), name)[at[hit]]
+    def look_up(self, kind: str, keys: np.ndarray, shard: np.ndarray, width: int = 1) -> np.ndarray:
+        """A row of width values for each key, 0 where it is absent. Keys ascend, so each file is read in order."""
+        out = np.zeros((len(keys), width), np.int64)
+        for s, mine in by_shard(shard):
+            have = self._map(kind, s)
+            if have is None or not len(have["high"]):
+                continue
+            at, hit = places(have["high"], have["low"], keys[mine])
+            at, mine = at[hit], mine[hit]
+            number = have["counts"][at].astype(np.int64)
+            big = number == 255
+            number[big] = have["large"][np.searchsorted(have["large_at"], at[big])]
+            out[mine] = have["rows"].reshape(-1, width)[number] if "rows" in have else number[:, None]
         return out
 
 
+def places(high: np.ndarray, low: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands, and whether it is there at all."""
+    top = (keys >> U64(32)).astype("<u4")
+    rest = (keys >> U64(16) & U64(0xFFFF) if low.dtype.itemsize == 2 else keys & U64(0xFFFFFFFF)).astype(low.dtype)
+    at = np.searchsorted(high, top)
+    hit = np.zeros(len(keys), bool)
+    open_ = np.flatnonzero(at < len(high))
+    while len(open_):  # the first 32 bits are seldom shared
+        open_ = open_[high[at[open_]] == top[open_]]
+        same = low[at[open_]] == rest[open_]
+        hit[open_[same]] = True
+        open_ = open_[~same]
+        at[open_] += 1
+        open_ = open_[at[open_] < len(high)]
+    return at, hit
+
+
 _TABLES: dict[str, Tables] = {}
 
 
@@ -368,31 +517,33 @@ def _discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 
 
 def log_probabilities(model: Model, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token its training count and log10 probability after the token before it."""
+    """For each token its training count and log10 probability after the tokens before it."""
     have, m = tables(model), model
     types, inverse = np.unique(tokens, return_inverse=True)
-    count = have.look_up("unigram", ("counts",), types, shard_of(types, m.shards))[:, 0]
-    words = short(types)
-    after = have.look_up("continuation", ("counts",), words, shard_of(words, m.shards))[:, 0]
+    count = have.look_up("word", types, shard_of(types, m.shards))[:, 0]
     uniform = 1 / (m.types + 1)
-    if not m.bigram_types:
+    if not m.word_total:
         return count[inverse], np.full(len(tokens), np.log10(uniform))
-    saved = sum(d * n for d, n in zip(m.word_discounts, m.word_counts, strict=True)) / m.bigram_types
-    word_p = np.maximum(after - _discount(after, m.word_discounts), 0) / m.bigram_types + saved * uniform
-
-    before = short(contexts_of(tokens, sizes))
-    context, at = np.unique(before, return_inverse=True)
-    spread = np.array([m.frequent.get(int(c), 1) > 1 for c in context])
-    shard = bigram_shard(context, np.zeros(len(context), U64), m.shards, {})
-    shard[spread] = -1
-    followers = have.look_up("context", CONTEXT, context, shard)
-    pairs, first, place = np.unique(pair_hash(before, words[inverse]), return_index=True, return_inverse=True)
-    seen = have.look_up("bigram", ("counts",), pairs, bigram_shard(before[first], words[inverse][first], m.shards, m.frequent))[:, 0]
-    total = followers[:, 3]
-    share = np.where(total > 0, followers[:, :3] @ np.array(m.bigram_discounts) / np.maximum(total, 1), 1.0)
-    seen = seen[place]
-    higher = np.maximum(seen - _discount(seen, m.bigram_discounts), 0) / np.maximum(total[at], 1)
-    return count[inverse], np.log10(np.where(total[at] > 0, higher, 0) + share[at] * word_p[inverse])
+    words = short(types)
+    after = count if m.order == 1 else have.look_up("continuation", mix64(words), shard_of(words, m.shards))[:, 0]
+    saved = sum(d * n for d, n in zip(m.discounts[0], m.word_counts, strict=True)) / m.word_total
+    p = (np.maximum(after - _discount(after, m.discounts[0]), 0) / m.word_total + saved * uniform)[inverse]
+
+    columns = columns_of(tokens, sizes, m.order) if m.order > 1 else []
+    for level, d in enumerate(m.discounts[1:], 2):
+        hashes = context_hash(columns, level)
+        context, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        spread, _ = spread_parts(columns[0][first], m.frequent)
+        followers = np.zeros((len(context), 4), np.int64)
+        followers[~spread] = have.look_up(f"context{level}", context[~spread], shard_of(columns[0][first[~spread]], m.shards), 4)
+        followers[spread] = have.look_up(f"spread{level}", context[spread], shard_of(context[spread], m.shards), 4)
+        grams, first, place = np.unique(pair_hash(hashes, columns[1]), return_index=True, return_inverse=True)
+        seen = have.look_up(f"gram{level}", grams, gram_shard(columns[0][first], columns[1][first], m.shards, m.frequent))[place, 0]
+        total = followers[:, 3]
+        share = np.where(total > 0, followers[:, :3] @ np.array(d) / np.maximum(total, 1), 1.0)
+        higher = np.maximum(seen - _discount(seen, d), 0) / np.maximum(total[at], 1)
+        p = np.where(total[at] > 0, higher, 0) + share[at] * p
+    return count[inverse], np.log10(p)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
