@@ -33,6 +33,7 @@ from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tripstar.llm.tables import stored
@@ -132,9 +133,21 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
 
 
+def sorting(columns: list[np.ndarray]) -> np.ndarray:
+    """Order of the rows, column by column; by one number for each row where the columns' ranks fit into 64 bits."""
+    ranks = [np.unique(c, return_inverse=True) for c in columns]
+    bits = [len(values).bit_length() for values, _ in ranks]
+    if sum(bits) > 64:
+        return np.lexsort([r for _, r in ranks[::-1]])
+    key = np.zeros(len(columns[0]), U64)
+    for n, (_, rank) in zip(bits, ranks, strict=True):
+        key = (key << U64(n)) | rank.astype(U64)
+    return np.argsort(key)
+
+
 def distinct(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Sorted distinct n-grams with the sums of their counts."""
-    order = np.lexsort(columns[::-1])
+    order = sorting(columns)
     columns = [c[order] for c in columns]
     new = np.flatnonzero(edges(columns))
     return [c[new] for c in columns], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
@@ -190,28 +203,40 @@ def _counts(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+def numbered(values: np.ndarray, width: int) -> list[bytes]:
+    """The different values, frequent ones first, and the number of each value among them."""
+    different, number, n = np.unique(values, return_inverse=True, return_counts=True)
+    rank = np.empty(len(n), np.int64)
+    rank[by := np.argsort(-n, kind="stable")] = np.arange(len(n))
+    return [_planes(different[by], width), _planes(rank[number].astype(U64), _width(len(n)))]
+
+
+def _width(n: int) -> int:
+    return -(-n.bit_length() // 8)
+
+
 def folded(columns: list[np.ndarray], counts: np.ndarray, width: int) -> list[bytes]:
-    """Sorted rows with each run of equal beginnings stored once, and bits that say where a run begins."""
+    """Sorted rows with each run of equal beginnings stored once: the first column, then for each other one its
+    values, their numbers and bits that say where a run begins, then the counts; each compressed."""
     out, new = [], np.zeros(len(counts), bool)
     for depth, column in enumerate(columns):
         above, new = new, new | edges([column])
         at = np.flatnonzero(new)
-        out.append(_planes(column[at], width))
-        if depth:
-            out.append(np.packbits(above[at]).tobytes())
-    return [*out, _narrow(counts)]
+        out += [*numbered(column[at], width), np.packbits(above[at]).tobytes()] if depth else [_planes(column[at], width)]
+    pack = zstandard.ZstdCompressor(level=1)
+    return [pack.compress(x) for x in (*out, _narrow(counts))]
 
 
 def unfolded(parts: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
-    values = [_values(p, width) for p in (parts[0], *parts[1:-1:2])]
-    row = np.arange(len(values[-1]))
-    columns = [values[-1]]
-    for column, bits in zip(values[-2::-1], parts[-2:0:-2], strict=True):
-        below = len(values[len(values) - len(columns)])
-        run = np.cumsum(np.unpackbits(np.frombuffer(bits, np.uint8), count=below)) - 1
-        row = run[row]
-        columns.append(column[row])
-    return columns[::-1], _counts(parts[-1], len(values[-1]))
+    unpack = zstandard.ZstdDecompressor()
+    first, *rest, counts = (unpack.decompress(p) for p in parts)
+    columns = [_values(first, width)]
+    for different, number, bits in zip(rest[::3], rest[1::3], rest[2::3], strict=True):
+        values = _values(different, width)
+        rank = _values(number, _width(len(values))).astype(np.int64)
+        run = np.cumsum(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(rank))) - 1
+        columns = [*(c[run] for c in columns), values[rank]]
+    return columns, _counts(counts, len(columns[-1]))
 
 
 def _parts(shard: np.ndarray, columns: list[np.ndarray], counts: np.ndarray, width: int) -> pa.RecordBatch:
