@@ -300,13 +300,22 @@ def test_folded_rows():
 
 
 def test_counts_and_keys_of_a_file(tmp_path):
-    keys = np.array([5 << 32 | 1 << 16, 5 << 32 | 2 << 16, 5 << 32 | 9 << 16, 7 << 32], np.uint64)
-    values = np.array([1, 254, 255, 1 << 40])
-    by, arrays = kneser_ney.key_arrays(keys, False)
-    kneser_ney.save(str(tmp_path), "k", 0, arrays | kneser_ney.count_arrays(values[by]))
-    model = kneser_ney.Model(str(tmp_path), 2, 1, 0, 0, {}, (), (0, 0, 0), 0, frozenset([("k", 0)]))
-    asked = np.append(keys, np.array([5 << 32 | 3 << 16, 8 << 32], np.uint64))
-    assert kneser_ney.Tables(model).look_up("k", asked, np.zeros(6, int))[:, 0].tolist() == [*values, 0, 0]
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
+    values = np.where(rng.random(len(keys)) < 0.1, rng.integers(250, 1 << 40, len(keys)), rng.integers(1, 256, len(keys)))
+    table = np.column_stack([values % 7, values % 400])
+    for whole in (False, True):
+        for n in (0, 1, 20, len(keys)):
+            by, arrays = kneser_ney.key_arrays(keys[:n][::-1], whole)
+            kneser_ney.save(str(tmp_path), "k", 0, arrays | kneser_ney.count_arrays(values[:n][::-1][by]))
+            kneser_ney.save(str(tmp_path), "r", 0, arrays | kneser_ney.row_arrays(table[:n][::-1][by]))
+            model = kneser_ney.Model(str(tmp_path), 2, 1, 0, 0, {}, (), (0, 0, 0), 0, frozenset([("k", 0), ("r", 0)]))
+            asked = np.concatenate([keys[:n], keys + np.uint64((1 << 40) + 1), keys[:n]])
+            where = np.zeros(len(asked), np.int64)
+            absent = [0] * len(keys)
+            got = kneser_ney.Tables(model)
+            assert got.look_up("k", asked, where)[:, 0].tolist() == [*values[:n], *absent, *values[:n]]
+            assert (got.look_up("r", asked, where, 2) == np.concatenate([table[:n], np.zeros((len(keys), 2), int), table[:n]])).all()
 
 
 def test_language_model_missing_file(frame, monkeypatch):

@@ -12,8 +12,8 @@ number of different words before them. Each level is discounted (modified Kneser
 interpolated with the next shorter one, the last with the uniform distribution over all known tokens and one
 unknown. Before a text stand order - 1 start marks, so each token has a whole context.
 
-Files: plain arrays in one file for each kind and shard, under the shared folder: ascending hashes (48 bits within a
-shard, 64 for single tokens) and their counts. Workers memory-map them and look up the distinct keys
+Files: plain arrays in one file for each kind and shard, under the shared folder: ascending hashes (buckets of about ten
+by their first bits, then 32 bits; all 64 for single tokens) and their counts. Workers memory-map them and look up the distinct keys
 of a block in ascending order. The model is never gathered in the driver or copied into a worker. It names the
 files that were written: one of theirs that a worker can't see is an error, and at most MAPPED are open at a time.
 
@@ -292,11 +292,19 @@ def mapped(path: str) -> dict[str, np.ndarray]:
 
 
 def key_arrays(keys: np.ndarray, whole: bool) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Order of the keys, and their first 32 bits and next 16 (or all others) as arrays."""
+    """Order of the keys, and as arrays: where each bucket of first bits starts, and the next 32 bits (or all) of each key."""
     order = np.argsort(keys)
     keys = keys[order]
-    low = (keys & U64(0xFFFFFFFF)).astype("<u4") if whole else ((keys >> U64(16)) & U64(0xFFFF)).astype("<u2")
-    return order, {"high": (keys >> U64(32)).astype("<u4"), "low": low}
+    bits = max(0, len(keys).bit_length() - 4)  # about ten keys in a bucket
+    bucket, rest = bucket_of(keys, bits, whole)
+    start = np.zeros((1 << bits) + 1, "<u4")
+    start[1:] = np.cumsum(np.bincount(bucket, minlength=1 << bits))
+    return order, {"start": start, "rest": rest}
+
+
+def bucket_of(keys: np.ndarray, bits: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    bucket = (keys >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    return bucket, keys.astype("<u8") if whole else (keys >> U64(32 - bits) & U64(0xFFFFFFFF)).astype("<u4")
 
 
 def count_arrays(counts: np.ndarray) -> dict[str, np.ndarray]:
@@ -309,10 +317,13 @@ def row_arrays(rows: np.ndarray) -> dict[str, np.ndarray]:
     """Rows as numbers of different rows, frequent ones first, so that most numbers take a byte."""
     if not len(rows):
         return {**count_arrays(np.zeros(0, np.int64)), "rows": np.zeros(0, "<i8")}
-    different, number, n = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
+    code = np.zeros(len(rows), U64)
+    for column in rows.T:
+        code = pair_hash(code, column.astype(U64))
+    _, first, number, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
     rank = np.empty(len(n), np.int64)
     rank[by := np.argsort(-n, kind="stable")] = np.arange(len(n))
-    return {**count_arrays(rank[number.ravel()]), "rows": different[by].astype("<i8").ravel()}
+    return {**count_arrays(rank[number]), "rows": rows[first[by]].astype("<i8").ravel()}
 
 
 def _tallies(n: np.ndarray) -> list[int]:
@@ -495,36 +506,40 @@ class Tables:
         return self._open[key]
 
     def look_up(self, kind: str, keys: np.ndarray, shard: np.ndarray, width: int = 1) -> np.ndarray:
-        """A row of width values for each key, 0 where it is absent. Keys ascend, so each file is read in order."""
-        out = np.zeros((len(keys), width), np.int64)
-        for s, mine in by_shard(shard):
+        """A row of width values for each key, 0 where it is absent. Distinct keys are read once, in the order of the files."""
+        if not len(keys):
+            return np.zeros((0, width), np.int64)
+        bits = self.model.shards.bit_length()
+        own, inverse = np.unique((shard.astype(U64) << U64(64 - bits)) | (keys >> U64(bits)), return_inverse=True)
+        some = np.empty(len(own), np.int64)
+        some[inverse] = np.arange(len(keys))
+        keys = keys[some]
+        out = np.zeros((len(own), width), np.int64)
+        files, first = np.unique(own >> U64(64 - bits), return_index=True)
+        for s, a, b in zip(files.tolist(), first.tolist(), [*first[1:].tolist(), len(own)], strict=True):
             have = self._map(kind, s)
-            if have is None or not len(have["high"]):
+            if have is None or not len(have["rest"]):
                 continue
-            at, hit = places(have["high"], have["low"], keys[mine])
-            at, mine = at[hit], mine[hit]
+            at, hit = places(have["start"], have["rest"], keys[a:b])
+            at, mine = at[hit], a + np.flatnonzero(hit)
             number = have["counts"][at].astype(np.int64)
-            big = number == 255
-            number[big] = have["large"][np.searchsorted(have["large_at"], at[big])]
+            big = np.flatnonzero(number == 255)
+            if len(big):
+                number[big] = have["large"][np.searchsorted(have["large_at"], at[big])]
             out[mine] = have["rows"].reshape(-1, width)[number] if "rows" in have else number[:, None]
-        return out
-
-
-def places(high: np.ndarray, low: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each key stands, and whether it is there at all."""
-    top = (keys >> U64(32)).astype("<u4")
-    rest = (keys >> U64(16) & U64(0xFFFF) if low.dtype.itemsize == 2 else keys & U64(0xFFFFFFFF)).astype(low.dtype)
-    at = np.searchsorted(high, top)
-    hit = np.zeros(len(keys), bool)
-    open_ = np.flatnonzero(at < len(high))
-    while len(open_):  # the first 32 bits are seldom shared
-        open_ = open_[high[at[open_]] == top[open_]]
-        same = low[at[open_]] == rest[open_]
-        hit[open_[same]] = True
-        open_ = open_[~same]
-        at[open_] += 1
-        open_ = open_[at[open_] < len(high)]
-    return at, hit
+        return out[inverse]
+
+
+def places(start: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands, and whether it is there at all: bisection within the keys' buckets, all at once."""
+    bucket, wanted = bucket_of(keys, (len(start) - 1).bit_length() - 1, rest.dtype.itemsize == 8)
+    low, high = start[bucket].astype(np.int64), start[bucket + 1].astype(np.int64)
+    end, last = high.copy(), len(rest) - 1
+    for _ in range(int((high - low).max(initial=0)).bit_length()):
+        middle = (low + high) >> 1
+        right = (rest[np.minimum(middle, last)] < wanted) & (low < high)
+        low, high = np.where(right, middle + 1, low), np.where(right, high, middle)
+    return low, (low < end) & (rest[np.minimum(low, last)] == wanted)
 
 
 _TABLES: dict[str, Tables] = {}
@@ -555,19 +570,19 @@ def log_probabilities(model: Model, tokens: np.ndarray, sizes: np.ndarray) -> tu
     p = (np.maximum(after - _discount(after, m.discounts[0]), 0) / m.word_total + saved * uniform)[inverse]
 
     columns = columns_of(tokens, sizes, m.order) if m.order > 1 else []
+    if columns:
+        place = gram_shard(columns[0], columns[1], m.shards, m.frequent)
+        context_place, (spread, _) = shard_of(columns[0], m.shards), spread_parts(columns[0], m.frequent)
     for level, d in enumerate(m.discounts[1:], 2):
-        hashes = context_hash(columns, level)
-        context, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-        spread, _ = spread_parts(columns[0][first], m.frequent)
-        followers = np.zeros((len(context), 4), np.int64)
-        followers[~spread] = have.look_up(f"context{level}", context[~spread], shard_of(columns[0][first[~spread]], m.shards), 4)
-        followers[spread] = have.look_up(f"spread{level}", context[spread], shard_of(context[spread], m.shards), 4)
-        grams, first, place = np.unique(pair_hash(hashes, columns[1]), return_index=True, return_inverse=True)
-        seen = have.look_up(f"gram{level}", grams, gram_shard(columns[0][first], columns[1][first], m.shards, m.frequent))[place, 0]
+        contexts = context_hash(columns, level)
+        seen = have.look_up(f"gram{level}", pair_hash(contexts, columns[1]), place)[:, 0]
+        followers = np.zeros((len(tokens), 4), np.int64)
+        followers[~spread] = have.look_up(f"context{level}", contexts[~spread], context_place[~spread], 4)
+        followers[spread] = have.look_up(f"spread{level}", contexts[spread], shard_of(contexts[spread], m.shards), 4)
         total = followers[:, 3]
         share = np.where(total > 0, followers[:, :3] @ np.array(d) / np.maximum(total, 1), 1.0)
-        higher = np.maximum(seen - _discount(seen, d), 0) / np.maximum(total[at], 1)
-        p = np.where(total[at] > 0, higher, 0) + share[at] * p
+        higher = np.maximum(seen - _discount(seen, d), 0) / np.maximum(total, 1)
+        p = np.where(total > 0, higher, 0) + share * p
     return count[inverse], np.log10(p)
 
 
