@@ -262,6 +262,22 @@ def test_recall(spark):
     assert hits >= 0.95 * 20 * len(found)
 
 
+def test_window_follows_the_sample(spark):
+    """Points without structure: a window far too small is widened until the sample is found."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((6000, 24))
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    vectors = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>").repartition(6)
+    products = x @ x.T
+    np.fill_diagonal(products, -np.inf)
+
+    def share(sample):
+        found = neighbours.nearest(vectors, lambda i: i % 50 == 0, k=10, curves=4, window=4, sample=sample).collect()
+        return sum(r.vec_id in set(np.argsort(-products[r.query_id])[:10].tolist()) for r in found) / (120 * 10)
+
+    assert share(0) < 0.8 and share(64) >= 0.93
+
+
 # language model
 
 

@@ -7,8 +7,9 @@ them along a Hilbert curve. Spark range-partitions all curves at once by (curve,
 each query is compared with the points of its block and of WINDOW places on both sides, by exact inner
 products in double precision. The best of all curves are merged.
 
-Recall depends on the number of curves and the window only; both are parameters. Points without
-structure (all pairs about equally near) need many curves: see the README for measured figures.
+The window follows the data: for SAMPLE queries the true neighbours are found by brute force, and the places
+between each query and each of them are counted on every curve; the window is the one that holds RECALL of
+them, WINDOW at least. So effort grows with the points where they have no structure: see the README for figures.
 
 Defined cases: vectors that are NULL, empty or zero, hold NULL or non-finite components, or differ in length
 from the most frequent length take no part; rows with NULL vec_id take no part; of rows with one vec_id
@@ -30,6 +31,8 @@ DIMENSIONS = 12
 BITS = 5
 WINDOW = 256
 BLOCK = 256
+SAMPLE = 64  # queries whose true neighbours set the window
+RECALL = 0.97
 SEED = 99
 
 
@@ -120,6 +123,14 @@ def distinct_points(rows: DataFrame, keep: int) -> DataFrame:
     return parts.groupBy("v").agg(ids.alias("ids"), F.max("asks").alias("asks")).withColumn("point", F.col("ids")[0])
 
 
+def on_sphere(v: pa.ChunkedArray | pa.Array, longest: float, number: str) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors as points of length 1, by one more coordinate, and as queries, by their direction."""
+    x = _matrix(v, number) / longest
+    length = np.sqrt((x * x).sum(1))
+    data = np.column_stack([x, np.sqrt(np.maximum(1 - length**2, 0))])
+    return data, np.column_stack([x / length[:, None], np.zeros(len(x))])
+
+
 def along_curves(points: DataFrame, longest: float, curves: int, number: str) -> DataFrame:
     """curve, key, point, v, asked: each point once on each curve, and points that ask once more as a query."""
 
@@ -127,11 +138,9 @@ def along_curves(points: DataFrame, longest: float, curves: int, number: str) ->
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                x = _matrix(part.column("v"), number) / longest
-                length = np.sqrt((x * x).sum(1))
-                data = np.column_stack([x, np.sqrt(np.maximum(1 - length**2, 0))])
+                data, query = on_sphere(part.column("v"), longest, number)
                 asks = np.flatnonzero(part.column("asks").to_numpy(zero_copy_only=False))
-                query = np.column_stack([x[asks] / length[asks, None], np.zeros(len(asks))])
+                query = query[asks]
                 for curve in range(curves):
                     for kind, coordinates, own in ((False, data, part), (True, query, part.take(pa.array(asks)))):
                         n = own.num_rows
@@ -159,7 +168,7 @@ def search_windows(placed: DataFrame, k: int, window: int, partitions: int, numb
     hit = pa.list_(pa.struct([("score", pa.float64()), ("point", pa.int64())]))
 
     def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Consecutive rows of one curve, each table with the last 2 * window + BLOCK rows of the one before."""
+        """Consecutive rows of one curve, each table with the last 2 * window rows of the one before."""
         held, curve, fresh = None, None, 0
         for batch in batches:
             curves = batch.column("curve").to_numpy()
@@ -173,7 +182,7 @@ def search_windows(placed: DataFrame, k: int, window: int, partitions: int, numb
                     held, curve, fresh = rows, curves[part[0]], 0
                 else:
                     held = pa.concat_tables([held, rows])
-                if held.num_rows > 16 * (window + BLOCK):
+                if held.num_rows > 4 * window + 28 * BLOCK:
                     yield held, fresh, False
                     # queries before here had their whole window; the rest is looked at again
                     done = held.num_rows - window
@@ -204,6 +213,67 @@ def search_windows(placed: DataFrame, k: int, window: int, partitions: int, numb
     return dealt.mapInArrow(search, "query bigint, found array<struct<score: double, point: bigint>>")
 
 
+def true_neighbours(points: DataFrame, sample: list, k: int, number: str) -> DataFrame:
+    """query, point, v: the k nearest points of each sampled one, by brute force."""
+    names = np.array([r.point for r in sample])
+    asked = np.frombuffer(b"".join(bytes(r.v) for r in sample), number).reshape(len(sample), -1).astype(np.float64)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores, ids, vectors = np.zeros((len(names), 0)), np.zeros((len(names), 0), np.int64), np.zeros((len(names), 0), object)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                point, raw = part.column("point").to_numpy(), np.array(part.column("v").to_pylist(), object)
+                new = asked @ _matrix(part.column("v"), number).T
+                new[names[:, None] == point] = -np.inf
+                scores = np.concatenate([scores, new], axis=1)
+                ids, vectors = (np.concatenate([old, np.broadcast_to(x, new.shape)], axis=1) for old, x in ((ids, point), (vectors, raw)))
+                best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+                scores, ids, vectors = (np.take_along_axis(x, best, 1) for x in (scores, ids, vectors))
+        row, column = np.nonzero(np.isfinite(scores))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names[row]), pa.array(scores[row, column]), pa.array(ids[row, column]), pa.array(vectors[row, column], pa.binary())], names=["query", "score", "point", "v"]
+        )
+
+    found = points.select("point", "v").mapInArrow(search, "query bigint, score double, point bigint, v binary")
+    order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "point", "v")))
+    return found.groupBy("query").agg(F.slice(order, 1, k).alias("all")).select("query", F.explode("all").alias("hit")).select("query", "hit.point", "hit.v")
+
+
+def fitted_window(points: DataFrame, k: int, longest: float, curves: int, number: str, sample: int, recall: float) -> int:
+    """The least window in which that share of the true neighbours of sampled queries lies on some curve."""
+    some = points.where("asks").select("point", "v").orderBy(F.xxhash64("point"), "point").limit(sample).collect()
+    pairs = true_neighbours(points, some, k, number).collect() if some else []  # sample * k rows
+    if not pairs:
+        return 0
+    place = {r.point: i for i, r in enumerate(some)}
+    _, queries = on_sphere(pa.array([bytes(r.v) for r in some], pa.binary()), longest, number)
+    near, _ = on_sphere(pa.array([bytes(r.v) for r in pairs], pa.binary()), longest, number)
+    keys = np.array([np.concatenate([curve_keys(queries, c), curve_keys(near, c)]) for c in range(curves)])
+    bounds = [np.unique(row) for row in keys]
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [np.zeros(len(b) + 1, np.int64) for b in bounds]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                data, _ = on_sphere(batch.column("v").slice(at, 2048), longest, number)
+                for c, b in enumerate(bounds):
+                    counts[c] += np.bincount(np.searchsorted(b, curve_keys(data, c), "right"), minlength=len(b) + 1)
+        for c, n in enumerate(counts):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), c, np.int32)), pa.array(np.arange(len(n))), pa.array(n)], names=["curve", "slot", "n"])
+
+    counted = points.select("v").mapInArrow(between, "curve int, slot bigint, n bigint").groupBy("curve", "slot").agg(F.sum("n").alias("n"))
+    counts = [np.zeros(len(b) + 1, np.int64) for b in bounds]
+    for r in counted.collect():  # curves * sample * (k + 1) rows
+        counts[r.curve][r.slot] = r.n
+    asked = np.array([place[r.query] for r in pairs])
+    apart = np.full(len(pairs), np.iinfo(np.int64).max)
+    for row, b, n in zip(keys, bounds, counts, strict=True):
+        rank = np.cumsum(n)[np.searchsorted(b, row)]
+        apart = np.minimum(apart, np.abs(rank[len(some) :] - rank[asked]))
+    return int(np.quantile(apart, recall, method="higher"))
+
+
 def reranked(pairs: DataFrame, number: str) -> DataFrame:
     """query, point, score of pairs (query, point, v, w), each score worked out in the same way."""
 
@@ -216,8 +286,13 @@ def reranked(pairs: DataFrame, number: str) -> DataFrame:
     return pairs.select("query", "point", "v", "w").mapInArrow(rerank, "query bigint, point bigint, score double")
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, curves: int = CURVES, window: int = WINDOW, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each row for which is_query(vec_id) holds."""
+def nearest(
+    vectors: DataFrame, is_query, k: int = 20, curves: int = CURVES, window: int = WINDOW, sample: int = SAMPLE, recall: float = RECALL, vec_id: str = "vec_id", embedding: str = "embedding"
+) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found of each row for which is_query(vec_id) holds.
+
+    The window is the given one or, if larger, what the sample needs for that recall (sample 0: the given one).
+    """
     spark = vectors.sparkSession
     number = number_kind(vectors, embedding)
     rows = stored(usable(vectors, vec_id, embedding, number).withColumn("q", is_query(F.col("vec_id"))))
@@ -230,7 +305,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, curves: int = CURVES, win
                 yield pa.RecordBatch.from_arrays([pa.array([1]), pa.array([float(longest)])], names=["n", "longest"])
 
     longest = points.select("v").mapInArrow(lengths, "n bigint, longest double").agg(F.max("longest")).first()[0] or 1.0
-    partitions = max(shuffle_partitions(spark), curves * points.count() // (1 << 16))
+    n, asking = points.agg(F.count("*"), F.count_if("asks")).first()
+    # queries stand among the points, each once on every curve
+    window = max(window, int(fitted_window(points, k, longest, curves, number, sample, recall) * (1 + asking / max(n, 1))))
+    partitions = max(shuffle_partitions(spark), curves * n // max(1 << 16, 16 * window))
     found = search_windows(along_curves(points, longest, curves, number), k + 1, window, partitions, number)
     hits = stored(found.select("query", F.explode("found").alias("hit")).groupBy("query", "hit.point").agg(F.max("hit.score").alias("score")))
     # a few more than asked for: their scores are worked out anew, which may change the order of near ties
