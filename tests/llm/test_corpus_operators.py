@@ -203,6 +203,41 @@ def test_packing_odd(frame, odd_rows):
 # neighbours
 
 
+def test_retrieval_scores():
+    """BM25 of the index against the formula, worked out rest by rest."""
+    rng = np.random.default_rng(7)
+    rests = [rng.zipf(1.4, n).astype(np.uint16) % 300 for n in rng.integers(1, 60, 40)]
+    seen = np.bincount(np.concatenate([np.unique(r) for r in rests]), minlength=packing.VOCABULARY)
+    idf = np.log(1 + (len(rests) - seen + 0.5) / (seen + 0.5))
+    average = sum(map(len, rests)) / len(rests)
+    index = packing.Index(rests, idf, average)
+
+    def weight(term, rest):
+        tf = int((rest == term).sum())
+        return idf[term] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(rest) / average))
+
+    for row in range(len(rests)):
+        terms = sorted(set(rests[row].tolist()), key=lambda t: (-weight(t, rests[row]), t))[: packing.QUERY_TERMS]
+        assert index.scores(row) == pytest.approx([sum(weight(t, r) for t in terms) for r in rests])
+
+
+def test_keys_bring_rare_ids_together():
+    """Rests that share their rare ids get equal keys far more often than those that share a frequent one."""
+    idf, frequency = np.full(packing.VOCABULARY, 6.0), np.full(packing.VOCABULARY, 100)
+    idf[:10], frequency[:10] = 0.03, 100_000
+    numbers = packing.marks(idf, frequency)
+    rng = np.random.default_rng(8)
+    rare = rng.integers(10, packing.VOCABULARY, (500, 12))
+    common = np.arange(10)
+
+    def agree(a, b):
+        return np.mean([n[x].min() == n[y].min() for n in numbers for x, y in zip(a, b, strict=True)])
+
+    with_common = [np.concatenate([r, common]) for r in rare]
+    assert agree(rare, with_common) > 0.95
+    assert agree(with_common[1:], with_common[:-1]) < 0.05
+
+
 def test_hilbert_curve_is_a_curve():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     keys = neighbours.hilbert_keys(cells, 3)

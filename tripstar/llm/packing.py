@@ -1,7 +1,8 @@
 """Packing of documents into training windows by lexical retrieval.
 
-A document's ids are cut into whole windows and one rest. Rests are dealt by a MinHash of their tokens, so
-that similar ones come together, to shards of SHARD rests. Each shard has a BM25 inverted index of its
+A document's ids are cut into whole windows and one rest. Rests are dealt by weighted MinHashes of their ids, rare ids
+weighing most as in BM25: rests that share their rare ids get equal keys, and within a key the next ones go
+on separating, so that similar ones come together. Consecutive ones make shards of SHARD rests. Each shard has a BM25 inverted index of its
 rests, with document frequencies and the average length taken over all rests. A window starts with the
 next unused rest; its heaviest terms are looked up, and the best unused neighbours follow until the
 window is full. The neighbour that does not fit is cut, and what remains of it starts the next window.
@@ -28,12 +29,13 @@ from tripstar.llm.text import U64, blocks, mix64, ranges
 
 WINDOW = 1024
 SHARD = 2048
+KEYS = 4
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16
 END = 0
 
-PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, key bigint, ids binary"
+PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
@@ -48,17 +50,16 @@ def sequence_number(partition: int, count: int, rest: bool) -> int:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(NAMES)
-    kinds = [pa.int64()] * 8 + [pa.binary()]
+    kinds = [pa.int64()] * 7 + [pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=NAMES)
 
 
 def tokenized(docs: DataFrame, path: str, window: int, keep_ids: bool) -> DataFrame:
-    """Whole windows with their sequence, and rests (sequence NULL) with key and ids."""
+    """Whole windows with their sequence, and rests (sequence NULL) with ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         partition, count = TaskContext.get().partitionId(), 0
-        marks = mix64(np.arange(1, VOCABULARY + 1, dtype=U64))
         for batch in batches:
             for part, block in blocks(batch):
                 ids, sizes = encoder(path).encode(block)
@@ -70,11 +71,10 @@ def tokenized(docs: DataFrame, path: str, window: int, keep_ids: bool) -> DataFr
                         piece = own[at : at + window]
                         if len(piece) == window:
                             number = sequence_number(partition, count, False)
-                            rows.append((doc, at, window, crc(piece), n + 1, number, 0, None, piece.tobytes() if keep_ids else None))
+                            rows.append((doc, at, window, crc(piece), n + 1, number, 0, piece.tobytes() if keep_ids else None))
                             count += 1
                         else:
-                            key = int(marks[piece].min().view(np.int64))
-                            rows.append((doc, at, len(piece), crc(piece), n + 1, None, None, key, piece.tobytes()))
+                            rows.append((doc, at, len(piece), crc(piece), n + 1, None, None, piece.tobytes()))
                 yield _batch(rows)
 
     return docs.mapInArrow(cut, PIECES)
@@ -99,6 +99,36 @@ def rest_statistics(rests: DataFrame) -> tuple[np.ndarray, int, float]:
     return frequency, n, tokens / max(n, 1)
 
 
+def marks(idf: np.ndarray, frequency: np.ndarray) -> list[np.ndarray]:
+    """For each key a number for each id, exponentially distributed with a rate that grows with the id's rarity; an id
+    of one rest brings nothing together and has none.
+
+    The least of a rest's numbers is its key: an id wins in proportion to its rate, and two rests agree with the
+    probability of their weighted overlap.
+    """
+    draws = [(mix64(np.arange(1, VOCABULARY + 1, dtype=U64) + U64(k << 32)) >> U64(11)).astype(np.float64) + 0.5 for k in range(1, KEYS + 1)]
+    rate = idf * (1 - 1 / np.maximum(frequency, 1))
+    return [np.where(rate > 0, -np.log(d / (1 << 53)) / np.maximum(rate, 1e-300), np.inf) for d in draws]
+
+
+def keyed(rests: DataFrame, of_ids) -> DataFrame:
+    """The rests with key_0, key_1, ...; of_ids() gives the numbers of the ids."""
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = of_ids()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.column("ids").to_pylist()
+            ids = np.frombuffer(b"".join(rows), np.uint16)
+            first = np.cumsum([0, *(len(r) // 2 for r in rows[:-1])])
+            keys = [pa.array(np.minimum.reduceat(n[ids], first)) for n in numbers]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *keys], names=[*batch.schema.names, *(f"key_{k}" for k in range(KEYS))])
+
+    kinds = ", ".join(f"key_{k} double" for k in range(KEYS))
+    return rests.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(key, f"doc_id bigint, start bigint, doc_tokens bigint, ids binary, {kinds}")
+
+
 class Index:
     """BM25 inverted index of the rests of one shard."""
 
@@ -162,7 +192,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, sh
     rests = pieces.where("sequence_id IS NULL")
     frequency, n, average = rest_statistics(rests)
     idf = np.log(1 + (n - frequency + 0.5) / (frequency + 0.5))
-    shared = spark.sparkContext.broadcast((idf, average))  # a number for each id of the vocabulary
+    shared = spark.sparkContext.broadcast((idf, average, frequency))  # two numbers for each id of the vocabulary
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, count = TaskContext.get().partitionId(), 0
@@ -170,18 +200,19 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, sh
             doc, start, tokens = (table.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens"))
             ids = [np.frombuffer(x, np.uint16) for x in table.column("ids").to_pylist()]
             rows = []
-            for pieces in fill(ids, Index(ids, *shared.value), window):
+            for pieces in fill(ids, Index(ids, *shared.value[:2]), window):
                 number, offset = sequence_number(partition, count, True), 0
                 count += 1
                 for row, a, b in pieces:
                     piece = ids[row][a:b]
-                    rows.append((doc[row], start[row] + a, b - a, crc(piece), tokens[row], number, offset, None, piece.tobytes() if keep_ids else None))
+                    rows.append((doc[row], start[row] + a, b - a, crc(piece), tokens[row], number, offset, piece.tobytes() if keep_ids else None))
                     offset += b - a
             yield _batch(rows)
 
-    dealt = rests.select("doc_id", "start", "doc_tokens", "key", "ids").repartitionByRange(shuffle_partitions(spark), "key", "doc_id", "start")
-    filled = dealt.sortWithinPartitions("key", "doc_id", "start").mapInArrow(packed, PIECES)
-    every = pieces.where("sequence_id IS NOT NULL").unionByName(filled).drop("key")
+    order = [*(f"key_{k}" for k in range(KEYS)), "doc_id", "start"]
+    dealt = keyed(rests, lambda: marks(shared.value[0], shared.value[2])).repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    filled = dealt.mapInArrow(packed, PIECES)
+    every = pieces.where("sequence_id IS NOT NULL").unionByName(filled)
     return every if keep_ids else every.drop("ids")
 
 
