@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from tripstar.llm.text import NOT_SPACE, Block, ranges, span_hashes
 
-CACHE = 1 << 20  # stretches remembered by a worker, in about 20 bytes each
+CACHE = 1 << 21  # stretches remembered by a worker, in about 20 bytes each
 ENCODED_AT_ONCE = 1 << 12  # the tokenizer's own results are large
 
 
@@ -77,7 +77,9 @@ class Encoder:
         ends = np.append(starts[1:], len(data))
         ends = np.minimum(ends, block.ends[text])
         hashes = span_hashes(data, starts, ends)
-        own, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        own, inverse = np.unique(hashes, return_inverse=True)
+        first = np.empty(len(own), np.int64)
+        first[inverse] = np.arange(len(hashes))  # any of the equal ones
         if len(self._keys) > CACHE:
             self._forget()
         new = np.flatnonzero(~self._known(own))
