@@ -13,7 +13,7 @@ from tripstar.operators.lookup import Lookup, star_lookup
 from tripstar.plans import gold as gold_plan
 from tripstar.plans.ingest import ingest
 from tripstar.plans.report import run_report
-from tripstar.plans.trip_view import FILE_YEAR, table, trip_columns, trip_view
+from tripstar.plans.trip_view import FILE_YEAR, dealt_trip_view, table, trip_columns, trip_view
 from tripstar.schemas import (
     DROPOFF,
     ERROR_FOLDER,
@@ -29,6 +29,7 @@ from tripstar.schemas import (
 )
 from tripstar.session import many_small_files, scratch_folder
 from tripstar.sources import layers, raw
+from tripstar.sources.files import rename_partitions
 from tripstar.streaming.file_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,6 +424,11 @@ def _times_as_text(trips: DataFrame, form: str = "yyyy-MM-dd HH:mm:ss") -> DataF
     return trips.withColumns({c: F.date_format(c, form) for c in (PICKUP, DROPOFF)})
 
 
+def _dealt_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """``_trips`` dealt out by monthly file, for writing."""
+    return trip_columns(dealt_trip_view(spark, sf))
+
+
 def _write_csv(text: DataFrame, folder: str, mode: str = "error") -> None:
     """Headered CSV, one directory of part files per monthly file."""
     with many_small_files(text.sparkSession):
@@ -645,7 +651,8 @@ def csv_stopped_build(spark: SparkSession, sf: str) -> DataFrame:
 def csv_empty_run(spark: SparkSession, sf: str) -> DataFrame:
     """Totals of a run that finds nothing new, and the files that it skipped."""
     layout = _new_layout(spark)
-    _write_csv(_times_as_text(_clean(spark, sf)), layout.raw)  # a file without clean rows would be taken again
+    clean = rules.clean_rows(dealt_trip_view(spark, sf), TRIP_RULES)
+    _write_csv(_times_as_text(trip_columns(clean)), layout.raw)  # a file without clean rows would be taken again
     ingest(spark, layout, pattern=MONTHS)
     run = ingest(spark, layout, pattern=MONTHS)
     return quality.run_totals(run.metrics).withColumn("skipped", F.lit(run.skipped.count()).cast("bigint"))
@@ -655,7 +662,7 @@ def csv_empty_run(spark: SparkSession, sf: str) -> DataFrame:
 def csv_gold_skipped(spark: SparkSession, sf: str) -> DataFrame:
     """Result of a build without any silver row, and the files that were looked at."""
     layout = _new_layout(spark)
-    _write_csv(_times_as_text(_trips(spark, sf)).withColumn("trip_distance", F.lit(0.0)), layout.raw)
+    _write_csv(_times_as_text(_dealt_trips(spark, sf)).withColumn("trip_distance", F.lit(0.0)), layout.raw)
     run = ingest(spark, layout, pattern=MONTHS)
     built = gold_plan.build_gold(spark, layout).first()
     return run.metrics.select(SOURCE_FILE, "total", "clean", F.lit(built.status).alias("status"), F.lit(built.reason).alias("reason"))

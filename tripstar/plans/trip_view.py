@@ -20,6 +20,9 @@ TABLE_SCHEMAS = {
 }
 
 FILE_YEAR = "file_year"
+# Columns that a trip is made from, and which of them go to the file of a year of its own.
+_SOURCES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "o_orderdate"]
+_LATE = "l_suppkey % 13 = 0 AND l_partkey % 5 = 0"
 _HOUR, _MINUTE = "INTERVAL '1' HOUR", "INTERVAL '1' MINUTE"
 
 
@@ -34,17 +37,32 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     one is sorted and merged, with hot order keys split at run time. ``file_year`` is the year in
     ``source_file``, known where the name is made, so no rule has to search the name for it.
     """
+    return _trips_of(_dated_lines(spark, sf_dir))
+
+
+def dealt_trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``trip_view`` dealt out by ``source_file``; only the numbers that it is made from are shuffled."""
+    month = f"CASE WHEN {_LATE} THEN -1 ELSE year(o_orderdate) * 12 + month(o_orderdate) END AS _month"
+    dated = _dated_lines(spark, sf_dir).selectExpr(*_SOURCES, month)
+    return _trips_of(dated.hint("rebalance", "_month"))
+
+
+def _dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return lines.join(orders, F.expr("l_orderkey = o_orderkey"))
+
+
+def _trips_of(dated: DataFrame) -> DataFrame:
     start = f"o_orderdate + l_partkey % 24 * {_HOUR}"
-    return lines.join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr(
+    return dated.selectExpr(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        f"""CASE WHEN l_suppkey % 13 = 0 AND l_partkey % 5 = 0 THEN 'yellow_tripdata_2019-01.csv'
+        f"""CASE WHEN {_LATE} THEN 'yellow_tripdata_2019-01.csv'
             ELSE concat('yellow_tripdata_', substring(CAST(o_orderdate AS STRING), 1, 7), '.csv')
             END AS {SOURCE_FILE}""",
-        f"""CASE WHEN l_suppkey % 13 = 0 AND l_partkey % 5 = 0 THEN 2019
+        f"""CASE WHEN {_LATE} THEN 2019
             ELSE year(o_orderdate) END AS {FILE_YEAR}""",
         "l_linenumber % 4 AS VendorID",
         f"CASE WHEN l_orderkey % 97 != 0 THEN {start} END AS {PICKUP}",

@@ -91,13 +91,22 @@ def compiled_methods(spark: SparkSession):
     return settings(spark, {"spark.sql.codegen.hugeMethodLimit": "8000"})
 
 
+# A join before the write hashes its smaller side instead of sorting both where every partition of it is small;
+# the measured sizes decide.
+_MANY_SMALL_FILES = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
+
 def many_small_files(spark: SparkSession):
-    """Settings for a rebalanced write into many small partitions.
+    """Settings for a write into many small partitions, of rows that were dealt out by them.
 
-    By default little data is merged into one task, which then writes all files one by one. The
-    number of files does not depend on this.
+    By default little data is merged into one task, which then writes all files one by one, and each task's rows
+    are sorted first. The number of files does not depend on this.
     """
-    return settings(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"})
+    return settings(spark, _MANY_SMALL_FILES)
 
 
 def scratch_folder(spark: SparkSession) -> str:

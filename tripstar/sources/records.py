@@ -42,7 +42,7 @@ def ends_open(text: str) -> bool:
 
 def is_blank(line: str) -> str:
     """SQL: a line that readers skip."""
-    return f"length(trim(BOTH ' \\t' FROM {line})) = 0"
+    return f"trim(LEADING ' \\t' FROM {line}) = ''"
 
 
 def text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
