@@ -529,9 +529,13 @@ FORMATS = ["yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "
 def csv_time_formats(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics where the files of different months write times differently."""
     layout = _new_layout(spark)
-    for k, form in enumerate(FORMATS):
-        months = _trips(spark, sf).where(f"{FILE_MONTH} % {len(FORMATS)} = {k}")
-        _write_csv(_times_as_text(months, form), layout.raw, "append")
+    trips = _dealt_trips(spark, sf).where(f"{FILE_MONTH} IS NOT NULL")
+
+    def text(name: str) -> str:
+        forms = " ".join(f'WHEN {k} THEN date_format({name}, "{form}")' for k, form in enumerate(FORMATS))
+        return f"CASE {FILE_MONTH} % {len(FORMATS)} {forms} END"
+
+    _write_csv(trips.withColumns({c: F.expr(text(c)) for c in (PICKUP, DROPOFF)}), layout.raw)
     return ingest(spark, layout, pattern=MONTHS).metrics.drop("error")
 
 
