@@ -432,17 +432,25 @@ def _dealt_trips(spark: SparkSession, sf: str) -> DataFrame:
 def _write_csv(text: DataFrame, folder: str, mode: str = "error") -> None:
     """Headered CSV, one directory of part files per monthly file."""
     with many_small_files(text.sparkSession):
-        (
-            text.hint("rebalance", SOURCE_FILE)
-            .write.mode(mode)
-            .partitionBy(SOURCE_FILE)
-            .option("header", True)
-            .csv(folder)
-        )
+        text.write.mode(mode).partitionBy(SOURCE_FILE).option("header", True).csv(folder)
+
+
+def _stored_trips(spark: SparkSession, sf: str, layout: layers.Layout) -> DataFrame:
+    """``_trips`` stored by monthly file and read back: made once, for several writes that shuffle nothing."""
+    trips, folder = _dealt_trips(spark, sf), f"{layout.root}/trips"
+    with many_small_files(spark):
+        trips.write.partitionBy(SOURCE_FILE).parquet(folder)
+    return spark.read.schema(trips.schema).parquet(folder).select(trips.columns)
+
+
+def _move_months(spark: SparkSession, source: str, target: str, first: int) -> None:
+    """Move the monthly files from month ``first`` of every year on, without a look into them."""
+    names = {unit.source_file for unit in raw.collect_units(raw.raw_units(spark, source, MONTHS))}
+    rename_partitions(spark, source, target, SOURCE_FILE, {name for name in names if int(name[-6:-4]) >= first})
 
 
 def _write_raw(spark: SparkSession, sf: str, folder: str) -> None:
-    _write_csv(_times_as_text(_trips(spark, sf)), folder)
+    _write_csv(_times_as_text(_dealt_trips(spark, sf)), folder)
 
 
 def _new_layout(spark: SparkSession) -> layers.Layout:
