@@ -591,7 +591,7 @@ def csv_multiline_silver(spark: SparkSession, sf: str) -> DataFrame:
 def _odd_headers(spark: SparkSession, sf: str) -> tuple[layers.Layout, object]:
     """February lacks a required column; March spells one in another case."""
     layout = _new_layout(spark)
-    text = _times_as_text(_trips(spark, sf))
+    text = _times_as_text(_stored_trips(spark, sf, layout))
     _write_csv(text.where(f"{FILE_MONTH} NOT IN (2, 3)"), layout.raw)
     _write_csv(text.where(f"{FILE_MONTH} = 2").drop("fare_amount"), layout.raw, "append")
     _write_csv(text.where(f"{FILE_MONTH} = 3").withColumnRenamed("VendorID", "vendorid"), layout.raw, "append")
@@ -616,7 +616,7 @@ def csv_mixed_case_fact(spark: SparkSession, sf: str) -> DataFrame:
 def csv_reingest_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Quarantine counts after files that were wholly broken came again with other content."""
     layout = _new_layout(spark)
-    text = _times_as_text(_trips(spark, sf))
+    text = _times_as_text(_stored_trips(spark, sf, layout))
     _write_csv(text.withColumn("fare_amount", F.lit(-1.0)), layout.raw)
     ingest(spark, layout, pattern=MONTHS)
     _write_csv(text, layout.raw, "overwrite")
@@ -703,7 +703,7 @@ def csv_stream_skips(spark: SparkSession, sf: str) -> DataFrame:
     A file without clean rows leaves no silver, so the fresh checkpoint takes it again; 0 for rejected files.
     """
     layout = _new_layout(spark)
-    text = _times_as_text(_trips(spark, sf))
+    text = _times_as_text(_stored_trips(spark, sf, layout))
     _write_csv(text.where(f"{FILE_MONTH} != 3"), layout.raw)
     _write_csv(text.where(f"{FILE_MONTH} = 3").drop("fare_amount"), layout.raw, "append")
     for checkpoint in ("old", "old", "fresh"):
