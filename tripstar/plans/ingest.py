@@ -181,7 +181,7 @@ def _publish(
             base = f"{staging}/{place}"
             rows = spark.read.schema(SILVER_SCHEMA).parquet(f"{base}/{LAYER}={BROKEN}")
             chosen = spark.createDataFrame([(n,) for n in sorted(names)], f"{SOURCE_FILE} string")
-            rows = annotate(rows.join(chosen, SOURCE_FILE, "left_semi"), rules)
+            rows = annotate(rows.join(F.broadcast(chosen), SOURCE_FILE, "left_semi"), rules)
             write_quarantine(quarantine_columns(rows, rules), layout, run_id)
 
     files = spark.createDataFrame([(u.source_file,) for u in units], f"{SOURCE_FILE} string")
