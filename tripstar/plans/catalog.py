@@ -430,7 +430,7 @@ def _dealt_trips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _write_csv(text: DataFrame, folder: str, mode: str = "error") -> None:
-    """Headered CSV, one directory of part files per monthly file."""
+    """Headered CSV, one directory of part files per monthly file; ``text`` is dealt out by file."""
     with many_small_files(text.sparkSession):
         text.write.mode(mode).partitionBy(SOURCE_FILE).option("header", True).csv(folder)
 
@@ -649,11 +649,12 @@ def csv_damaged_silver(spark: SparkSession, sf: str) -> DataFrame:
 def csv_stopped_build(spark: SparkSession, sf: str) -> DataFrame:
     """Trips by date key in the star that readers see, after more files came and the build of their star stopped before its end."""
     layout = _new_layout(spark)
-    text = _times_as_text(_trips(spark, sf))
-    _write_csv(text.where(f"{FILE_MONTH} <= 6"), layout.raw)
+    later = f"{layout.root}/later"
+    _write_csv(_times_as_text(_dealt_trips(spark, sf)), layout.raw)
+    _move_months(spark, layout.raw, later, 7)
     ingest(spark, layout, pattern=MONTHS)
     gold_plan.build_gold(spark, layout)
-    _write_csv(text.where(f"{FILE_MONTH} > 6"), layout.raw, "append")
+    _move_months(spark, later, layout.raw, 7)
     ingest(spark, layout, pattern=MONTHS)
     gold_plan.write_star(spark, layout)  # all tables are written, but the pointer isn't turned
     return layers.read_gold(spark, layout, "fact_trips").groupBy("date_key").agg(F.count(F.lit(1)).alias("trips"))
@@ -689,10 +690,12 @@ def _streamed(spark: SparkSession, layout: layers.Layout, checkpoint: str) -> No
 def csv_stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics of files that a stream took in two goes."""
     layout = _new_layout(spark)
-    text = _times_as_text(_trips(spark, sf))
-    for k, months in enumerate(("<= 6", "> 6")):
-        _write_csv(text.where(f"{FILE_MONTH} {months}"), layout.raw, "append" if k else "error")
-        _streamed(spark, layout, "checkpoint")
+    later = f"{layout.root}/later"
+    _write_csv(_times_as_text(_dealt_trips(spark, sf)), layout.raw)
+    _move_months(spark, layout.raw, later, 7)
+    _streamed(spark, layout, "checkpoint")
+    _move_months(spark, later, layout.raw, 7)
+    _streamed(spark, layout, "checkpoint")
     return layers.latest_metrics(spark, layout).drop("error", RUN_ID)
 
 
