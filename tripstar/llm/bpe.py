@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 from tokenizers import Tokenizer
 
-from tripstar.llm.text import NOT_SPACE, Block, ranges, span_hashes
+from tripstar.llm.text import KEPT, NOT_SPACE, Block, ranges, span_hashes
 
 CACHE = 1 << 21  # stretches remembered by a worker, in about 20 bytes each
 ENCODED_AT_ONCE = 1 << 12  # the tokenizer's own results are large
@@ -93,10 +93,7 @@ class Encoder:
         return ids, np.bincount(text, weights=sizes, minlength=block.size).astype(np.int64)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if path not in KEPT:
+        KEPT[path] = Encoder(path)
+    return KEPT[path]

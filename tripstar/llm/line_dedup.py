@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripstar.llm.tables import stored
-from tripstar.llm.text import LOWER, NOT_SPACE, U64, Block, blocks, mix64, span_hashes
+from tripstar.llm.text import LOWER, NOT_SPACE, U64, Block, blocks, forget, mix64, span_hashes
+from tripstar.session import small_batches
 
 MIN_CODE_POINTS = 10
 SEGMENT_LINES = 1 << 20
@@ -42,15 +43,12 @@ class Lines:
         self.starts = np.concatenate(([0], breaks[:-1] + 1)) if len(breaks) else breaks
         self.ends = breaks
         self.counts = np.diff(np.concatenate(([0], np.searchsorted(breaks, block.ends, "right"))))
-        solid = NOT_SPACE[data]
-        place = np.arange(len(data))
-        last = np.maximum.accumulate(np.where(solid, place, -1))
-        following = np.minimum.accumulate(np.where(solid, place, len(data))[::-1])[::-1]
-        at_end = np.maximum(self.ends - 1, 0)
-        self.key_starts = np.minimum(following[self.starts], self.ends)
-        self.key_ends = np.maximum(np.where(self.ends > self.starts, last[at_end] + 1, self.starts), self.key_starts)
-        points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-        self.lengths = points[self.key_ends] - points[self.key_starts]
+        # from the bounds of visible stretches, as an array of one number for each byte is many times the block
+        first, last, _ = block.words(NOT_SPACE)
+        self.key_starts = np.minimum(np.append(first, len(data))[np.searchsorted(first, self.starts)], self.ends)
+        self.key_ends = np.maximum(np.append(0, last)[np.searchsorted(last, self.ends, "right")], self.key_starts)
+        inner = np.flatnonzero((data & 0xC0) == 0x80)  # bytes that begin no code point
+        self.lengths = self.key_ends - self.key_starts - np.searchsorted(inner, self.key_ends) + np.searchsorted(inner, self.key_starts)
         self.hashes = span_hashes(data, self.key_starts, self.key_ends, LOWER)
         self.docs = np.repeat(np.arange(block.size), self.counts)
 
@@ -95,6 +93,7 @@ def line_filters(docs: DataFrame, segments: int) -> DataFrame:
     bits = 1 << (int(SEGMENT_LINES * BITS_PER_LINE * 1.5) - 1).bit_length()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = []
             for _, block in blocks(batch):
@@ -130,6 +129,7 @@ def suspects(docs: DataFrame, filters: DataFrame, segments: int, round_bytes: in
         shared = spark.sparkContext.broadcast({r.segment: np.frombuffer(r.twice, np.uint8) for r in rows})
 
         def suspected(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            forget()
             twice = {k: Bloom(len(w) * 8, w) for k, w in shared.value.items()}
             for batch in batches:
                 for part, block in blocks(batch):
@@ -160,7 +160,8 @@ def dropped_keys(docs: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
     """doc_id, hashes: the keys whose lines a document loses, as hashes to be looked up in that document."""
     n_lines = docs.select(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0
     segments = 1 + int(n_lines) // SEGMENT_LINES
-    lines = stored(suspects(docs, stored(line_filters(docs, segments)), segments, round_bytes))
+    with small_batches(docs.sparkSession):
+        lines = stored(suspects(docs, stored(line_filters(docs, segments)), segments, round_bytes))
     # stored, so that the join below deals both sides anew and a very common key can be split
     repeated = stored(lines.groupBy("key").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).where("keeper < last"))
     later = lines.join(repeated, "key").where("doc_id > keeper")
@@ -177,6 +178,7 @@ def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
     losses = dropped_keys(narrow.where("doc_id IS NOT NULL").select("doc_id", "text"), round_bytes)
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part, block in blocks(batch):
                 lines = Lines(block)
@@ -187,14 +189,11 @@ def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
                 mark = mix64(lost.view(U64) ^ mix64(owner.astype(U64)))
                 gone = np.isin(mix64(lines.hashes ^ mix64(lines.docs.astype(U64))), mark) & (lines.lengths >= MIN_CODE_POINTS)
                 dropped = np.bincount(lines.docs[gone], minlength=block.size)
-                change = np.zeros(len(block.data) + 1, np.int32)
-                np.add.at(change, lines.starts[gone], 1)
-                np.add.at(change, lines.ends[gone] + 1, -1)
-                keep = np.cumsum(change[:-1]) == 0  # dropped lines go with their line feeds
-                kept = np.concatenate(([0], np.cumsum(keep)))
-                left = block.data[keep].tobytes()
+                sizes = lines.ends + 1 - lines.starts  # dropped lines go with their line feeds
+                left = block.data[np.repeat(~gone, sizes)].tobytes()
+                kept = np.concatenate(([0], np.cumsum(np.where(gone, 0, sizes))))[np.concatenate(([0], np.cumsum(lines.counts)))]
                 texts = []
-                for a, b in zip(kept[block.starts], kept[block.ends + 1], strict=True):
+                for a, b in zip(kept[:-1], kept[1:], strict=True):
                     texts.append(left[a : max(a, b - 1)])  # each line left ends with a line feed
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines.counts.astype(np.int64)), pa.array(dropped.astype(np.int64)), part.column("rest")],

@@ -159,8 +159,19 @@ def give_back() -> None:
         _TRIM(0)
 
 
-def blocks(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Block]]:
-    """Slices of a batch with their texts."""
+#: What tasks leave in their worker process for later tasks of the same operator; large.
+KEPT: dict[str, object] = {}
+
+
+def forget() -> None:
+    """Hand back what tasks of another operator left in this worker process."""
+    if KEPT:
+        KEPT.clear()
+        give_back()
+
+
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes of text, or one row if that row is longer."""
     column = batch.column(text)
     sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
     total = np.cumsum(sizes)
@@ -168,12 +179,17 @@ def blocks(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES)
     while at < len(sizes):
         before = total[at - 1] if at else 0
         end = max(at + 1, int(np.searchsorted(total, before + limit, "right")))
-        part = batch.slice(at, end - at)
-        yield part, Block(part.column(text))
+        yield batch.slice(at, end - at)
         at = end
     give_back()
 
 
+def blocks(batch: pa.RecordBatch, text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Block]]:
+    """Slices of a batch with their texts."""
+    for part in slices(batch, text, limit):
+        yield part, Block(part.column(text))
+
+
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words that begin at each index; the last n - 1 indexes are absent."""
     if len(words) < n:

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tripstar.llm.tables import stored
+from tripstar.llm.text import forget, slices
+from tripstar.session import small_batches
 
 FIT_ROWS = 200_000
 PREFIXES = range(4, 11)
@@ -198,11 +200,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, text: str = "t
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([fold(t) for t in batch.column("text").to_pylist()], pa.string())], names=["toxic", "folded"])
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array([fold(t) for t in part.column("text").to_pylist()], pa.string())], names=["toxic", "folded"])
 
     # at most ``rows`` labels of a few bytes each are sent to the workers
-    train = stored(narrow.join(F.broadcast(chosen), "doc_id").select("toxic", "text").mapInArrow(folded, "toxic int, folded string"))
+    with small_batches(docs.sparkSession):
+        train = stored(narrow.join(F.broadcast(chosen), "doc_id").select("toxic", "text").mapInArrow(folded, "toxic int, folded string"))
     sizes = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
     n, m = sizes.get(1, 0), sizes.get(0, 0)
     if not n or not m:
@@ -236,11 +241,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         matcher = Matcher(shared.value.weights, shared.value.exceptions)
         for batch in batches:
-            rows = [matcher.features(fold(t)) for t in batch.column(text).to_pylist()]
-            scores = shared.value.scores(np.array(rows).reshape(-1, 5))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, into])
+            for part in slices(batch, text):
+                rows = [matcher.features(fold(t)) for t in part.column(text).to_pylist()]
+                scores = shared.value.scores(np.array(rows).reshape(-1, 5))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*part.schema.names, into])
 
     rest = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != into))
     return rest.mapInArrow(scored, T.StructType([*rest.schema.fields, T.StructField(into, T.DoubleType())]))

@@ -109,6 +109,14 @@ def many_small_files(spark: SparkSession):
     return settings(spark, _MANY_SMALL_FILES)
 
 
+def small_batches(spark: SparkSession):
+    """Settings for jobs over whole texts: Spark hands them to the Python workers a few MB at a time.
+
+    By default a batch may have 64 MB, which the executor and each of its workers hold at once.
+    """
+    return settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"})
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name for intermediate tables, on storage that all executors reach.
 
