@@ -84,10 +84,13 @@ def rest_statistics(rests: DataFrame) -> tuple[np.ndarray, int, float]:
     """Document frequency of each id, number of rests, average length; over all rests."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(VOCABULARY, np.int64)
+        seen, last = np.zeros(VOCABULARY, np.int64), np.zeros(VOCABULARY, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                seen[np.unique(np.frombuffer(ids.as_buffer(), np.uint16))] += 1
+            for rest in batch.column("ids").to_pylist():
+                ids = np.frombuffer(rest, np.uint16)
+                at = np.arange(len(ids))
+                last[ids] = at
+                seen[ids[last[ids] == at]] += 1  # each id once, where it stands last
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(seen[used])], names=["id", "n"])
 
@@ -169,13 +172,12 @@ def fill(rests: list[np.ndarray], index: Index, window: int) -> Iterator[list[tu
         pieces, free = [(seed, seed_from, len(rests[seed]))], window - len(rests[seed]) + seed_from
         score = index.scores(seed)
         score[~unused] = -1.0
-        ranked = iter(np.argsort(-score, kind="stable").tolist())
         seed = -1
         while free:
-            row = next(ranked, -1)
-            if row < 0 or not unused[row]:
+            row = int(score.argmax())  # the first of equal ones; each is taken once, so no order of all is needed
+            if not unused[row]:
                 break
-            unused[row] = False
+            unused[row], score[row] = False, -1.0
             take = min(free, len(rests[row]))
             pieces.append((row, 0, take))
             free -= take
